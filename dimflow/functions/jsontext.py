@@ -11,6 +11,22 @@ def stripped(line: Column) -> Column:
     return F.regexp_replace(line, r"(?U)^\s+|\s+$", "")
 
 
+# A JSON string; possessive, so that long strings need no deep recursion.
+_STRING = r'"[^"\\]*+(?:\\.[^"\\]*+)*+"'
+
+
+def _is_strict(line: Column) -> Column:
+    """No single quote outside of strings and no control character inside, both of which
+    Spark's JSON functions let pass."""
+    outside = F.regexp_replace(line, _STRING, "")
+    controls = r"[^\x00-\x1f]"
+    inside = F.length(F.regexp_replace(line, controls, "")) > F.length(
+        F.regexp_replace(outside, controls, "")
+    )
+    suspect = line.rlike(r"['\x00-\x1f]")
+    return F.when(suspect, ~F.contains(outside, F.lit("'")) & ~inside).otherwise(True)
+
+
 def is_one_json_value(line: Column) -> Column:
     """True when the text is exactly one JSON value, with nothing after it.
 
@@ -20,7 +36,9 @@ def is_one_json_value(line: Column) -> Column:
     """
     in_array = F.json_array_length(F.concat(F.lit("["), line, F.lit("]")))
     in_object = F.json_object_keys(F.concat(F.lit('{"v":'), line, F.lit("}")))
-    return F.coalesce((in_array == 1) & (F.size(in_object) == 1), F.lit(False))
+    return F.coalesce(
+        (in_array == 1) & (F.size(in_object) == 1) & _is_strict(line), F.lit(False)
+    )
 
 
 def is_parsed(line: Column) -> Column:

@@ -83,7 +83,7 @@ def file_facts(lines: DataFrame) -> DataFrame:
 
 def header_names(header: Column) -> Column:
     """Column names of a CSV header line, quotes removed."""
-    cells = F.regexp_extract_all(header, F.lit(r'(?:^|,)("(?:[^"]|"")*"|[^,]*)'), F.lit(1))
+    cells = F.regexp_extract_all(header, F.lit(r'(?:^|,)("(?:[^"]|"")*+"|[^,]*)'), F.lit(1))
     return F.transform(
         cells,
         lambda cell: F.when(

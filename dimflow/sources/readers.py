@@ -22,7 +22,7 @@ def or_empty(read, spark: SparkSession, schema: T.StructType | str) -> DataFrame
     try:
         return read()
     except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
+        if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             raise
         return spark.createDataFrame([], schema)
 
@@ -131,36 +131,46 @@ def landed_key(uri: Column, root: str) -> Column:
     return key_below(decoded_uri(uri), root)
 
 
-def located_lines(text: DataFrame, root: str) -> DataFrame:
-    """``(key, line_no, value)`` of a text scan, batch or stream.
-
-    ``line_no`` orders the lines of a file: start of the split, then place in the split.
-    """
+def located_text(text: DataFrame, root: str) -> DataFrame:
+    """``(key, start, value)`` of a text scan, batch or stream; ``start`` is the split's."""
     return text.select(
         landed_key(F.col("_metadata.file_path"), root).alias("key"),
-        F.struct(
-            F.col("_metadata.file_block_start").alias("start"),
-            F.monotonically_increasing_id().alias("row"),
-        ).alias("line_no"),
+        F.col("_metadata.file_block_start").alias("start"),
         "value",
     )
 
 
+def numbered_lines(located: DataFrame) -> DataFrame:
+    """``(key, line_no, value)``; ``line_no`` orders the lines of a file: start of the split,
+    then place in the task that reads it. To be applied to the scan itself."""
+    place = F.monotonically_increasing_id().alias("row")
+    return located.select("key", F.struct("start", place).alias("line_no"), "value")
+
+
 def landed_lines(spark: SparkSession, root: str) -> DataFrame:
     """Every line below ``raw/``."""
     read = spark.read.option("recursiveFileLookup", True)
     return or_empty(
-        lambda: located_lines(read.text(f"{root}/raw"), root), spark, _LINES
+        lambda: numbered_lines(located_text(read.text(f"{root}/raw"), root)), spark, _LINES
     )
 
 
 def landed_files(spark: SparkSession, root: str) -> DataFrame:
-    """``(key, length)`` of every file below ``raw/``; contents are not read."""
-    read = spark.read.format("binaryFile").option("recursiveFileLookup", True)
-    return or_empty(
-        lambda: read.load(f"{root}/raw").select(
-            landed_key(F.col("path"), root).alias("key"), "length"
-        ),
-        spark,
-        _FILES,
-    )
+    """``(key, length)`` of every file below ``raw/``; contents are not read.
+
+    Scans leave out files of length zero, so the names come from the listing that the scan
+    keeps on the driver anyway, and both are of the same moment.
+    """
+
+    def read() -> DataFrame:
+        scan = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(
+            f"{root}/raw"
+        )
+        sized = scan.select(F.col("_metadata.file_path").alias("uri"), "length")
+        names = spark.createDataFrame([(uri,) for uri in scan.inputFiles()], "uri string")
+        return names.join(sized, "uri", "left").select(
+            landed_key(F.col("uri"), root).alias("key"),
+            F.coalesce("length", F.lit(0)).cast("bigint").alias("length"),
+        )
+
+    return or_empty(read, spark, _FILES)

@@ -6,11 +6,13 @@ import datetime as dt
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from dimflow.functions.paths import dataset_of
+from dimflow.functions.values import run_id
 from dimflow.operators.verdicts import CSV_DATASETS, alerts, file_facts, first_lines, verdicts
-from dimflow.sources.readers import landed_files, landed_key, landed_lines, located_lines
+from dimflow.sources.readers import landed_files, landed_lines, located_text, numbered_lines, read_parquet
 from dimflow.sources.writers import write_lines, write_run
 
 _FOLDERS = ["dataset", "ingest_date", "batch"]
@@ -36,12 +38,14 @@ def routed_ndjson(lines: DataFrame, manifest: DataFrame) -> DataFrame:
     return lines.filter(~_is_csv()).join(accepted, "key").select("dataset", "value")
 
 
-def routed_csv(lines: DataFrame, manifest: DataFrame) -> DataFrame:
-    """Lines of accepted files with header. Each split of a file becomes a file of its own,
+def routed_csv(lines: DataFrame, manifest: DataFrame, dataset: str) -> DataFrame:
+    """Lines of a dataset's accepted files with header. Each split of a file becomes a file of its own,
     so a large file is written by many tasks; each begins with the header."""
-    accepted = manifest.filter("ok").select("key", "dataset", "header", "header_no")
+    accepted = manifest.filter(F.col("ok") & (F.col("dataset") == dataset)).select(
+        "key", "header", "header_no"
+    )
     data = (
-        lines.filter(_is_csv())
+        lines.filter(dataset_of(F.col("key")) == dataset)
         .join(accepted, "key")
         .filter(F.col("line_no") != F.col("header_no"))
         .withColumn(
@@ -50,13 +54,17 @@ def routed_csv(lines: DataFrame, manifest: DataFrame) -> DataFrame:
         .drop("header_no")
     )
     headers = (
-        data.groupBy("key", "dataset", "header", "chunk")
+        data.groupBy("key", "header", "chunk")
         .agg(F.min("line_no.start").alias("_start"))
-        .withColumn("line_no", F.struct(F.col("_start").alias("start"), F.lit(-1).cast("bigint").alias("row")))
-        .withColumn("value", F.col("header"))
-        .drop("_start")
+        .select(
+            "chunk",
+            F.struct(
+                F.col("_start").alias("start"), F.lit(-1).cast("bigint").alias("row")
+            ).alias("line_no"),
+            F.col("header").alias("value"),
+        )
     )
-    return data.unionByName(headers).select("dataset", "chunk", "line_no", "value")
+    return data.select("chunk", "line_no", "value").unionByName(headers)
 
 
 def routed_rejects(lines: DataFrame, manifest: DataFrame) -> DataFrame:
@@ -75,79 +83,81 @@ def take_in(
     lines: DataFrame, files: DataFrame, root: str, day: dt.date | str, batch: str
 ) -> DataFrame:
     """Judge one batch of files and route it; everything it writes is replaced on a repeat."""
-    spark = lines.sparkSession
-    date = F.lit(str(day)).cast("date")
-    write_run(verdicts(files, file_facts(lines), date), f"{root}/manifest", batch)
-    manifest = spark.read.parquet(f"{root}/manifest/run_id={batch}")
+    manifest = record_verdicts(lines, files, root, day, batch)
     place = {"ingest_date": F.lit(str(day)), "batch": F.lit(batch)}
-
     write_lines(
         routed_ndjson(lines, manifest).withColumns(place).select("value", *_FOLDERS),
         f"{root}/archive", _FOLDERS,
     )
-    chunked = [*_FOLDERS, "chunk"]
-    write_lines(
-        routed_csv(lines, manifest)
-        .withColumns(place)
-        .repartition("chunk")
-        .sortWithinPartitions(*chunked, "line_no")
-        .select("value", *chunked),
-        f"{root}/archive", chunked,
-    )
     write_lines(
         routed_rejects(lines, manifest).withColumns(place).select("value", *_FOLDERS),
         f"{root}/rejected", _FOLDERS,
     )
+    for dataset in CSV_DATASETS:
+        # The write keeps an order that starts with its folder column, so headers stay first.
+        chunks = routed_csv(lines, manifest, dataset).repartition("chunk")
+        ordered = chunks.sortWithinPartitions("chunk", "line_no").select("value", "chunk")
+        folder = f"{root}/archive/dataset={dataset}/ingest_date={day}/batch={batch}"
+        ordered.write.mode("overwrite").partitionBy("chunk").text(folder)
+    return manifest
+
+
+def record_verdicts(
+    lines: DataFrame, files: DataFrame, root: str, day: dt.date | str, batch: str
+) -> DataFrame:
+    """Write manifest and alerts of one batch; returns the manifest as written."""
+    date = F.lit(str(day)).cast("date")
+    write_run(verdicts(files, file_facts(lines), date), f"{root}/manifest", batch)
+    manifest = lines.sparkSession.read.parquet(f"{root}/manifest/run_id={batch}")
     alerts(manifest).select(F.col("message").alias("value")).write.mode("overwrite").text(
         f"{root}/alerts/run_id={batch}"
     )
     return manifest
 
 
+def take_in_landed(spark: SparkSession, root: str, day: dt.date | str, batch: str) -> DataFrame:
+    """Batch form of the intake, over everything below ``raw/``."""
+    return take_in(landed_lines(spark, root), landed_files(spark, root), root, day, batch)
+
+
 def intake_stream(
-    spark: SparkSession,
-    root: str,
-    checkpoint: str,
-    day: dt.date | str | None = None,
-    files_per_batch: int = 10000,
+    spark: SparkSession, root: str, checkpoint: str, day: dt.date | str, files_per_batch: int
 ) -> StreamingQuery:
-    """Process every file that landed since the last call, each exactly once, then stop.
-
-    Files without a line do not show in a text scan; a scan of file sizes adds them.
-    """
-    folder = f"{root}/raw"
-    options = {"recursiveFileLookup": "true", "maxFilesPerTrigger": str(files_per_batch)}
-    text = located_lines(spark.readStream.options(**options).text(folder), root)
-    empty = (
-        spark.readStream.format("binaryFile")
-        .options(**options)
-        .schema("path string, modificationTime timestamp, length bigint, content binary")
-        .load(folder)
-        .filter("length = 0")
-    )
-    no_line = F.lit(None).cast("struct<start:bigint,row:bigint>")
-    landed = text.unionByName(
-        empty.select(
-            landed_key(F.col("path"), root).alias("key"),
-            no_line.alias("line_no"),
-            F.lit(None).cast("string").alias("value"),
-        )
+    """Start the stream over landed files: those that are new since the last call, then stop."""
+    text = (
+        spark.readStream.option("recursiveFileLookup", True)
+        .option("maxFilesPerTrigger", files_per_batch)
+        .text(f"{root}/raw")
     )
 
-    def process(batch: DataFrame, number: int) -> None:
-        files = batch.groupBy("key").agg(F.count("value").alias("length"))
-        lines = batch.filter(F.col("value").isNotNull())
-        today = day or dt.datetime.now(dt.timezone.utc).date()
-        take_in(lines, files, root, today, f"stream{number:010d}")
+    def process(located: DataFrame, number: int) -> None:
+        lines = numbered_lines(located)
+        files = lines.groupBy("key").agg(F.sum(F.octet_length("value") + 1).alias("length"))
+        take_in(lines, files, root, day, f"stream{number:010d}")
 
     return (
-        landed.writeStream.foreachBatch(process)
+        located_text(text, root)
+        .writeStream.foreachBatch(process)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
 
 
-def take_in_landed(spark: SparkSession, root: str, day: dt.date | str, batch: str) -> DataFrame:
-    """Batch form of the intake, over everything below ``raw/``."""
-    return take_in(landed_lines(spark, root), landed_files(spark, root), root, day, batch)
+def take_in_new(
+    spark: SparkSession,
+    root: str,
+    checkpoint: str,
+    day: dt.date | str | None = None,
+    files_per_batch: int = 10000,
+) -> None:
+    """Process every file that landed since the last call, each exactly once.
+
+    A text scan shows no file without a byte; such files are listed and judged afterwards.
+    """
+    day = day or dt.datetime.now(dt.timezone.utc).date()
+    intake_stream(spark, root, checkpoint, day, files_per_batch).awaitTermination()
+    manifest = read_parquet(spark, f"{root}/manifest", T.StructType([T.StructField("key", T.StringType())]))
+    empty = landed_files(spark, root).filter("length = 0").join(manifest, "key", "left_anti")
+    batch = "empty" + run_id(dt.datetime.now(dt.timezone.utc).replace(tzinfo=None))
+    record_verdicts(landed_lines(spark, root).filter("false"), empty, root, day, batch)
