@@ -11,6 +11,8 @@ from dimflow.functions.values import run_id, stamp
 from dimflow.operators.enrich import with_current_plan, with_plan_attributes
 from dimflow.operators.latest import keep_latest
 from dimflow.operators.metrics import row_counts, summary_json
+from dimflow.plans.standardize import read_clean
+from dimflow.schemas import DATASETS
 from dimflow.sources.writers import write_snapshot
 
 NEWEST = ["ingestion_ts", "archive_date"]
@@ -29,10 +31,7 @@ def build_staging(
     ``activity_from`` leaves out activity of older archive dates, whose folders are not read:
     the fact load is idempotent, so loaded activity need not be staged again.
     """
-    clean = {
-        name: spark.read.parquet(f"{root}/clean/{name}")
-        for name in ("customers", "plans", "activity_logs")
-    }
+    clean = {name: read_clean(spark, root, name) for name in DATASETS}
     staged = {name: f"{root}/staging/{name}" for name in ("customers", "activity", "plans")}
 
     plans = keep_latest(clean["plans"], ["plan_id"], NEWEST)

@@ -7,14 +7,15 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from dimflow.functions.values import parsed_ts, run_id, stamp
 from dimflow.operators.latest import collapse_copies
 from dimflow.operators.metrics import record_counts, summary_json
 from dimflow.operators.quality import bad_reason, split_records
-from dimflow.schemas import DATASETS, RECORD_KEYS, REQUIRED_KEYS
+from dimflow.schemas import DATASETS, RECORD_KEYS, REQUIRED_KEYS, layout
 from dimflow.sources.readers import read_archive
-from dimflow.sources.writers import write_run
+from dimflow.sources.writers import read_runs, write_run
 
 # Text column of each dataset that becomes a timestamp, and the name it gets.
 TIMES = {
@@ -23,6 +24,20 @@ TIMES = {
 }
 
 
+def clean_layout(dataset: str) -> T.StructType:
+    """Columns of a clean table, without those that are in its folder names."""
+    fields = [f for f in layout(dataset) if f.name != TIMES.get(dataset, ("",))[0]]
+    times = [TIMES[dataset][1]] if dataset in TIMES else []
+    stamps = [T.StructField(name, T.TimestampNTZType()) for name in (*times, "ingestion_ts")]
+    return T.StructType([*fields, *stamps, T.StructField("copies", T.LongType())])
+
+
+def read_clean(spark: SparkSession, root: str, dataset: str) -> DataFrame:
+    """All runs of a clean table, with ``archive_date`` and ``run_id`` from the folder names."""
+    located = [*clean_layout(dataset).fields, T.StructField("archive_date", T.DateType())]
+    return read_runs(spark, f"{root}/clean/{dataset}", T.StructType(located))
+
+
 def typed(df: DataFrame, dataset: str, run_ts: Column) -> DataFrame:
     """Parse the dataset's time and stamp the run. Unparsable times become NULL and do not
     make a record bad."""
