@@ -8,6 +8,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dimflow.functions.values import between
+from dimflow.operators.heavy import (
+    WHOLE,
+    heavy_keys,
+    is_heavy,
+    slot_at,
+    with_heavy,
+    without_heavy,
+)
 from dimflow.operators.scd2 import END, START
 from dimflow.schemas import OPEN_END
 
@@ -16,12 +24,10 @@ FACT_COLUMNS = (
     "event_timestamp", "device_type", "network_type", "ingestion_ts",
 )
 
-# A key with more versions than this is joined by month as well.
+# A key with more versions than this is joined by time slot as well.
 MANY_VERSIONS = 64
-# At most this many keys are treated so; further ones take the plain way, with equal results.
-MAX_SPLIT_KEYS = 1000
 
-_PLAIN, _OPEN = -1, -2
+_OPEN = -2
 
 
 def point_in_time_join(
@@ -30,67 +36,59 @@ def point_in_time_join(
     key: str,
     at: str,
     attributes: Sequence[str],
-    many_versions: int | None = MANY_VERSIONS,
+    many_versions: int = MANY_VERSIONS,
 ) -> DataFrame:
     """Left join each fact to the version of its key that is valid at the fact's time.
 
     An equi join on the key with the interval test on top. A key with many facts is split by
     adaptive execution, as it sits on the left. A key with many versions would have each fact
-    tested against all of them, so such keys also join on a time slot: closed versions appear
-    in every month they touch, open ones in a slot of their own that takes every fact at or
-    after the first open start.
+    tested against all of them, so such keys also join on a time slot: a closed version appears
+    in every slot it touches, an open one in a slot of its own that takes every fact at or
+    after the key's first open start. Slots per key follow its number of versions, so the
+    versions of heavy keys at most double, and a fact meets a bounded number of them.
     """
     right = versions.select(
         F.col(key).alias("_key"), F.col(START).alias("_start"), F.col(END).alias("_end"),
         *attributes,
     )
     on = [F.col(key) == F.col("_key"), between(F.col(at), F.col("_start"), F.col("_end"), OPEN_END)]
+    first_open = F.min(F.when(F.col(END).isNull(), F.col(START)))
+    heavy = heavy_keys(
+        versions, key, START, many_versions, per_slot=max(many_versions, 1), _open_from=first_open
+    )
     left = facts
-    if many_versions is not None:
-        split = _keys_with_many(versions, key, many_versions)
-        left = left.join(split, F.col(key) == F.col("_split_key"), "left").withColumn(
-            "_slot", _fact_slot(F.col(at))
+    if heavy is not None:
+        left = without_heavy(
+            with_heavy(facts, F.col(key), heavy).withColumn("_slot", _fact_slot(F.col(at))), heavy
         )
-        left = left.drop("_split_key", "_open_from")
-        right = right.join(split, F.col("_key") == F.col("_split_key"), "left").withColumn(
-            "_version_slot", F.explode(_version_slots())
+        right = without_heavy(
+            with_heavy(right, F.col("_key"), heavy).withColumn(
+                "_version_slot", F.explode(_version_slots())
+            ),
+            heavy,
         )
         on.append(F.col("_slot") == F.col("_version_slot"))
     return left.join(right, on, "left").select(*facts.columns, *attributes)
 
 
-def _keys_with_many(versions: DataFrame, key: str, many: int) -> DataFrame:
-    """The keys to split and their first open start: at most ``MAX_SPLIT_KEYS`` small rows."""
-    counted = versions.groupBy(F.col(key).alias("_split_key")).agg(
-        F.count(F.lit(1)).alias("_n"),
-        F.min(F.when(F.col(END).isNull(), F.col(START))).alias("_open_from"),
-    )
-    largest = counted.filter(F.col("_n") > many).orderBy(F.desc("_n"), "_split_key")
-    return F.broadcast(largest.limit(MAX_SPLIT_KEYS).select("_split_key", "_open_from"))
-
-
-def _month(at: Column) -> Column:
-    return F.year(at) * 12 + F.month(at)
-
-
 def _fact_slot(at: Column) -> Column:
     return (
-        F.when(F.col("_split_key").isNull(), _PLAIN)
+        F.when(~is_heavy(), WHOLE)
         .when(at >= F.col("_open_from"), _OPEN)
-        .otherwise(_month(at))
+        .otherwise(slot_at(at))
     )
 
 
 def _version_slots() -> Column:
-    start, end, open_from = F.col("_start"), F.col("_end"), F.col("_open_from")
-    # An empty interval matches nothing: least() keeps the month range in order.
-    months = F.sequence(_month(F.least(start, end)), _month(end))
-    reaches_open = F.coalesce(end > open_from, F.lit(False))
+    start, end = F.col("_start"), F.col("_end")
+    # An empty interval matches nothing: least() keeps the range in order.
+    touched = F.sequence(slot_at(F.least(start, end)), slot_at(end))
+    reaches_open = F.coalesce(end > F.col("_open_from"), F.lit(False))
     return (
-        F.when(F.col("_split_key").isNull(), F.array(F.lit(_PLAIN)))
+        F.when(~is_heavy(), F.array(F.lit(WHOLE)))
         .when(end.isNull(), F.array(F.lit(_OPEN)))
-        .when(reaches_open, F.array_append(months, F.lit(_OPEN)))
-        .otherwise(months)
+        .when(reaches_open, F.array_append(touched, F.lit(_OPEN)))
+        .otherwise(touched)
     )
 
 
@@ -103,7 +101,7 @@ def new_facts(
     staged: DataFrame,
     dim_customer: DataFrame,
     fact: DataFrame | None,
-    many_versions: int | None = MANY_VERSIONS,
+    many_versions: int = MANY_VERSIONS,
 ) -> DataFrame:
     """Rows to append to the fact: not loaded yet, with the keys valid at event time.
 

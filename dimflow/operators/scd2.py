@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dimflow.functions.values import any_differs
+from dimflow.operators.heavy import MANY_ROWS, heavy_keys, with_neighbour
 from dimflow.operators.latest import keep_latest
 
 START, END, CURRENT = "effective_start_date", "effective_end_date", "is_current"
@@ -87,22 +88,22 @@ def scd2_history(
     at: str,
     tracked: Mapping[str, object],
     order: Sequence[str] = (),
+    many_rows: int = MANY_ROWS,
 ) -> DataFrame:
     """All versions from an ordered change feed: ``scd2_apply`` per batch, in one pass.
 
-    The feed is first cut to the last row per key and batch time. After that a key has at most
-    one row per batch however many rows it had, which bounds the windows below by the number
-    of batches.
+    The feed is first cut to the last row per key and batch time, so a key enters the windows
+    with one row per batch however many rows it had. Keys with more than ``many_rows`` rows in
+    the feed may still have very many batches; their rows are looked at in slots of time.
     """
-    batches = keep_latest(feed.filter(F.col(at).isNotNull()), [key, at], order)
-    by_time = Window.partitionBy(key).orderBy(at)
-    previous = {f"_was_{c}": F.lag(c).over(by_time) for c in tracked}
-    seen = batches.withColumns({**previous, "_first": F.row_number().over(by_time) == 1})
-    changed = any_differs(F.col, lambda c: F.col(f"_was_{c}"), tracked)
-    versions = seen.filter(F.col("_first") | changed).drop(*previous, "_first")
-    return versions.withColumnRenamed(at, START).withColumns(
-        {
-            END: F.lead(START).over(Window.partitionBy(key).orderBy(START)),
-            CURRENT: F.lead(START).over(Window.partitionBy(key).orderBy(START)).isNull(),
-        }
-    )
+    timed = feed.filter(F.col(at).isNotNull())
+    heavy = heavy_keys(timed, key, at, many_rows)
+    batches = keep_latest(timed, [key, at], order)
+    seen = with_neighbour(batches, key, at, list(tracked), -1, "_before", heavy)
+    changed = any_differs(F.col, lambda c: F.col(f"_before.{c}"), tracked)
+    versions = seen.filter(F.col("_before").isNull() | changed).drop("_before")
+    starts = versions.withColumnRenamed(at, START)
+    ended = with_neighbour(starts, key, START, [START], 1, "_after", heavy)
+    return ended.withColumns(
+        {END: F.col(f"_after.{START}"), CURRENT: F.col("_after").isNull()}
+    ).drop("_after")

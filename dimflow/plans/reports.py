@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from dimflow.operators.heavy import heavy_keys, with_neighbour
 from dimflow.operators.scd2 import CURRENT, END, START
 
 
@@ -63,19 +64,22 @@ def churn_matrix(dim_customer: DataFrame, plan_key: str = "plan_sk") -> DataFram
 
     Counts every pair of consecutive versions in which the plan or the status differs.
     """
-    by_start = Window.partitionBy("customer_id").orderBy(START)
-    moves = dim_customer.select(
+    heavy = heavy_keys(dim_customer, "customer_id", START)
+    followed = with_neighbour(
+        dim_customer.select("customer_id", START, plan_key, "status"),
+        "customer_id", START, [plan_key, "status"], 1, "_next", heavy,
+    )
+    moves = followed.filter(F.col("_next").isNotNull()).select(
+        "customer_id",
         F.col(plan_key).alias("from_plan"),
         F.col("status").alias("from_status"),
-        F.lead(plan_key).over(by_start).alias("to_plan"),
-        F.lead("status").over(by_start).alias("to_status"),
-        F.lead(START).over(by_start).isNotNull().alias("_followed"),
-        "customer_id",
+        F.col(f"_next.{plan_key}").alias("to_plan"),
+        F.col("_next.status").alias("to_status"),
     )
     left_plan = ~F.col("from_plan").eqNullSafe(F.col("to_plan"))
     new_status = ~F.col("from_status").eqNullSafe(F.col("to_status"))
     return (
-        moves.filter(F.col("_followed") & (left_plan | new_status))
+        moves.filter(left_plan | new_status)
         .groupBy("from_plan", "to_plan", "from_status", "to_status")
         .agg(
             F.count(F.lit(1)).alias("moves"),

@@ -7,10 +7,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from dimflow.functions.values import normalized_names, snake_case, stamp, with_defaults
-from dimflow.operators import facts as facts_module
+from dimflow.operators import heavy as heavy_module
 from dimflow.operators.align import align_by_name
 from dimflow.operators.enrich import with_current_plan, with_plan_attributes, with_plan_key
 from dimflow.operators.facts import new_facts, not_loaded, point_in_time_join
+from dimflow.operators.heavy import heavy_keys, slot_at, with_heavy
 from dimflow.operators.keys import assign_keys, stable_keys
 from dimflow.operators.latest import collapse_copies, keep_latest
 from dimflow.operators.metrics import record_counts, summary_json
@@ -215,7 +216,25 @@ def random_feed(seed):
     ]
 
 
-@pytest.mark.parametrize("seed", range(3))
+@pytest.mark.parametrize("many_rows", [1, 3, 15])
+def test_history_does_not_depend_on_slots(spark, rows, many_rows):
+    feed = spark.createDataFrame(random_feed(5), FEED)
+    plain = scd2_history(feed, "customer_id", "at", WATCHED, ["seq"])
+    cut = scd2_history(feed, "customer_id", "at", WATCHED, ["seq"], many_rows)
+    assert rows(cut, *plain.columns) == rows(plain)
+
+
+def test_slots_spread_a_heavy_key(spark):
+    feed = spark.range(5000).selectExpr(
+        "1 AS k", "timestamp_ntz'2025-01-01' + make_interval(0, 0, 0, 0, 0, 0, id) AS at"
+    )
+    heavy = heavy_keys(feed, "k", "at", 1000)
+    sizes = with_heavy(feed, F.col("k"), heavy).groupBy(slot_at(F.col("at"))).count().collect()
+    assert len(sizes) == 6 and max(r["count"] for r in sizes) <= 1001
+    assert heavy_keys(feed, "k", "at", 5000) is None
+
+
+@pytest.mark.parametrize("seed", range(2))
 def test_bulk_history_equals_batches_applied_in_turn(spark, rows, seed):
     feed = spark.createDataFrame(random_feed(seed), FEED)
     bulk = scd2_history(feed, "customer_id", "at", WATCHED, ["seq"])
@@ -258,7 +277,7 @@ def test_interval_join_edges(spark, rows):
     versions = spark.createDataFrame([(1, DAY[2], DAY[4], 10), (1, DAY[4], None, 11)], VERSIONS)
     times = [DAY[1], DAY[2], DAY[3], DAY[4], DAY[20], None, dt.datetime(9999, 12, 31)]
     facts = spark.createDataFrame([(i, 1, t) for i, t in enumerate(times)] + [(9, 2, DAY[3])], "id int, customer_id int, at timestamp_ntz")
-    for many in (None, 0, 64):
+    for many in (0, 1, 64):
         out = point_in_time_join(facts, versions, "customer_id", "at", ["sk"], many)
         assert rows(out, "id", "sk") == [(0, None), (1, 10), (2, 10), (3, 11), (4, 11), (5, None), (6, None), (9, None)]
 
@@ -266,7 +285,7 @@ def test_interval_join_edges(spark, rows):
 @pytest.mark.parametrize("limit", [1, 1000])
 def test_split_keys_give_the_same_join(spark, rows, limit, monkeypatch):
     """Hot keys, overlaps, gaps, empty and reversed intervals, several open versions."""
-    monkeypatch.setattr(facts_module, "MAX_SPLIT_KEYS", limit)
+    monkeypatch.setattr(heavy_module, "MAX_KEYS", limit)
     dice = random.Random(4)
 
     def moment():
