@@ -6,9 +6,16 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+# Fixed value: every character that counts as white space at the ends of a line.
+WHITE_SPACE = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005"
+    "\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
+
+
 def stripped(line: Column) -> Column:
     """Remove white space of any kind from both ends."""
-    return F.regexp_replace(line, r"(?U)^\s+|\s+$", "")
+    return F.trim(line, F.lit(WHITE_SPACE))
 
 
 # A JSON string; possessive, so that long strings need no deep recursion.

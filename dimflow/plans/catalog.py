@@ -280,7 +280,7 @@ def plan_key_lookup(spark, sf_dir):
 
 
 def _resolved(spark: SparkSession, sf_dir: str) -> DataFrame:
-    versions = _history(spark, sf_dir).withColumn("version_from", F.col(START))
+    versions = cut_lineage(_history(spark, sf_dir)).withColumn("version_from", F.col(START))
     return point_in_time_join(
         fx.activity(spark, sf_dir), versions, "customer_id", "event_timestamp",
         ["version_from", "status", "plan_id"],
@@ -310,7 +310,7 @@ def unmatched_facts(spark, sf_dir):
 
 def _keyed_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
     keyed = assign_keys(_history(spark, sf_dir), ["customer_id", START], "customer_sk")
-    return with_plan_key(keyed, _dim_plan(spark, sf_dir))
+    return cut_lineage(with_plan_key(keyed, _dim_plan(spark, sf_dir)))
 
 
 def _staged_activity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -330,7 +330,7 @@ def fact_idempotent_append(spark, sf_dir):
 def fact_reload_adds_zero(spark, sf_dir):
     staged = _staged_activity(spark, sf_dir)
     dim = _keyed_dim(spark, sf_dir)
-    first = new_facts(staged, dim, None)
+    first = cut_lineage(new_facts(staged, dim, None))
     second = new_facts(staged, dim, first)
     both = first.select(F.lit(1).alias("load")).unionByName(second.select(F.lit(2).alias("load")))
     return both.agg(

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -24,19 +25,26 @@ def apply_settings(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def scratch_folder(spark: SparkSession) -> str:
+    """The cluster's ``spark.checkpoint.dir``, shared by all executors. A temporary folder
+    stands in only where it is unset and Spark runs in local mode."""
+    context = spark.sparkContext
+    folder = context.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if folder is None:
+        if not context.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        folder = tempfile.mkdtemp(prefix="checkpoint-")
+        context.setCheckpointDir(folder)
+    return folder
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the checkpoint folder and go on from there.
+    """Write ``df`` as Parquet below the checkpoint folder and go on from there.
 
-    The folder is the cluster's ``spark.checkpoint.dir``, shared by all executors. A temporary
-    folder stands in only in local mode.
+    Later steps read only the columns they need, know the real size of what they join, and
+    survive the loss of executors without computing ``df`` again.
     """
     spark = df.sparkSession
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        if folder is None and context.master.startswith("local"):
-            folder = tempfile.mkdtemp(prefix="checkpoint-")
-        if folder is None:
-            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        context.setCheckpointDir(folder)
-    return df.checkpoint(eager=True)
+    path = f"{scratch_folder(spark)}/dimflow-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
