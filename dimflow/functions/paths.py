@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from urllib.parse import quote
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -18,10 +20,11 @@ def decoded_uri(uri: Column) -> Column:
     return decoded_key(F.replace(uri, F.lit("+"), F.lit("%2B")))
 
 
-def key_below(path: Column, root: str) -> Column:
-    """Part of a full path below the folder ``root`` (given without scheme)."""
-    marker = "/" + root.split("://", 1)[-1].strip("/") + "/"
-    return F.substring_index(path, marker, -1)
+def path_below(uri: Column, root: str) -> Column:
+    """Part of a file URI below the folder ``root``, still encoded."""
+    plain = root.split("://", 1)[-1].removeprefix("file:").strip("/")
+    folder = quote(plain, safe="/!$&'()*+,;=:@~")
+    return F.substring_index(uri, f"/{folder}/", -1)
 
 
 def is_landed(key: Column) -> Column:

@@ -1,8 +1,9 @@
 """Verdicts on landed files: one grouped job over all their lines.
 
-Lines are a frame ``(key, line_no, value)``: file key below the landing root, a number that
-grows along the file, and the text. Every aggregate is partial per task before the shuffle, so
-a file may be as large as it likes.
+Lines are a frame ``(uri, line_no, value)``: encoded path below the landing root, a struct
+``(start, row)`` that orders the lines of a file (start of the split, then place in it), and
+the text. Counts are hash aggregates, partial per task before the shuffle, so a file may be as
+large as it likes.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from dimflow.functions.jsontext import is_parsed, mentions, stripped
-from dimflow.functions.paths import dataset_of, destination, is_landed
+from dimflow.functions.paths import dataset_of, decoded_uri, destination, is_landed
 from dimflow.schemas import (
     BAD_NDJSON,
     DATASETS,
@@ -34,16 +35,25 @@ CSV_DATASETS = ("plans",)
 _ALL_KEYS = list(dict.fromkeys(k for keys in REQUIRED_KEYS.values() for k in keys))
 
 
+def is_csv() -> Column:
+    """Is a line or file of a CSV dataset? Cheap, as it is asked for every line."""
+    return reduce(
+        lambda x, y: x | y, [F.col("uri").startswith(f"raw/{name}/") for name in CSV_DATASETS]
+    )
+
+
 def first_lines(
     lines: DataFrame, max_lines: int = SAMPLE_LINES, max_bytes: int = SAMPLE_BYTES
 ) -> DataFrame:
     """The start of each file: at most ``max_lines`` whole lines within ``max_bytes`` bytes.
 
-    A line that the byte limit cuts is left out. The row limit is applied per map task first,
-    so no group grows beyond ``max_lines`` rows.
+    A line that the byte limit cuts is left out. Only splits that begin within the limit are
+    looked at, and the row limit is applied per map task first, so no group grows beyond
+    ``max_lines`` rows.
     """
-    in_order = Window.partitionBy("key").orderBy("line_no")
-    head = lines.withColumn("_n", F.row_number().over(in_order)).filter(F.col("_n") <= max_lines)
+    in_order = Window.partitionBy("uri").orderBy("line_no")
+    starts = lines.filter(F.col("line_no.start") < max_bytes)
+    head = starts.withColumn("_n", F.row_number().over(in_order)).filter(F.col("_n") <= max_lines)
     size = F.sum(F.octet_length("value") + 1).over(
         in_order.rowsBetween(Window.unboundedPreceding, 0)
     )
@@ -55,30 +65,33 @@ def first_lines(
 
 def file_facts(lines: DataFrame) -> DataFrame:
     """What the verdict needs to know about each file, one row per file with any line."""
-    text = stripped(F.col("value"))
-    is_csv = dataset_of(F.col("key")).isin(*CSV_DATASETS)
-    seen = lines.select(
-        "key",
-        "line_no",
-        "value",
-        F.coalesce(is_csv, F.lit(False)).alias("_csv"),
-        text.alias("_text"),
-    ).withColumn("_json", ~F.col("_csv") & (F.col("_text") != ""))
-    seen = seen.withColumn("_parsed", F.when(F.col("_json"), is_parsed(F.col("_text"))))
+    texts = lines.select(
+        "uri",
+        (F.col("value") != "").alias("_filled"),
+        F.when(~is_csv(), stripped(F.col("value"))).alias("_text"),
+    )
+    parsed = texts.withColumn(
+        "_parsed", F.when(F.col("_text") != "", is_parsed(F.col("_text")))
+    )
     found = {
         f"has_{k}": F.coalesce(
             F.bool_or(F.when(F.col("_parsed"), mentions(F.col("_text"), k))), F.lit(False)
         )
         for k in _ALL_KEYS
     }
-    return seen.groupBy("key").agg(
+    counts = parsed.groupBy("uri").agg(
+        F.count(F.lit(1)).alias("lines"),
+        F.count_if(F.col("_filled")).alias("filled"),
         F.count_if(F.col("_parsed")).alias("parsed"),
         F.count_if(~F.col("_parsed")).alias("broken"),
-        F.count_if(F.col("value") != "").alias("filled"),
-        F.min_by(F.when(F.col("_csv"), F.col("value")), "line_no").alias("header"),
-        F.min("line_no").alias("header_no"),
         *[column.alias(name) for name, column in found.items()],
     )
+    headers = (
+        lines.filter(is_csv() & (F.col("line_no.start") == 0))
+        .groupBy("uri")
+        .agg(F.min_by("value", "line_no").alias("header"), F.min("line_no").alias("header_no"))
+    )
+    return counts.join(headers, "uri", "left")
 
 
 def header_names(header: Column) -> Column:
@@ -125,18 +138,19 @@ def verdicts(
     min_rows: int = MIN_CSV_ROWS,
     sampled: bool = False,
 ) -> DataFrame:
-    """Manifest ``(key, dataset, ok, reason, moved_to, header, header_no)``.
+    """Manifest ``(uri, key, dataset, ok, reason, moved_to, header, header_no)``.
 
-    ``files`` lists ``(key, length)`` of everything that landed, so a file without a single
-    line gets a verdict too. Keys outside the landing zone are left out. A file with bytes of
+    ``files`` lists ``(uri, length)`` of everything that landed, so a file without a single
+    line gets a verdict too. Files outside the landing zone are left out. A file with bytes of
     which no line was read is unreadable, unless only file starts were looked at (``sampled``).
     """
     joined = (
-        files.filter(is_landed(F.col("key")))
-        .join(facts, "key", "left")
+        files.filter(is_landed(F.col("uri")))
+        .join(facts, "uri", "left")
+        .withColumn("key", decoded_uri(F.col("uri")))
         .withColumn("dataset", dataset_of(F.col("key")))
     )
-    unread = F.lit(not sampled) & F.col("header_no").isNull() & (F.col("length") > 0)
+    unread = F.lit(not sampled) & F.col("lines").isNull() & (F.col("length") > 0)
     known = reduce(
         lambda chain, name: chain.when(F.col("dataset") == name, _reason_for(name, min_rows)),
         DATASETS[1:],
@@ -149,7 +163,8 @@ def verdicts(
     )
     judged = joined.withColumn("reason", reason).withColumn("ok", F.col("reason") == OK)
     return judged.select(
-        "key", "dataset", "ok", "reason", routed_to(day).alias("moved_to"), "header", "header_no"
+        "uri", "key", "dataset", "ok", "reason", routed_to(day).alias("moved_to"),
+        "header", "header_no",
     )
 
 

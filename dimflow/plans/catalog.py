@@ -383,7 +383,7 @@ def daily_device_trend(spark, sf_dir):
 def _judged(lines: DataFrame, seen: DataFrame, sampled: bool = False) -> DataFrame:
     day = stamp(RUN_TS).cast("date")
     judged = verdicts(fx.listing(lines), file_facts(seen), day, sampled=sampled)
-    return judged.drop("header", "header_no")
+    return judged.drop("uri", "header", "header_no")
 
 
 @query

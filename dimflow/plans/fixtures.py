@@ -167,6 +167,10 @@ def _as_json(text: Column) -> Column:
     return F.substring(document, F.lit(2), F.length(document) - 2)
 
 
+def _numbered(row: str) -> Column:
+    return F.struct(F.lit(0).alias("start"), F.col(row).alias("row")).alias("line_no")
+
+
 def ndjson_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as NDJSON files, one line per text line, in thirteen sound or broken forms."""
     lines = document_lines(spark, sf_dir)
@@ -200,7 +204,7 @@ def ndjson_files(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise("raw/activity_logs")
     )
     key = F.concat(folder, F.lit("/doc-"), F.col("doc_id").cast("string"), F.lit(".ndjson"))
-    return lines.select(key.alias("key"), "line_no", value.alias("value"))
+    return lines.select(key.alias("uri"), _numbered("line_no"), value.alias("value"))
 
 
 def csv_files(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -223,11 +227,11 @@ def csv_files(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.array(F.struct(F.lit(-1).alias("n"), header.alias("v")),
                 F.struct(F.lit(0).alias("n"), value.alias("v"))),
     ).otherwise(F.array(F.struct(F.col("line_no").alias("n"), value.alias("v"))))
-    return lines.select(key.alias("key"), F.inline(both)).select(
-        "key", F.col("n").alias("line_no"), F.col("v").alias("value")
+    return lines.select(key.alias("uri"), F.inline(both)).select(
+        "uri", _numbered("n"), F.col("v").alias("value")
     )
 
 
 def listing(lines: DataFrame) -> DataFrame:
     """Files of a frame of lines with their length in bytes."""
-    return lines.groupBy("key").agg(F.sum(F.octet_length("value") + 1).alias("length"))
+    return lines.groupBy("uri").agg(F.sum(F.octet_length("value") + 1).alias("length"))

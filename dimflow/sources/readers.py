@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from dimflow.functions.paths import archive_date_of, decoded_uri, key_below
+from dimflow.functions.paths import archive_date_of, path_below
 from dimflow.operators.align import align_by_name
 from dimflow.schemas import layout
 
@@ -123,28 +123,25 @@ def preview(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.table(name)
 
 
-_LINES = "key string, line_no struct<start:bigint,row:bigint>, value string"
-_FILES = "key string, length bigint"
-
-
-def landed_key(uri: Column, root: str) -> Column:
-    return key_below(decoded_uri(uri), root)
+_LINES = "uri string, line_no struct<start:bigint,row:bigint>, value string"
+_FILES = "uri string, length bigint"
 
 
 def located_text(text: DataFrame, root: str) -> DataFrame:
-    """``(key, start, value)`` of a text scan, batch or stream; ``start`` is the split's."""
+    """``(uri, start, value)`` of a text scan, batch or stream: encoded path below the root,
+    start of the split, line. Decoding is left to the verdict, which is once per file."""
     return text.select(
-        landed_key(F.col("_metadata.file_path"), root).alias("key"),
+        path_below(F.col("_metadata.file_path"), root).alias("uri"),
         F.col("_metadata.file_block_start").alias("start"),
         "value",
     )
 
 
 def numbered_lines(located: DataFrame) -> DataFrame:
-    """``(key, line_no, value)``; ``line_no`` orders the lines of a file: start of the split,
+    """``(uri, line_no, value)``; ``line_no`` orders the lines of a file: start of the split,
     then place in the task that reads it. To be applied to the scan itself."""
     place = F.monotonically_increasing_id().alias("row")
-    return located.select("key", F.struct("start", place).alias("line_no"), "value")
+    return located.select("uri", F.struct("start", place).alias("line_no"), "value")
 
 
 def landed_lines(spark: SparkSession, root: str) -> DataFrame:
@@ -156,7 +153,7 @@ def landed_lines(spark: SparkSession, root: str) -> DataFrame:
 
 
 def landed_files(spark: SparkSession, root: str) -> DataFrame:
-    """``(key, length)`` of every file below ``raw/``; contents are not read.
+    """``(uri, length)`` of every file below ``raw/``; contents are not read.
 
     Scans leave out files of length zero, so the names come from the listing that the scan
     keeps on the driver anyway, and both are of the same moment.
@@ -169,7 +166,7 @@ def landed_files(spark: SparkSession, root: str) -> DataFrame:
         sized = scan.select(F.col("_metadata.file_path").alias("uri"), "length")
         names = spark.createDataFrame([(uri,) for uri in scan.inputFiles()], "uri string")
         return names.join(sized, "uri", "left").select(
-            landed_key(F.col("uri"), root).alias("key"),
+            path_below(F.col("uri"), root).alias("uri"),
             F.coalesce("length", F.lit(0)).cast("bigint").alias("length"),
         )
 

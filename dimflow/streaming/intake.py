@@ -4,14 +4,20 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from dimflow.functions.paths import dataset_of
 from dimflow.functions.values import run_id
-from dimflow.operators.verdicts import CSV_DATASETS, alerts, file_facts, first_lines, verdicts
+from dimflow.operators.verdicts import (
+    CSV_DATASETS,
+    alerts,
+    file_facts,
+    first_lines,
+    is_csv,
+    verdicts,
+)
 from dimflow.sources.readers import landed_files, landed_lines, located_text, numbered_lines, read_parquet
 from dimflow.sources.writers import write_lines, write_run
 
@@ -34,27 +40,27 @@ def judge_landed(
 
 def routed_ndjson(lines: DataFrame, manifest: DataFrame) -> DataFrame:
     """Lines of accepted files without header; their order does not matter."""
-    accepted = manifest.filter("ok").select("key", "dataset")
-    return lines.filter(~_is_csv()).join(accepted, "key").select("dataset", "value")
+    accepted = manifest.filter("ok").select("uri", "dataset")
+    return lines.filter(~is_csv()).join(accepted, "uri").select("dataset", "value")
 
 
 def routed_csv(lines: DataFrame, manifest: DataFrame, dataset: str) -> DataFrame:
     """Lines of a dataset's accepted files with header. Each split of a file becomes a file of its own,
     so a large file is written by many tasks; each begins with the header."""
     accepted = manifest.filter(F.col("ok") & (F.col("dataset") == dataset)).select(
-        "key", "header", "header_no"
+        "uri", "header", "header_no"
     )
     data = (
-        lines.filter(dataset_of(F.col("key")) == dataset)
-        .join(accepted, "key")
+        lines.filter(is_csv())
+        .join(accepted, "uri")
         .filter(F.col("line_no") != F.col("header_no"))
         .withColumn(
-            "chunk", F.concat_ws("-", F.md5("key"), F.col("line_no.start").cast("string"))
+            "chunk", F.concat_ws("-", F.md5("uri"), F.col("line_no.start").cast("string"))
         )
         .drop("header_no")
     )
     headers = (
-        data.groupBy("key", "header", "chunk")
+        data.groupBy("uri", "header", "chunk")
         .agg(F.min("line_no.start").alias("_start"))
         .select(
             "chunk",
@@ -70,13 +76,9 @@ def routed_csv(lines: DataFrame, manifest: DataFrame, dataset: str) -> DataFrame
 def routed_rejects(lines: DataFrame, manifest: DataFrame) -> DataFrame:
     """Lines of rejected files; those of unknown folders go to ``_unknown``."""
     rejected = manifest.filter(~F.col("ok")).select(
-        "key", F.coalesce("dataset", F.lit("_unknown")).alias("dataset")
+        "uri", F.coalesce("dataset", F.lit("_unknown")).alias("dataset")
     )
-    return lines.join(rejected, "key").select("dataset", "value")
-
-
-def _is_csv() -> Column:
-    return F.coalesce(dataset_of(F.col("key")).isin(*CSV_DATASETS), F.lit(False))
+    return lines.join(rejected, "uri").select("dataset", "value")
 
 
 def take_in(
@@ -132,7 +134,7 @@ def intake_stream(
 
     def process(located: DataFrame, number: int) -> None:
         lines = numbered_lines(located)
-        files = lines.groupBy("key").agg(F.sum(F.octet_length("value") + 1).alias("length"))
+        files = lines.groupBy("uri").agg(F.sum(F.octet_length("value") + 1).alias("length"))
         take_in(lines, files, root, day, f"stream{number:010d}")
 
     return (
@@ -157,7 +159,7 @@ def take_in_new(
     """
     day = day or dt.datetime.now(dt.timezone.utc).date()
     intake_stream(spark, root, checkpoint, day, files_per_batch).awaitTermination()
-    manifest = read_parquet(spark, f"{root}/manifest", T.StructType([T.StructField("key", T.StringType())]))
-    empty = landed_files(spark, root).filter("length = 0").join(manifest, "key", "left_anti")
+    manifest = read_parquet(spark, f"{root}/manifest", T.StructType([T.StructField("uri", T.StringType())]))
+    empty = landed_files(spark, root).filter("length = 0").join(manifest, "uri", "left_anti")
     batch = "empty" + run_id(dt.datetime.now(dt.timezone.utc).replace(tzinfo=None))
     record_verdicts(landed_lines(spark, root).filter("false"), empty, root, day, batch)

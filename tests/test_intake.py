@@ -176,7 +176,10 @@ def test_sample_mode_sees_the_start_only(spark, tmp_path):
 
 
 def test_first_lines_counts_bytes(spark):
-    lines = spark.createDataFrame([("f", i, "x" * 9) for i in range(5)], "key string, line_no int, value string")
+    lines = spark.createDataFrame(
+        [("f", (0, i), "x" * 9) for i in range(5)],
+        "uri string, line_no struct<start:bigint,row:bigint>, value string",
+    )
     assert first_lines(lines, 300, 30).count() == 3
     assert first_lines(lines, 300, 29).count() == 3  # the last line needs no line end
     assert first_lines(lines, 300, 28).count() == 2
