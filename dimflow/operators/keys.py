@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from dimflow.session import cut_lineage
+
 # 16 ** 3 hash ranges. The only single-task step below is a prefix sum over this many rows.
 HEX_DIGITS = 3
 
@@ -22,7 +24,8 @@ def assign_keys(
     Rows are numbered by (hash range of the natural key, natural key). Natural keys are unique,
     so the ranges are even and no task sees more than its share; the order depends on nothing
     but the keys, so a task that runs again gives the same numbers. A range's offset is the
-    number of rows in the ranges before it.
+    number of rows in the ranges before it. ``rows`` is read twice, to count and to number:
+    hand over a table rather than a long computation.
     """
     text = F.concat_ws("|", *[F.col(c).cast("string") for c in natural])
     ranged = rows.withColumn("_range", F.substring(F.md5(text), 1, HEX_DIGITS))
@@ -53,9 +56,9 @@ def stable_keys(
     ``known`` holds natural key and key of everything ever numbered, so a key is never given
     to a second natural key and a row that comes back gets its old one.
     """
-    matched = rows.join(
-        known.groupBy(*natural).agg(F.min(key).alias(key)), list(natural), "left"
-    )
+    keys = known.groupBy(*natural).agg(F.min(key).alias(key))
+    # Read three times below, so it is written once.
+    matched = cut_lineage(rows.join(keys, list(natural), "left"))
     old = matched.filter(F.col(key).isNotNull())
     new = assign_keys(matched.filter(F.col(key).isNull()).drop(key), natural, key, known)
     return old.unionByName(new)

@@ -279,8 +279,13 @@ def plan_key_lookup(spark, sf_dir):
 # --- facts -------------------------------------------------------------------------------
 
 
+def _dim_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The history as the written table that loads and reports read."""
+    return cut_lineage(_history(spark, sf_dir))
+
+
 def _resolved(spark: SparkSession, sf_dir: str) -> DataFrame:
-    versions = cut_lineage(_history(spark, sf_dir)).withColumn("version_from", F.col(START))
+    versions = _dim_table(spark, sf_dir).withColumn("version_from", F.col(START))
     return point_in_time_join(
         fx.activity(spark, sf_dir), versions, "customer_id", "event_timestamp",
         ["version_from", "status", "plan_id"],
@@ -309,12 +314,12 @@ def unmatched_facts(spark, sf_dir):
 
 
 def _keyed_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
-    keyed = assign_keys(_history(spark, sf_dir), ["customer_id", START], "customer_sk")
+    keyed = assign_keys(_dim_table(spark, sf_dir), ["customer_id", START], "customer_sk")
     return cut_lineage(with_plan_key(keyed, _dim_plan(spark, sf_dir)))
 
 
 def _staged_activity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fx.activity(spark, sf_dir).withColumn("ingestion_ts", stamp(RUN_TS))
+    return cut_lineage(fx.activity(spark, sf_dir).withColumn("ingestion_ts", stamp(RUN_TS)))
 
 
 @query
@@ -354,7 +359,7 @@ def plan_usage_ranked(spark, sf_dir):
 
 @query
 def plan_churn_matrix(spark, sf_dir):
-    return reports.churn_matrix(_history(spark, sf_dir), "plan_id")
+    return reports.churn_matrix(_dim_table(spark, sf_dir), "plan_id")
 
 
 @query

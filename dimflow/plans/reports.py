@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from dimflow.operators.heavy import heavy_keys, with_neighbour
 from dimflow.operators.scd2 import CURRENT, END, START
+from dimflow.session import cut_lineage
 
 
 def _truncated(unit: str) -> Column:
@@ -38,10 +39,13 @@ def plan_usage(fact: DataFrame, plan_key: str = "plan_sk") -> DataFrame:
     """Plans ranked by number of events, with the number of distinct customers.
 
     Ranked inside groups of plans with event counts of the same bit length, plus the number of
-    plans in higher groups (at most 64 of them), instead of sorting all plans in one task.
+    plans in higher groups (at most 64 of them), instead of sorting all plans in one task. Both
+    need the counts, which are written first so that the facts are read once.
     """
-    used = fact.groupBy(plan_key).agg(
-        F.count(F.lit(1)).alias("events"), F.count_distinct("customer_id").alias("customers")
+    used = cut_lineage(
+        fact.groupBy(plan_key).agg(
+            F.count(F.lit(1)).alias("events"), F.count_distinct("customer_id").alias("customers")
+        )
     )
     scaled = used.withColumn("_scale", F.length(F.bin("events")))
     higher = Window.orderBy(F.desc("_scale")).rowsBetween(Window.unboundedPreceding, -1)
