@@ -25,7 +25,7 @@ FACT_COLUMNS = (
 )
 
 # A key with more versions than this is joined by time slot as well.
-MANY_VERSIONS = 64
+MANY_VERSIONS = 256
 
 _OPEN = -2
 

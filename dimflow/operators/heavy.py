@@ -12,11 +12,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from dimflow.session import cut_lineage
+
 # A window group up to this size is left whole; a slot of a larger one aims at this size.
 MANY_ROWS = 1_000_000
-# At most this many keys are cut, the largest first. Further ones are left whole: each holds
-# less than a thousandth of the rows then, and results do not depend on the cut.
-MAX_KEYS = 1000
 
 _KEY, _FIRST, _LAST, _SLOTS = "_heavy", "_first", "_last", "_slots"
 WHOLE = -1
@@ -37,7 +36,7 @@ def heavy_keys(
     **measures: Column,
 ) -> DataFrame | None:
     """Keys with more than ``more_than`` rows, their time range and number of slots; None when
-    there are none. Runs a job; at most ``MAX_KEYS`` rows come back."""
+    there are none. Written at once, so Spark knows the real size when it joins them."""
     counted = (
         df.filter(F.col(key).isNotNull() & F.col(at).isNotNull())
         .groupBy(F.col(key).alias(_KEY))
@@ -49,17 +48,14 @@ def heavy_keys(
         )
         .filter(F.col("_n") > more_than)
     )
-    found = counted.orderBy(F.desc("_n"), _KEY).limit(MAX_KEYS).collect()
-    if not found:
-        return None
-    slots = F.ceil(F.col("_n") / F.lit(per_slot or more_than))
-    keys = df.sparkSession.createDataFrame(found, counted.schema)
-    return keys.withColumn(_SLOTS, slots.cast("bigint")).drop("_n")
+    slots = F.ceil(F.col("_n") / F.lit(per_slot or more_than)).cast("bigint")
+    found = cut_lineage(counted.withColumn(_SLOTS, slots).drop("_n"))
+    return None if found.isEmpty() else found
 
 
 def with_heavy(df: DataFrame, key: Column, heavy: DataFrame) -> DataFrame:
-    """Attach the facts about heavy keys. Broadcast: at most ``MAX_KEYS`` short rows."""
-    return df.join(F.broadcast(heavy), key == F.col(_KEY), "left")
+    """Attach what is known about heavy keys, NULLs for the others."""
+    return df.join(heavy, key == F.col(_KEY), "left")
 
 
 def without_heavy(df: DataFrame, heavy: DataFrame) -> DataFrame:
