@@ -10,14 +10,14 @@ from pyspark.sql import functions as F
 
 from dimflow.functions.jsontext import payload_field
 from dimflow.functions.paths import archive_date_of, dataset_of, decoded_key
-from dimflow.functions.values import stamp
+from dimflow.functions.values import normalized_names, stamp, with_defaults
 from dimflow.operators.align import align_by_name
 from dimflow.operators.enrich import with_current_plan, with_plan_attributes, with_plan_key
 from dimflow.operators.facts import new_facts, point_in_time_join
 from dimflow.operators.keys import assign_keys, stable_keys
 from dimflow.operators.latest import collapse_copies, keep_latest
 from dimflow.operators.metrics import record_counts
-from dimflow.operators.plan_dim import appended_plans, refreshed_plans
+from dimflow.operators.plan_dim import appended_plans, current_count, refreshed_plans
 from dimflow.operators.quality import labelled, split_records
 from dimflow.operators.scd2 import CURRENT, END, START, scd2_apply, scd2_history
 from dimflow.operators.verdicts import (
@@ -27,9 +27,11 @@ from dimflow.operators.verdicts import (
     routed_to,
     verdicts,
 )
+from dimflow.plans import archived, reports
 from dimflow.plans import fixtures as fx
-from dimflow.plans import reports
-from dimflow.plans.standardize import typed
+from dimflow.plans.staging import build_staging
+from dimflow.plans.standardize import standardize, typed
+from dimflow.plans.warehouse import dim_customer, dim_plan, fact_activity
 from dimflow.schemas import BAD_NDJSON, OK, UNKNOWN_FOLDER, layout
 from dimflow.session import cut_lineage
 
@@ -123,6 +125,12 @@ def payload_field_extract(spark, sf_dir):
     )
 
 
+@query
+def normalized_columns(spark, sf_dir):
+    odd = fx.table(spark, sf_dir, "supplier").toDF("Supp Key", "suppName", "Nation-Key", "AcctBAL")
+    return with_defaults(normalized_names(odd), {"is_active": True})
+
+
 # --- staging -----------------------------------------------------------------------------
 
 
@@ -185,6 +193,12 @@ def scd2_current_rows(spark, sf_dir):
     )
 
 
+@query
+def scd2_current_check(spark, sf_dir):
+    """Data-quality count of open versions."""
+    return current_count(_history(spark, sf_dir))
+
+
 def _batches(spark: SparkSession, sf_dir: str, reopen_same_run: bool) -> DataFrame:
     """Three snapshots applied one after the other; closed versions are set aside."""
     feed = fx.order_feed(spark, sf_dir)
@@ -457,3 +471,61 @@ def archive_date_replay(spark, sf_dir):
         .groupBy(F.col("archive_date").cast("string").alias("archive_date"), "event_type")
         .agg(F.count(F.lit(1)).alias("events"))
     )
+
+
+# --- whole runs over archived files ------------------------------------------------------
+
+
+@query
+def standardize_counts(spark, sf_dir):
+    """Both deliveries standardized in one run."""
+    root = archived.new_root(spark)
+    archived.archive_batches(spark, sf_dir, root)
+    return standardize(spark, root, RUN_TS)
+
+
+@query
+def quarantined_records(spark, sf_dir):
+    root = archived.new_root(spark)
+    archived.archive_batches(spark, sf_dir, root)
+    standardize(spark, root, RUN_TS)
+    bad = spark.read.parquet(f"{root}/clean/bad_records/activity_logs")
+    return bad.select(
+        "event_id", "event_ts", "reason", payload_field(F.col("payload"), "flag", "string").alias("flag"),
+        F.col("archive_date").cast("string").alias("archive_date"),
+    )
+
+
+@query
+def staged_customers(spark, sf_dir):
+    root = archived.new_root(spark)
+    archived.archive_batches(spark, sf_dir, root)
+    standardize(spark, root, RUN_TS)
+    build_staging(spark, root, RUN_TS)
+    return spark.read.parquet(f"{root}/staging/customers")
+
+
+@query
+def warehouse_customers(spark, sf_dir):
+    """Customer versions after two daily runs, with the plan's natural key."""
+    root = archived.run_batches(spark, sf_dir)
+    plans = dim_plan(spark, root).select("plan_sk", "plan_id", "monthly_price", "roaming_enabled")
+    versions = dim_customer(spark, root).join(plans, "plan_sk", "left")
+    return versions.select(
+        "customer_id", "first_name", "status", "plan_id", "roaming_enabled",
+        F.col("monthly_price").cast("double").alias("monthly_price"), START, END, CURRENT,
+    )
+
+
+@query
+def warehouse_facts(spark, sf_dir):
+    """Facts after two daily runs, with the start of the customer version they point to."""
+    root = archived.run_batches(spark, sf_dir)
+    versions = dim_customer(spark, root).select("customer_sk", F.col(START).alias("version_from"))
+    plans = dim_plan(spark, root).select("plan_sk", "plan_id")
+    return (
+        fact_activity(spark, root)
+        .join(versions, "customer_sk", "left")
+        .join(plans, "plan_sk", "left")
+        .drop("customer_sk", "plan_sk")
+    )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from dimflow.plans.archived import DAYS
 from dimflow.plans.catalog import LOADED_BEFORE, RUN_TS, SNAPSHOTS
 
 ORACLE: dict[str, str] = {}
@@ -582,3 +583,122 @@ FROM events
 WHERE CAST(ts AS DATE) BETWEEN DATE '2024-01-10' AND DATE '2024-01-16'
 GROUP BY 1, 2
 """
+
+ORACLE["normalized_columns"] = """
+SELECT s_suppkey AS supp_key, s_name AS supp_name, s_nationkey AS nation_key,
+       s_acctbal AS acct_bal, true AS is_active
+FROM supplier
+"""
+
+ORACLE["scd2_current_check"] = (
+    _with(_CTE, *_HISTORY) + "SELECT count(*) AS current_rows FROM dim WHERE is_current"
+)
+
+# --- whole runs over archived files ------------------------------------------------------
+
+_DELIVERED = ",\n".join(
+    [
+        f"""customers_{n} AS (
+    SELECT CASE WHEN customer_id % 19 <> 0 THEN CAST(customer_id AS VARCHAR) END AS customer_id,
+           'C' || customer_id AS first_name, plan_id, status
+    FROM feed WHERE ingestion_ts < TIMESTAMP '{day}'
+    QUALIFY row_number() OVER (
+        PARTITION BY feed.customer_id ORDER BY ingestion_ts DESC, feed_seq DESC) = 1),
+activity_{n} AS (
+    SELECT * REPLACE (CASE WHEN customer_id % 17 <> 0 THEN CAST(customer_id AS VARCHAR) END
+                          AS customer_id)
+    FROM activity WHERE event_timestamp < TIMESTAMP '{day}')"""
+        for n, day in enumerate(DAYS, 1)
+    ]
+)
+_ARCHIVE = _with(_CTE, "feed", "shipped", "activity", "plans") + ", " + _DELIVERED
+
+ORACLE["standardize_counts"] = (
+    _ARCHIVE
+    + """
+, rows AS (
+    SELECT 'customers' AS dataset, customer_id AS k, true AS whole FROM customers_1
+    UNION ALL SELECT 'customers', customer_id, true FROM customers_2
+    UNION ALL SELECT 'activity_logs', event_id, customer_id IS NOT NULL FROM activity_1
+    UNION ALL SELECT 'activity_logs', event_id, customer_id IS NOT NULL FROM activity_2
+    UNION ALL SELECT 'plans', plan_id, true FROM plans
+    UNION ALL SELECT 'plans', plan_id, true FROM plans),
+counted AS (
+    SELECT dataset, count(*) AS total, count(DISTINCT k) FILTER (whole) AS good,
+           count(*) FILTER (k IS NULL OR NOT whole) AS bad
+    FROM rows GROUP BY dataset)
+SELECT *, total - good - bad AS duplicates FROM counted
+"""
+)
+
+ORACLE["quarantined_records"] = (
+    _ARCHIVE
+    + f"""
+SELECT event_id, event_timestamp AS event_ts, 'null_keys_[customer_id]' AS reason,
+       event_type AS flag, '{DAYS[0]}' AS archive_date
+FROM activity_1 WHERE customer_id IS NULL
+UNION ALL
+SELECT event_id, event_timestamp, 'null_keys_[customer_id]', event_type, '{DAYS[1]}'
+FROM activity_2 WHERE customer_id IS NULL
+"""
+)
+
+ORACLE["staged_customers"] = (
+    _ARCHIVE
+    + f"""
+, newest AS (
+    SELECT * FROM customers_2 WHERE customer_id IS NOT NULL
+    UNION ALL
+    SELECT * FROM customers_1 o WHERE customer_id IS NOT NULL
+      AND NOT EXISTS (SELECT 1 FROM customers_2 n WHERE n.customer_id = o.customer_id))
+SELECT c.customer_id, c.first_name, CAST(NULL AS VARCHAR) AS last_name,
+       CAST(NULL AS VARCHAR) AS email, CAST(NULL AS VARCHAR) AS phone,
+       CAST(NULL AS VARCHAR) AS country, c.status, c.plan_id, p.plan_name, p.plan_category,
+       p.monthly_price, TIMESTAMP '{RUN_TS}' AS ingestion_ts
+FROM newest c LEFT JOIN plans p ON c.plan_id = p.plan_id
+"""
+)
+
+_WAREHOUSE = (
+    _ARCHIVE
+    + f"""
+, first_run AS (SELECT * FROM customers_1 WHERE customer_id IS NOT NULL),
+second_run AS (SELECT * FROM customers_2 WHERE customer_id IS NOT NULL),
+versions AS (
+    SELECT f.*, TIMESTAMP '{DAYS[0]}' AS effective_start_date,
+           CASE WHEN s.status <> f.status OR s.plan_id <> f.plan_id
+                THEN TIMESTAMP '{DAYS[1]}' END AS effective_end_date
+    FROM first_run f LEFT JOIN second_run s ON f.customer_id = s.customer_id
+    UNION ALL
+    SELECT s.*, TIMESTAMP '{DAYS[1]}', NULL
+    FROM second_run s LEFT JOIN first_run f ON f.customer_id = s.customer_id
+    WHERE f.customer_id IS NULL OR s.status <> f.status OR s.plan_id <> f.plan_id)
+"""
+)
+
+ORACLE["warehouse_customers"] = (
+    _WAREHOUSE
+    + """
+SELECT v.*, v.effective_end_date IS NULL AS is_current, p.plan_category = 'Premium'
+           AS roaming_enabled, p.monthly_price
+FROM versions v LEFT JOIN plans p ON v.plan_id = p.plan_id
+"""
+)
+
+ORACLE["warehouse_facts"] = (
+    _WAREHOUSE
+    + f"""
+, delivered AS (
+    SELECT *, TIMESTAMP '{DAYS[0]}' AS ingestion_ts FROM activity_1
+    WHERE customer_id IS NOT NULL
+    UNION ALL
+    SELECT *, TIMESTAMP '{DAYS[1]}' FROM activity_2 n
+    WHERE customer_id IS NOT NULL
+      AND NOT EXISTS (SELECT 1 FROM activity_1 o WHERE o.event_id = n.event_id))
+SELECT d.event_id, d.customer_id, d.event_type, d.event_timestamp, d.device_type,
+       d.network_type, d.ingestion_ts, v.effective_start_date AS version_from, v.plan_id
+FROM delivered d LEFT JOIN versions v
+  ON d.customer_id = v.customer_id AND d.event_timestamp >= v.effective_start_date
+ AND d.event_timestamp < coalesce(v.effective_end_date, TIMESTAMP '9999-12-31')
+"""
+)
