@@ -87,15 +87,21 @@ def take_in(
     """Judge one batch of files and route it; everything it writes is replaced on a repeat."""
     manifest = record_verdicts(lines, files, root, day, batch)
     place = {"ingest_date": F.lit(str(day)), "batch": F.lit(batch)}
-    write_lines(
-        routed_ndjson(lines, manifest).withColumns(place).select("value", *_FOLDERS),
-        f"{root}/archive", _FOLDERS,
-    )
-    write_lines(
-        routed_rejects(lines, manifest).withColumns(place).select("value", *_FOLDERS),
-        f"{root}/rejected", _FOLDERS,
-    )
+    # Each kind of output reads the lines again, so kinds that do not occur are left out.
+    csv = F.coalesce(F.col("dataset").isin(*CSV_DATASETS), F.lit(False))
+    if not manifest.filter(F.col("ok") & ~csv).isEmpty():
+        write_lines(
+            routed_ndjson(lines, manifest).withColumns(place).select("value", *_FOLDERS),
+            f"{root}/archive", _FOLDERS,
+        )
+    if not manifest.filter(~F.col("ok")).isEmpty():
+        write_lines(
+            routed_rejects(lines, manifest).withColumns(place).select("value", *_FOLDERS),
+            f"{root}/rejected", _FOLDERS,
+        )
     for dataset in CSV_DATASETS:
+        if manifest.filter(F.col("ok") & (F.col("dataset") == dataset)).isEmpty():
+            continue
         # The write keeps an order that starts with its folder column, so headers stay first.
         chunks = routed_csv(lines, manifest, dataset).repartition("chunk")
         ordered = chunks.sortWithinPartitions("chunk", "line_no").select("value", "chunk")
