@@ -36,10 +36,14 @@ def heavy_keys(
     **measures: Column,
 ) -> DataFrame | None:
     """Keys with more than ``more_than`` rows, their time range and number of slots; None when
-    there are none. Written at once, so Spark knows the real size when it joins them."""
+    there are none. The usual case costs one count per key. Otherwise the keys are written, so
+    that Spark knows the real size when it joins them."""
+    timed = df.filter(F.col(key).isNotNull() & F.col(at).isNotNull())
+    largest = timed.groupBy(key).count().agg(F.max("count")).first()[0]
+    if largest is None or largest <= more_than:
+        return None
     counted = (
-        df.filter(F.col(key).isNotNull() & F.col(at).isNotNull())
-        .groupBy(F.col(key).alias(_KEY))
+        timed.groupBy(F.col(key).alias(_KEY))
         .agg(
             F.count(F.lit(1)).alias("_n"),
             F.min(seconds(F.col(at))).alias(_FIRST),
@@ -49,8 +53,7 @@ def heavy_keys(
         .filter(F.col("_n") > more_than)
     )
     slots = F.ceil(F.col("_n") / F.lit(per_slot or more_than)).cast("bigint")
-    found = cut_lineage(counted.withColumn(_SLOTS, slots).drop("_n"))
-    return None if found.isEmpty() else found
+    return cut_lineage(counted.withColumn(_SLOTS, slots).drop("_n"))
 
 
 def with_heavy(df: DataFrame, key: Column, heavy: DataFrame) -> DataFrame:
