@@ -64,3 +64,49 @@ def mixed(x: np.ndarray) -> np.ndarray:
     x *= np.uint64(0xD6E8FEB86659FD93)
     x ^= x >> np.uint64(32)
     return x
+
+
+#: Word hashes are polynomials in ``_BASE`` over random values of the bytes, modulo 2 ** 64.
+_BASE = 0x9E3779B97F4A7C15
+_BYTE_VALUES = np.random.default_rng(5).integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+ASCII_BLANK = np.isin(np.arange(256), list(b" \t\n\x0b\x0c\r"))
+
+
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the base and of its inverse, from 0 to n."""
+    if len(_powers[0]) <= n:
+        for i, base in enumerate((_BASE, pow(_BASE, -1, 2**64))):
+            steps = np.full(n + 1, base, np.uint64)
+            steps[0] = 1
+            _powers[i] = np.cumprod(steps, dtype=np.uint64)
+    return _powers[0], _powers[1]
+
+
+def scan_words(data: np.ndarray, offsets: np.ndarray, cuts: np.ndarray | None = None) -> tuple[np.ndarray, ...]:
+    """Words of texts that lie end to end: starts, ends, 64-bit hashes, and each text's first word.
+
+    Words end at ASCII white space, at the end of a text, and before the places ``cuts``.
+    Hashes depend on the bytes of the word alone."""
+    body = ~ASCII_BLANK[data]
+    first = body.copy()
+    first[1:] &= ~body[:-1]
+    begins = offsets[:-1][offsets[:-1] < len(data)]
+    first[begins] = body[begins]
+    if cuts is not None:
+        first[cuts] = True
+    last = body.copy()
+    last[:-1] &= ~body[1:] | first[1:]
+    starts, ends = np.flatnonzero(first), np.flatnonzero(last) + 1
+    up, down = powers(len(data))
+    sums = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum(_BYTE_VALUES[data] * up[: len(data)], out=sums[1:])
+    hashes = mixed((sums[ends] - sums[starts]) * down[starts])
+    return starts, ends, hashes, np.searchsorted(starts, offsets)
+
+
+def gathered(pool: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """Runs of ``pool``, end to end."""
+    ends = np.cumsum(lengths)
+    total = int(ends[-1]) if len(ends) else 0
+    return pool[np.repeat(starts - (ends - lengths), lengths) + np.arange(total)]

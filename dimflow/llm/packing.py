@@ -8,9 +8,7 @@ corpus. Spark tokenizes, counts, ranks the pieces of each length and looks their
 from __future__ import annotations
 
 import os
-import re
 import zlib
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -19,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from dimflow.llm.common import id_and_text, slices, table
+from dimflow.llm.common import gathered, id_and_text, scan_words, slices, table, utf8
 from dimflow.session import cut_lineage
 
 CAPACITY = 2048
@@ -33,8 +31,21 @@ PARTS = 64
 FILLINGS, STEPS = 2_000, 2_000
 
 
-#: Marks that end a word: no token holds them together with the letter before.
-MARKS = re.compile(rb"(?<=[a-z])([.,;:!?#*$%&|]+)(?=[ \n])")
+#: Marks that may end a word: no token holds them together with the letter before.
+MARK = np.isin(np.arange(256), list(b".,;:!?#*$%&|"))
+BLANK = np.isin(np.arange(256), list(b" \n"))
+LETTER = np.isin(np.arange(256), range(ord("a"), ord("z") + 1))
+
+
+def ending_marks(data: np.ndarray) -> np.ndarray:
+    """Places between a letter and up to four marks that end its word. Fewer words are distinct if cut there."""
+    if len(data) < 2:
+        return np.zeros(0, np.int64)
+    mark = MARK[data]
+    ends = mark & np.append(BLANK[data[1:]], True)
+    for _ in range(3):
+        ends[:-1] |= mark[:-1] & ends[1:] & mark[1:]
+    return np.flatnonzero(ends[1:] & LETTER[data[:-1]]) + 1
 
 
 class Words:
@@ -57,12 +68,14 @@ class Words:
     def one(self, word: bytes) -> bytes:
         return np.array(self.model.encode(word.decode("utf-8", "replace"), add_special_tokens=False).ids, "<u4").tobytes()
 
-    def learn(self, words: set[bytes]) -> None:
+    def learn(self, words: list[bytes]) -> None:
         known = self.known
         if len(known) > KEPT_WORDS:
             known.clear()
         letters = []
-        for word in words.difference(known):
+        for word in words:
+            if word in known:
+                continue
             text = word.decode("utf-8", "replace")
             if text.isalpha() and text.lower().isalpha() and "Σ" not in text:
                 letters.append((word, text))
@@ -80,11 +93,19 @@ class Words:
             else:
                 known.update((word, self.one(word)) for word, _ in part)
 
-    def ids(self, texts: list[str]) -> list[bytes]:
-        """Of each text, the packed ids."""
-        words = [MARKS.sub(rb" \1", t.encode("utf-8", "surrogatepass")).split() for t in texts]
-        self.learn(set(chain.from_iterable(words)))
-        return [b"".join(map(self.known.__getitem__, ws)) for ws in words]
+    def ids(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of the texts end to end, and where each text's begin. Each distinct word is looked up once."""
+        data, offsets = utf8(texts)
+        starts, ends, hashes, first = scan_words(data, offsets, ending_marks(data))
+        _, at, which = np.unique(hashes, return_index=True, return_inverse=True)
+        raw = data.tobytes()
+        words = [raw[i:j] for i, j in zip(starts[at].tolist(), ends[at].tolist())]
+        self.learn(words)
+        packed = list(map(self.known.__getitem__, words))
+        sizes = np.array([len(p) // 4 for p in packed], np.int64)
+        lengths = sizes[which]
+        ids = gathered(np.frombuffer(b"".join(packed), "<u4"), (np.cumsum(sizes) - sizes)[which], lengths)
+        return ids, np.concatenate([[0], np.cumsum(lengths)])[first]
 
 
 _words: dict[str, Words] = {}
@@ -99,12 +120,13 @@ def tokenized(docs: DataFrame, capacity: int, tokenizer_path: str | None, keep_i
         words = _words[path] = _words.get(path) or Words(path)
         end = np.array([END_ID], "<u4").tobytes()
         for batch in slices(batches):
-            texts = [t or "" for t in batch.column("text").to_pylist()]
             rows = {n: [] for n in names}
-            for doc, ids in zip(batch.column("doc_id").to_pylist(), words.ids(texts)):
-                ids += end
-                for piece, at in enumerate(range(0, len(ids), 4 * capacity)):
-                    part = ids[at : at + 4 * capacity]
+            ids, begins = words.ids(batch.column("text"))
+            packed, begins = ids.tobytes(), (4 * begins).tolist()
+            for doc, begin, stop in zip(batch.column("doc_id").to_pylist(), begins, begins[1:]):
+                own = packed[begin:stop] + end
+                for piece, at in enumerate(range(0, len(own), 4 * capacity)):
+                    part = own[at : at + 4 * capacity]
                     for n, v in zip(names, (doc, piece, at // 4, len(part) // 4, zlib.crc32(part), part)):
                         rows[n].append(v)
             types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64())]
