@@ -1,13 +1,15 @@
 """Queries of the numbered operators and their SQL twins."""
 
-from dimflow.llm import neighbours, packing, quality, secrets, sentencepieces, token_counts, url_filter, language
+from dimflow.llm import (
+    language, neighbours, ngram_join, packing, quality, secrets, sentencepieces, suffix_dedup, token_counts, url_filter,
+)
 
 QUERIES = {
     f.__name__: f
     for f in (
-        quality.op1_quality_rules, secrets.op2_secret_scans, language.op3_language_id,
+        quality.op1_quality_rules, secrets.op2_secret_scans, language.op3_language_id, suffix_dedup.op4_suffix_array_dedup,
         token_counts.op5_token_counts, url_filter.op6_url_filters, packing.op7_best_fit_packing,
-        sentencepieces.op9_sentencepiece, neighbours.op10_nearest_neighbours,
+        ngram_join.op8_ngram_jaccard, sentencepieces.op9_sentencepiece, neighbours.op10_nearest_neighbours,
     )
 }
 ORACLE = {"op1_quality_rules": quality.SQL, "op6_url_filters": url_filter.SQL}
