@@ -9,8 +9,8 @@ Candidates share an n-gram in their prefixes, the first so many n-grams in an or
 frequent ones last, so that two documents with enough overlap always share one. For each pair the
 overlaps are counted fragment by fragment and summed.
 
-Pairs are not all listed: equal sets are one node; then each node is compared with the node it shares most of its
-prefix with, and after that only pairs that are not connected yet.
+Pairs are not all listed: equal sets are one node; then the nodes of each prefix n-gram are compared with a few leads among
+them, and after that only pairs that are not connected yet. Sketches rule most unlike pairs out within the join.
 """
 
 from __future__ import annotations
@@ -19,7 +19,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -35,6 +35,10 @@ FRAGMENTS = 4
 #: The order of the prefix puts n-grams last that more than 1 of RARE documents of a sample has.
 SAMPLE_NODES, RARE = 20_000, 500
 KEY_BYTES = 5
+#: The nodes of a prefix n-gram are first compared with the smallest after each of these masks: fixed, so many for any group.
+LEADS = [0, 0x15A4E35F3, 0x2F0C8B1D6, 0x0D39A67EC, 0x3A5F91C2B, 0x1C7E2D4A9, 0x26B81F3D5, 0x37D4C6A8E]
+#: Words of 64 bits in a node's sketch.
+SKETCH = 8
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[ord("A") : ord("Z") + 1] += 32
 
@@ -188,7 +192,7 @@ def sets_of_slice(least: int):
 
 
 def prefixes(nodes: DataFrame, least: int) -> DataFrame:
-    """``key, node, n`` of each node's prefix. The few frequent n-grams come from a bounded sample:
+    """``node, info, prefix`` of each node; ``info`` has its sizes and a sketch of 64 * SKETCH bits, one or more of its n-grams set each. The few frequent n-grams come from a bounded sample:
     at most RARE times the sample's mean size of them. Any order is right as long as it is one for all."""
     total = max(1, nodes.count())
     sample = nodes.where(F.pmod(F.xxhash64("node"), F.lit(1_000_000)) < int(1e6 * min(1.0, SAMPLE_NODES / total)) + 1)
@@ -200,7 +204,7 @@ def prefixes(nodes: DataFrame, least: int) -> DataFrame:
     def cut(batches):
         names, counts = frequent.value
         for batch in batches:
-            out = []
+            out, bits = [], []
             for keys, n in zip(batch.column("keys"), batch.column("n").to_pylist()):
                 keys = keys.values.to_numpy()
                 order = keys
@@ -208,10 +212,25 @@ def prefixes(nodes: DataFrame, least: int) -> DataFrame:
                     at = np.minimum(np.searchsorted(names, keys), len(names) - 1)
                     order = keys[np.lexsort((keys, np.where(names[at] == keys, counts[at], 0)))]
                 out.append(order[: len(keys) - need(n, least) + 1])
-            yield pa.RecordBatch.from_arrays([batch.column("node"), batch.column("n"), pa.array(out, pa.list_(pa.int64()))], names=["node", "n", "prefix"])
+                place = mixed(keys.view(np.uint64).copy()) % np.uint64(64 * SKETCH)
+                bits.append(np.packbits(np.bincount(place.astype(np.int64), minlength=64 * SKETCH) > 0).view(np.int64))
+            sizes = np.diff(batch.column("keys").offsets.to_numpy())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("node"), batch.column("n"), pa.array(sizes, pa.int64()), pa.array(out, pa.list_(pa.int64())), pa.array(bits, pa.list_(pa.int64()))],
+                names=["node", "n", "size", "prefix", "sketch"],
+            )
+
+    cuts = nodes.select("node", "n", "keys").mapInArrow(cut, "node long, n long, size long, prefix array<long>, sketch array<long>")
+    return cuts.select("node", F.struct("n", "size", *(F.get("sketch", F.lit(i)).alias(f"s{i}") for i in range(SKETCH))).alias("info"), "prefix")
 
-    cuts = nodes.select("node", "n", "keys").mapInArrow(cut, "node long, n long, prefix array<long>")
-    return cuts.select(F.explode("prefix").alias("key"), "node", "n")
+
+def likely(a: Column, b: Column, least: int) -> Column:
+    """Whether two nodes can link, by their sizes and sketches. Different bits are at most as many as different
+    n-grams, so no link is lost."""
+    both = a["n"] + b["n"]
+    apart = sum((F.bit_count(a[f"s{i}"].bitwiseXOR(b[f"s{i}"])) for i in range(SKETCH)), F.lit(0))
+    near = 100 * F.least(a["n"], b["n"]) >= least * F.greatest(a["n"], b["n"])
+    return near & ((100 + least) * (a["size"] + b["size"] - apart) >= 2 * least * both)
 
 
 def linked(pairs: DataFrame, segments: DataFrame, least: int) -> DataFrame:
@@ -224,10 +243,6 @@ def linked(pairs: DataFrame, segments: DataFrame, least: int) -> DataFrame:
     return total.where((100 + least) * F.col("o") >= least * (F.col("na") + F.col("nb"))).select("a", "b")
 
 
-def near(na, nb, least: int):
-    return 100 * F.least(na, nb) >= least * F.greatest(na, nb)
-
-
 def jaccard_components(docs: DataFrame, words: int = WORDS, least: int = LEAST, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: ``doc_id, n_shingles, component_id``.
 
@@ -251,20 +266,31 @@ def jaccard_components(docs: DataFrame, words: int = WORDS, least: int = LEAST,
     fragment = lambda i: F.filter("keys", lambda k: F.pmod(F.shiftright(k, 40), F.lit(FRAGMENTS)) == i)
     segments = nodes.select("node", F.posexplode(F.array(*map(fragment, range(FRAGMENTS)))).alias("fragment", "segment"))
 
-    prefix = cut_lineage(prefixes(nodes, least))
-    buckets = prefix.groupBy("key").agg(F.count("*").alias("c"), F.min(F.struct("node", "n")).alias("lead")).where("c > 1").select("key", "lead")
-    tries = prefix.join(buckets, "key").select("node", "n", F.col("lead.node").alias("b"), F.col("lead.n").alias("nb")).where(F.col("node") != F.col("b")).where(near(F.col("n"), F.col("nb"), least))
-    shared = tries.groupBy("node", "n", "b", "nb").agg(F.count("*").alias("c"))
-    best = shared.groupBy("node", "n").agg(F.max_by(F.struct("b", "nb"), F.struct("c", -F.col("b"))).alias("best"))
-    links = cut_lineage(linked(best.select(F.col("node").alias("a"), F.col("best.b").alias("b"), F.col("n").alias("na"), F.col("best.nb").alias("nb")), segments, least))
+    infos = cut_lineage(prefixes(nodes, least))
+    prefix = infos.select(F.explode("prefix").alias("key"), "node")
+    info = infos.select("node", "info")
+    of = lambda side, node: side.select(F.col("node").alias(node), F.col("info").alias(f"i{node}"))
+
+    def likely_pairs(pairs: DataFrame) -> DataFrame:
+        both = pairs.join(of(info, "a"), "a").join(of(info, "b"), "b").where(likely(F.col("ia"), F.col("ib"), least))
+        return both.select("a", "b", F.col("ia.n").alias("na"), F.col("ib.n").alias("nb"))
+
+    leads = [F.min(F.col("node").bitwiseXOR(F.lit(m))).bitwiseXOR(F.lit(m)) for m in LEADS]
+    buckets = prefix.groupBy("key").agg(F.count("*").alias("c"), F.array(*leads).alias("leads")).where("c > 1").select("key", "leads")
+    tries = prefix.join(buckets, "key").select("node", F.explode("leads").alias("lead")).where("node != lead")
+    tries = tries.select(F.greatest("node", "lead").alias("a"), F.least("node", "lead").alias("b")).distinct()
+    links = cut_lineage(linked(cut_lineage(likely_pairs(tries)), segments, least))
     labels = components(links)
 
-    labelled = cut_lineage(prefix.join(labels, "node", "left").select("key", "node", "n", F.coalesce("label", "node").alias("label")))
+    labelled = prefix.join(labels, "node", "left").select("key", "node", F.coalesce("label", "node").alias("label"))
+    labelled = cut_lineage(labelled)
     mixed_keys = labelled.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x < y").select("key")
-    open_rows = labelled.join(mixed_keys, "key", "left_semi")
-    other = open_rows.select("key", *(F.col(c).alias(f"{c}_b") for c in ("node", "n", "label")))
-    pairs = open_rows.join(other, "key").where("label < label_b").where(near(F.col("n"), F.col("n_b"), least))
-    pairs = pairs.select(F.col("node").alias("a"), F.col("node_b").alias("b"), F.col("n").alias("na"), F.col("n_b").alias("nb")).distinct()
+    open_rows = labelled.join(mixed_keys, "key", "left_semi").join(info, "node")
+    mine = open_rows.select("key", F.col("node").alias("a"), F.col("label").alias("la"), F.col("info").alias("ia"))
+    other = open_rows.select("key", F.col("node").alias("b"), F.col("label").alias("lb"), F.col("info").alias("ib"))
+    # Unlike nodes of a frequent key fail in the join's condition and make no rows.
+    alike = (mine["key"] == other["key"]) & (F.col("la") < F.col("lb")) & likely(F.col("ia"), F.col("ib"), least)
+    pairs = mine.join(other, alike).select("a", "b", F.col("ia.n").alias("na"), F.col("ib.n").alias("nb")).distinct()
     more = linked(cut_lineage(pairs), segments, least)
     joined = cut_lineage(components(links.unionByName(more)))
 
