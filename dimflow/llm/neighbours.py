@@ -227,12 +227,12 @@ def nearest(rows: DataFrame, is_query, k: int = 5, sample_queries: int = SAMPLE_
     queries = cut_lineage(queries)
     total = classes.count()
     trees, bits = fitted(classes, queries, dim, total, k, sample_queries)
-    found = cut_lineage(searched(classes, queries, dim, trees, bits, trees * total / 2**bits, k))
-    if bits > ASCENT:  # the few queries whose segments hold too little are compared with all rows
-        full = found.groupBy("query").count().where(F.col("count") > k)
-        short = queries.join(full, F.col("class") == F.col("query"), "left_anti")
-        if not short.isEmpty():
-            found = found.unionByName(searched(classes, short, dim, 1, 0, 0, k)).distinct()
+    found = cut_lineage(searched(classes, queries, dim, trees, bits, max(trees * total / 2**bits, 20 * k), k))
+    # The few queries that found too little are compared with all rows.
+    full = found.groupBy("query").count().where(F.col("count") > k)
+    short = queries.join(full, F.col("class") == F.col("query"), "left_anti")
+    if bits and not short.isEmpty():
+        found = found.unionByName(searched(classes, short, dim, 1, 0, total, k)).distinct()
     answers = asking.withColumnRenamed("vec_id", "query_id").join(found, F.col("class") == F.col("query")).where("query_id != vec_id")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     best = answers.select("query_id", "vec_id", "score").groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))

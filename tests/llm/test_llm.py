@@ -1,0 +1,386 @@
+"""The text operators against brute force, on odd rows and on the small tables."""
+
+import random
+import struct
+import sys
+import zlib
+from collections import Counter, defaultdict
+from pathlib import Path
+
+import duckdb
+import numpy as np
+import public_tokenizers
+import pyarrow as pa
+import pytest
+import sentencepiece
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+sys.path.insert(0, str(Path(__file__).resolve().parents[2]))
+
+import __spark_entry__ as contract  # noqa: E402
+import corpus_pipeline  # noqa: E402
+from dimflow.llm import (  # noqa: E402
+    language, neighbours, ngram_join, packing, quality, secrets, sentencepieces, suffix_dedup, token_counts, unigram, url_filter,
+)
+from tests.llm import brute  # noqa: E402
+
+SMALL = "/root/testdata/sf0.001"
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
+PASSAGE = "one passage of words that several of the documents of this table have in common, word for word"
+NEAR = " ".join(f"w{i}" for i in range(40))
+
+
+def odd_texts():
+    r = random.Random(1)
+    letters = "abc DE\n\té漢😀.,'|#%▁\x0b"
+    texts = [None, "", " ", "\n \n", "x", "é", "One two", PASSAGE, f"before {PASSAGE} after", f"É{PASSAGE}é {PASSAGE}", NEAR, NEAR.upper(), NEAR + " end", "a b c d"]
+    texts += ["token = 'abcdef1' AKIA" + "Q7" * 9, "sum 0f1e2d3c4b5a69788796a5b4c3d2e1f0", "zZ9+xY8wQq7Tt6Rr5Ee4 and abcdefghijklmnopqrstuvwxyz", "naïve\x1cx don't İ, ΟΔΟΣ. <|endoftext|>"]
+    texts += ["word " * 30_000, "y" * 70_000, "hello there\n" * 80]
+    return texts + ["".join(r.choice(letters) for _ in range(r.randint(0, 120))) for _ in range(30)]
+
+
+def rows_of(texts):
+    rows = [(i, t, ("en", "de", None)[i % 3], f"s{i % 2}", len(t) if t else 0) for i, t in enumerate(texts)]
+    return rows + [rows[8], rows[8], (None, PASSAGE, "en", "s", 1), (None, NEAR, None, None, None)]
+
+
+@pytest.fixture(scope="module")
+def odd(spark):
+    return spark.createDataFrame(rows_of(odd_texts()), SCHEMA).repartition(3)
+
+
+@pytest.fixture(scope="module")
+def empty(spark):
+    return spark.createDataFrame([], SCHEMA)
+
+
+def clashing(df):
+    for name in ("part", "key", "uid", "slice", "n", "kept", "score", "base", "rank"):
+        df = df.withColumn(name, F.lit("x"))
+    return df
+
+
+def got(df, *columns):
+    return sorted((tuple(r) for r in df.select(*(columns or df.columns)).collect()), key=repr)
+
+
+def given(df):
+    return [(r.doc_id, r.text) for r in df.select("doc_id", "text").collect()]
+
+
+def same(found, want):
+    assert sorted(map(tuple, found), key=repr) == sorted(map(tuple, want), key=repr)
+
+
+@pytest.mark.parametrize("name", sorted(n for n in contract.oracle_sql() if n.startswith("op")))
+def test_twins(spark, name):
+    db = duckdb.connect()
+    for path in Path(SMALL).glob("*.parquet"):
+        db.execute(f"CREATE VIEW {path.stem} AS SELECT * FROM '{path}'")
+    found = contract.queries()[name](spark, SMALL)
+    want = db.execute(f"SELECT {', '.join(found.columns)} FROM ({contract.oracle_sql()[name]})").fetchall()
+    same(got(found), want)
+
+
+def test_all_are_registered():
+    assert {n.split("_")[0] for n in contract.queries() if n.startswith("op")} == {f"op{i}" for i in range(1, 11)}
+    assert "pipeline" in contract.queries()
+
+
+def test_quality(odd, empty):
+    found = quality.quality_cascade(clashing(odd)).drop("rejected_by")
+    same(got(found), [(i, *brute.quality(t)) for i, t in given(odd)])
+    assert quality.quality_cascade(empty).count() == 0
+
+
+def test_cascade_order_and_first_failure(odd):
+    assert quality.cascade_order({"a": (1.0, 0.5), "b": (0.1, 0.5), "c": (1.0, 0.9)}) == ["b", "c", "a"]
+    rules = {**quality.RULES, "never": lambda p: False}
+    assert got(quality.quality_cascade(odd, rules), "doc_id", "kept") == got(quality.quality_cascade(odd), "doc_id", "kept")
+    assert all((r.rejected_by is None) == r.kept for r in quality.quality_cascade(odd).collect())
+
+
+def test_secrets(spark, odd, empty):
+    docs = clashing(odd)
+    same(got(secrets.scan(docs)), [(i, *brute.secrets(t, secrets)) for i, t in given(odd)])
+    r = random.Random(4)
+    texts = ["".join(r.choice("abcdefghijABCXYZ0123456789+/=_- é") for _ in range(r.randint(0, 150))) for _ in range(60)]
+    more = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    same(got(secrets.scan(more)), [(i, *brute.secrets(t, secrets)) for i, t in enumerate(texts)])
+    assert secrets.scan(empty).count() == 0
+
+
+def test_redact(spark):
+    docs = spark.createDataFrame([(1, "é token=abcdef9 AKIA" + "Q7" * 9 + "!"), (2, None), (3, "clean")], "doc_id long, text string")
+    assert got(secrets.redact(docs)) == [(1, "é [SECRET] [SECRET]!"), (2, None), (3, "clean")]
+
+
+def test_language(spark, odd, empty):
+    found = {r.doc_id: r for r in language.identify(clashing(odd)).collect()}
+    for i, t in given(odd):
+        if i is None:
+            continue
+        held = zlib.crc32(str(i).encode()) % 4 == 2
+        assert found[i].held_out == held and 0 <= found[i].score <= 1
+        assert (found[i].lang_pred == "und") == (not any(c.isalpha() for c in t or ""))
+    assert language.identify(empty).count() == 0
+    unlabelled = odd.withColumn("lang", F.lit(None).cast("string"))
+    assert {(r.lang_pred, r.score) for r in language.identify(unlabelled).collect()} == {("und", 0.0)}
+
+
+def test_language_held_out_accuracy(spark):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    both = language.identify(docs).join(docs.select("doc_id", "lang"), "doc_id").where("held_out").collect()
+    assert sum(r.lang_pred == r.lang for r in both) >= 0.95 * len(both)
+
+
+def test_suffix_order():
+    r = random.Random(3)
+    for _ in range(200):
+        text = np.array([r.randint(1, r.choice([1, 2, 9])) for _ in range(r.randint(0, 60))], np.int64)
+        starts = np.array(sorted(r.sample(range(len(text)), r.randint(0, len(text)))), np.int64)
+        depth = r.choice([1, 2, 4, 10, 50])
+        order = suffix_dedup.suffix_order(text, starts, depth)
+        assert sorted(order.tolist()) == starts.tolist()
+        prefixes = [text[i : i + depth].tolist() for i in order]
+        assert prefixes == sorted(prefixes)
+
+
+def test_repeats(odd, empty):
+    docs = clashing(odd)
+    same(got(suffix_dedup.remove_repeats(docs).drop("kept")), brute.repeats(given(odd)))
+    assert suffix_dedup.remove_repeats(empty).count() == 0
+
+
+@pytest.mark.parametrize("slice_bytes", [200, 4 << 20])
+def test_repeats_across_slices(spark, monkeypatch, slice_bytes):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").repartition(5)
+    monkeypatch.setattr(suffix_dedup, "slices", lambda batches: sliced(batches, slice_bytes))
+    same(got(suffix_dedup.remove_repeats(docs).drop("kept")), brute.repeats(given(docs)))
+
+
+def sliced(batches, size):
+    from dimflow.llm.common import slices
+
+    return slices(batches, size)
+
+
+def test_token_counts_and_coding(spark, odd, empty):
+    coded = sentencepieces.decode(sentencepieces.encode(clashing(odd)))
+    for r in coded.collect():
+        assert r.decoded == r.text and (r.ids is None) == (r.text is None)
+    ids = sorted((repr(r.doc_id), len(r.ids or [])) for r in coded.collect())
+    assert ids == sorted((repr(r.doc_id), r.n_tokens) for r in token_counts.token_counts(clashing(odd)).collect())
+    assert sentencepieces.encode(empty).count() == token_counts.token_counts(empty).count() == 0
+
+
+def unigram_model():
+    """The public model with its type set to unigram and the scores that the operators use."""
+    raw = Path(public_tokenizers.path("piece_bpe_32k.model")).read_bytes()
+    own = unigram.vocabulary(public_tokenizers.path("piece_bpe_32k.model"))
+
+    def number(b, i):
+        value = shift = 0
+        while True:
+            value, shift, i = value | (b[i] & 127) << shift, shift + 7, i + 1
+            if b[i - 1] < 128:
+                return value, i
+
+    def put(n):
+        return bytes([n]) if n < 128 else bytes([n & 127 | 128]) + put(n >> 7)
+
+    def fields(b):
+        i = 0
+        while i < len(b):
+            key, i = number(b, i)
+            if key & 7 == 2:
+                size, i = number(b, i)
+                yield key, b[i : i + size]
+                i += size
+            elif key & 7 == 5:
+                yield key, b[i : i + 4]
+                i += 4
+            else:
+                value, i = number(b, i)
+                yield key, value
+
+    def join(pairs):
+        return b"".join(put(k) + (put(v) if k & 7 == 0 else put(len(v)) + v if k & 7 == 2 else v) for k, v in pairs)
+
+    out = []
+    for key, value in fields(raw):
+        if key == 10:
+            parts = list(fields(value))
+            piece = next(v for k, v in parts if k == 10).decode().replace("▁", " ")
+            if piece in own.ids:
+                value = join((k, struct.pack("<f", own.ends[piece]) if k == 21 else v) for k, v in parts)
+        elif key == 18:
+            value = join((k, 1 if k == 24 else v) for k, v in fields(value))
+        out.append((key, value))
+    return sentencepiece.SentencePieceProcessor(model_proto=join(out))
+
+
+def test_coding_equals_the_library(spark):
+    model = unigram_model()
+    texts = [t[:400] for t in odd_texts() if t and "▁" not in t]
+    texts += [r.text[:600] for r in spark.read.parquet(f"{SMALL}/documents.parquet").limit(60).collect()]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for r in sentencepieces.encode(docs).collect():
+        assert r.ids == model.encode(r.text)
+
+
+def test_urls(spark):
+    urls = [None, "", "no scheme", "http://A.B", "HTTP://x.Example.NET/en/1?q#f", "a://example.com/de/", "a://bexample.com/de/", "x://org/fr/é", "a://m.org/fr/", "http://h1?x", "http://n.net", "://h2/a://b"]
+    pages = spark.createDataFrame([(i, u, "h") for i, u in enumerate(urls)], "page_id long, url string, host string")
+    listed = spark.createDataFrame([("h1",), ("h2",), ("h2",), (None,), ("not.seen",)], "key string")
+    found = {r[0]: r[1:] for r in got(url_filter.filter_urls(pages, listed))}
+    assert found[0] == found[1] == found[2] == ("", "", None, "allow")
+    assert found[4] == ("x.example.net", "/en/1", "example.net/en/", "allow")
+    assert found[5][2:] == ("example.com/de/", "block") and found[6][2:] == (None, "allow")
+    assert found[8][2:] == ("org/fr/", "allow") and found[7][2:] == ("org/fr/", "allow")
+    assert found[9] == ("h1", "", None, "block") and found[10] == ("n.net", "", None, "allow") and found[11] == ("h2", "/a://b", None, "block")
+    joined = url_filter.filter_urls(pages, listed, most_bits=0)
+    assert got(joined) == got(url_filter.filter_urls(pages, listed))
+    assert url_filter.filter_urls(pages.limit(0), listed).count() == 0
+
+
+def test_cascade_is_exact(spark, monkeypatch):
+    monkeypatch.setattr(url_filter, "BITS_PER_KEY", 2)
+    monkeypatch.setattr(url_filter, "HASHES", 2)
+    keys = spark.range(5000).select(F.concat(F.lit("h"), "id").alias("key"), (F.col("id") % 9 == 0).alias("listed"))
+    levels = url_filter.cascade(keys)
+    assert len(levels) > 3
+    assert keys.where(url_filter.is_member(F.col("key"), levels) != F.col("listed")).count() == 0
+
+
+def check_packing(found, docs, capacity):
+    model = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    want = []
+    for i, t in docs:
+        ids = [*model.encode(t or "", add_special_tokens=False).ids, 0]
+        want += [(i, k // capacity, k, len(ids[k : k + capacity]), zlib.crc32(np.array(ids[k : k + capacity], "<u4").tobytes())) for k in range(0, len(ids), capacity)]
+    same([tuple(r)[:5] for r in found], want)
+    bins = defaultdict(list)
+    for r in found:
+        bins[r.sequence_id].append((r.offset, r.length))
+    for places in bins.values():
+        end = 0
+        for offset, length in sorted(places):
+            assert offset == end
+            end += length
+        assert end <= capacity
+    return len(bins)
+
+
+def test_packing(odd, empty):
+    check_packing(packing.pack(clashing(odd)).collect(), given(odd), 2048)
+    check_packing(packing.pack(odd, capacity=32).collect(), given(odd), 32)
+    assert packing.pack(empty).count() == 0
+
+
+def test_bin_completion():
+    r = random.Random(5)
+    for _ in range(40):
+        capacity = r.choice([10, 50, 2048])
+        counts = Counter(r.randint(1, capacity) for _ in range(r.randint(1, 200)))
+        bins = packing.complete(dict(counts), capacity)
+        used = Counter()
+        for filling, n in bins:
+            assert sum(filling) <= capacity
+            for size in filling:
+                used[size] += n
+        assert used == counts
+        assert sum(n for _, n in bins) <= sum(n for _, n in packing.best_fit(dict(counts), capacity))
+    # Best fit needs three bins here, completion finds two.
+    assert sum(n for _, n in packing.complete({6: 1, 5: 1, 4: 1, 3: 1, 2: 1}, 10)) == 2
+
+
+def test_jaccard(odd, empty):
+    same(got(ngram_join.jaccard_components(clashing(odd))), brute.jaccard(given(odd)))
+    assert ngram_join.jaccard_components(empty).count() == 0
+
+
+def test_jaccard_near_copies(spark):
+    r = random.Random(8)
+    base = [f"v{r.randint(0, 400)}" for _ in range(120)]
+    rows = []
+    for i in range(150):
+        words = list(base)
+        for _ in range(r.randint(0, 6)):
+            words[r.randrange(len(words))] = f"z{i}"
+        rows.append((1000 - i, " ".join(words)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    same(got(ngram_join.jaccard_components(docs)), brute.jaccard(rows))
+
+
+def test_neighbours(spark):
+    rng = np.random.default_rng(2)
+    vectors = [v.tolist() for v in rng.standard_normal((300, 8))]
+    vectors[40:60] = [vectors[100]] * 20
+    rows = list(enumerate(vectors)) + [(900, None), (950, [0.0] * 8), (1000, [float("nan")] * 8), (1050, [1.0, None] * 4), (1100, [1.0]), (None, vectors[3]), (5, vectors[5])]
+    table = spark.createDataFrame([(i, v, 1) for i, v in rows], "vec_id long, embedding array<double>, rank int")
+    x = np.array(vectors)
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    found = defaultdict(list)
+    for r in neighbours.nearest(table, F.pmod("vec_id", F.lit(50)) == 0).orderBy("query_id", "rank").collect():
+        assert abs(r.score - unit[r.query_id] @ unit[r.vec_id]) < 1e-12
+        found[r.query_id].append(r.vec_id)
+    hits = 0
+    for q in range(0, 300, 50):
+        near = unit @ unit[q]
+        near[q] = -9
+        want = sorted(range(300), key=lambda i: (-round(near[i], 12), i))[:5]
+        hits += len(set(want) & set(found[q]))
+        assert len(found[q]) == 5
+    assert set(found) == set(range(0, 300, 50)) and hits >= 27
+    assert found[50] == [40, 41, 42, 43, 44]
+    few = table.where("vec_id in (50, 51, 52)")
+    assert neighbours.nearest(few, F.col("vec_id") == 50).count() == 2
+    assert neighbours.nearest(table.limit(0), F.lit(True)).count() == 0
+
+
+def test_recall_on_the_table(spark):
+    table = spark.read.parquet("/root/testdata/sf0.01/embeddings.parquet")
+    rows = table.orderBy("vec_id").collect()
+    unit = np.array([r.embedding for r in rows], float)
+    unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+    found = {(r.query_id, r.vec_id) for r in neighbours.nearest(table, F.pmod("vec_id", F.lit(50)) == 0).collect()}
+    want = set()
+    for k, r in enumerate(rows):
+        if r.vec_id % 50 == 0:
+            near = unit @ unit[k]
+            near[k] = -9
+            want |= {(r.vec_id, rows[j].vec_id) for j in np.argsort(-near)[:5]}
+    assert len(want & found) >= 0.9 * len(want)
+
+
+def test_stages(spark, odd, empty):
+    columns = odd.columns
+    kept = language.keep_identified(spark, odd, SMALL)
+    scores = language.with_language(odd, language.learn(odd, 2000, 1 << 15), ["doc_id", "text"]).where(f"lang_pred <> 'und' and score >= {language.LEAST_SCORE}")
+    assert kept.columns == columns and got(kept, "doc_id", "text") == got(scores, "doc_id", "text")
+
+    one = ngram_join.one_of_each_group(spark, odd, SMALL)
+    stay = {i for i, _, c in brute.jaccard(given(odd)) if i is not None and i == c}
+    assert one.columns == columns and Counter(r.doc_id for r in one.collect()) == Counter([*stay, None, None])
+
+    cut = suffix_dedup.without_repeats(spark, odd, SMALL)
+    want = suffix_dedup.remove_repeats(odd).collect()
+    assert cut.columns == columns
+    same([(r.doc_id, r.text or "") for r in cut.collect()], [(r.doc_id, r.kept.decode("utf-8", "ignore")) for r in want])
+    assert all(r.n_chars == len(r.text) for r in cut.collect() if r.text is not None and r.doc_id is not None)
+
+    clean = secrets.without_secrets(spark, odd, SMALL)
+    assert clean.columns == columns and clean.count() == odd.count()
+    assert all(r.n_assign == 0 and r.n_access == 0 and r.n_hex == 0 for r in secrets.scan(clean).collect())
+    for _, stage in corpus_pipeline.STAGES:
+        assert stage(spark, empty, SMALL).count() == 0
+
+
+def test_pipeline(spark):
+    found = corpus_pipeline.run(spark, SMALL).collect()
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, SMALL).cache()
+    check_packing(found, given(docs), 2048)
