@@ -1,4 +1,4 @@
-"""Time the headline queries; prints one JSON line.
+"""Time all queries of the catalog with the settings of the jobs; prints one JSON line.
 
 BENCH_SF_DIR (default /root/testdata/sf0.1) names the tables, BENCH_CPUS the local cores.
 """
@@ -15,11 +15,6 @@ from dimflow.plans.catalog import QUERIES
 from dimflow.session import apply_settings
 
 REPEATS = 2
-# Whole runs through all zones; their parts are timed one by one.
-LEFT_OUT = {
-    "standardize_counts", "quarantined_records", "staged_customers", "warehouse_customers",
-    "warehouse_facts",
-}
 
 
 def main() -> None:
@@ -36,13 +31,9 @@ def main() -> None:
     )
     spark.sparkContext.setLogLevel("ERROR")
     apply_settings(spark)
-    # One partition per core already: merging small ones would leave cores idle here.
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
     spark.read.parquet(f"{sf_dir}/lineitem.parquet").write.format("noop").mode("overwrite").save()
     seconds = {}
     for name, build in QUERIES.items():
-        if name in LEFT_OUT:
-            continue
         best = None
         for _ in range(REPEATS):
             start = time.perf_counter()

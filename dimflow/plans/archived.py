@@ -13,8 +13,9 @@ from dimflow.plans.standardize import standardize
 from dimflow.plans.warehouse import run_warehouse
 from dimflow.session import scratch_folder
 
-# Two deliveries: everything before the first day, then everything before the second.
-DAYS = ("1999-01-01", "2001-01-01")
+# Two deliveries: everything before the first day, then everything before the second, which is
+# after the last row of the tables.
+DAYS = ("1999-01-01", "2002-01-01")
 
 
 def new_root(spark: SparkSession) -> str:

@@ -39,7 +39,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 RUN_TS = fx.RUN_TS
-SNAPSHOTS = ("1997-01-01 00:00:00", "1999-01-01 00:00:00", "2001-01-01 00:00:00")
+# The last one is after the last row of the tables.
+SNAPSHOTS = ("1997-01-01 00:00:00", "1999-01-01 00:00:00", "2002-01-01 00:00:00")
 LOADED_BEFORE = "1998-01-01 00:00:00"
 
 

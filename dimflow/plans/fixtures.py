@@ -79,7 +79,7 @@ def plans(spark: SparkSession, sf_dir: str) -> DataFrame:
     latest = keep_latest(plan_feed(spark, sf_dir), ["plan_id"], ["ingestion_ts", "feed_seq"])
     return latest.select(
         "plan_id",
-        F.concat(F.lit("Plan "), F.substring("plan_id", 3, 100)).alias("plan_name"),
+        F.concat(F.lit("Plan "), F.expr("substring(plan_id, 3)")).alias("plan_name"),
         F.when(F.substring("plan_id", 1, 1) <= "2", "Premium")
         .otherwise("Basic")
         .alias("plan_category"),

@@ -163,8 +163,10 @@ def landed_files(spark: SparkSession, root: str) -> DataFrame:
         scan = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(
             f"{root}/raw"
         )
-        sized = scan.select(F.col("_metadata.file_path").alias("uri"), "length")
-        names = spark.createDataFrame([(uri,) for uri in scan.inputFiles()], "uri string")
+        # Local files are written file:/ in one list and file:/// in the other.
+        alike = F.regexp_replace("uri", "^file:/+", "file:/").alias("uri")
+        sized = scan.select(F.col("_metadata.file_path").alias("uri"), "length").select(alike, "length")
+        names = spark.createDataFrame([(uri,) for uri in scan.inputFiles()], "uri string").select(alike)
         return names.join(sized, "uri", "left").select(
             path_below(F.col("uri"), root).alias("uri"),
             F.coalesce("length", F.lit(0)).cast("bigint").alias("length"),

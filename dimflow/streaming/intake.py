@@ -128,6 +128,10 @@ def take_in_landed(spark: SparkSession, root: str, day: dt.date | str, batch: st
     return take_in(landed_lines(spark, root), landed_files(spark, root), root, day, batch)
 
 
+#: Spark skips files a week older than the newest one it has seen unless told otherwise.
+NO_AGE_LIMIT = "36500d"
+
+
 def intake_stream(
     spark: SparkSession, root: str, checkpoint: str, day: dt.date | str, files_per_batch: int
 ) -> StreamingQuery:
@@ -135,6 +139,7 @@ def intake_stream(
     text = (
         spark.readStream.option("recursiveFileLookup", True)
         .option("maxFilesPerTrigger", files_per_batch)
+        .option("maxFileAge", NO_AGE_LIMIT)
         .text(f"{root}/raw")
     )
 

@@ -1,6 +1,8 @@
 """Landed files: verdicts, routing, streaming intake."""
 
 import json
+import os
+import time
 from pathlib import Path
 
 import pytest
@@ -9,7 +11,7 @@ from pyspark.sql import functions as F
 from dimflow.functions.jsontext import is_one_json_value, is_parsed
 from dimflow.functions.paths import decoded_key, decoded_uri
 from dimflow.operators.verdicts import first_lines, header_names
-from dimflow.sources.readers import read_archive
+from dimflow.sources.readers import landed_files, read_archive
 from dimflow.streaming.intake import judge_landed, take_in_landed, take_in_new
 
 DAY = "2025-05-20"
@@ -137,6 +139,23 @@ def test_stream_takes_each_file_once(spark, landed, tmp_path_factory):
     assert manifest.filter("key like '%late%'").first()["ok"]
 
 
+def test_lengths_of_landed_files(spark, landed):
+    found = {r.uri: r.length for r in landed_files(spark, str(landed)).collect()}
+    for path in (landed / "raw").rglob("*.*"):
+        key = str(path.relative_to(landed)).replace(" ", "%20")
+        assert found[key] == path.stat().st_size
+
+
+def test_stream_takes_files_of_any_age(spark, tmp_path):
+    land(tmp_path, "raw/customers/new.ndjson", '{"customer_id":"c1"}')
+    land(tmp_path, "raw/customers/old.ndjson", '{"customer_id":"c2"}')
+    month_ago = time.time() - 30 * 86400
+    os.utime(tmp_path / "raw/customers/old.ndjson", (month_ago, month_ago))
+    take_in_new(spark, str(tmp_path), str(tmp_path / "ck"), DAY)
+    customers = read_archive(spark, str(tmp_path), "customers")
+    assert sorted(r.customer_id for r in customers.collect()) == ["c1", "c2"]
+
+
 def test_mixed_header_order_fails_loudly(spark, landed):
     take_in_landed(spark, str(landed), DAY, "b1")
     with pytest.raises(Exception, match="(?i)header"):

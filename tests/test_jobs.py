@@ -217,3 +217,14 @@ def test_evolved_layouts_read_as_one(spark, rows, tmp_path):
         ("P1", "1.50", None), ("P2", None, True),
     ]
     assert read_parquet(spark, str(tmp_path / "none"), schema).count() == 0
+
+
+def test_last_batches_hold_every_row(spark):
+    from dimflow.plans.archived import DAYS
+    from dimflow.plans.catalog import SNAPSHOTS
+
+    orders = spark.read.parquet("/root/testdata/sf0.001/orders.parquet")
+    shipments = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet")
+    for last in (SNAPSHOTS[-1], DAYS[-1]):
+        assert orders.where(orders.o_orderdate >= last).isEmpty()
+        assert shipments.where(shipments.l_shipdate >= last).isEmpty()
