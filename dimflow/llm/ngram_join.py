@@ -35,6 +35,8 @@ FRAGMENTS = 4
 #: The order of the prefix puts n-grams last that more than 1 of RARE documents of a sample has.
 SAMPLE_NODES, RARE = 20_000, 500
 KEY_BYTES = 5
+#: So many node names, of 8 bytes, are broadcast to leave other nodes' segments where they are.
+MOST_BROADCAST = 1_000_000
 #: The nodes of a prefix n-gram are first compared with the smallest after each of these masks: fixed, so many for any group.
 LEADS = [0, 0x15A4E35F3, 0x2F0C8B1D6, 0x0D39A67EC, 0x3A5F91C2B, 0x1C7E2D4A9, 0x26B81F3D5, 0x37D4C6A8E]
 #: Words of 64 bits in a node's sketch.
@@ -235,6 +237,9 @@ def likely(a: Column, b: Column, least: int) -> Column:
 
 def linked(pairs: DataFrame, segments: DataFrame, least: int) -> DataFrame:
     """The ``a, b`` pairs that link: overlaps counted in each fragment and summed. ``pairs``: a, b, and the sizes na, nb."""
+    inside = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    if inside.count() <= MOST_BROADCAST:  # else every segment is dealt
+        segments = segments.join(F.broadcast(inside), "node", "left_semi")
     every = pairs.withColumn("fragment", F.explode(F.array(*map(F.lit, range(FRAGMENTS)))))
     left = segments.select(F.col("node").alias("a"), "fragment", F.col("segment").alias("sa"))
     right = segments.select(F.col("node").alias("b"), "fragment", F.col("segment").alias("sb"))
