@@ -10,7 +10,7 @@ frequent ones last, so that two documents with enough overlap always share one.
 overlaps are counted fragment by fragment and summed.
 
 Pairs are not all listed: equal sets are one node; then the nodes of each prefix n-gram are compared with a few leads among
-them, and after that only pairs that are not connected yet. Sketches rule most unlike pairs out within the join.
+them, one at first, and after that only pairs that are not connected yet. Sketches rule most unlike pairs out within the join.
 """
 
 from __future__ import annotations
@@ -264,10 +264,12 @@ def jaccard_components(docs: DataFrame, words: int = WORDS, least: int = LEAST,
     # Equal sets are one node, by the smallest uid.
     whole = sets.where("digest IS NOT NULL").groupBy("digest").agg(F.min("uid").alias("node"))
     members = cut_lineage(
-        sets.where("keys IS NOT NULL").select("uid", "doc_id", "digest").join(whole, "digest", "left").select("uid", "doc_id", F.coalesce("node", "uid").alias("node"))
+        sets.where("keys IS NOT NULL").select("uid", "doc_id", "digest").join(whole, "digest", "left").select("uid", "doc_id", "digest", F.coalesce("node", "uid").alias("node"))
     )
-    nodes = sets.join(members.where("uid = node").select("uid", "node"), "uid").select("node", "n", "keys")
-    nodes = cut_lineage(nodes)
+    # Only sets that can be equal to others need a join to find the first of each; the rest are nodes as they are.
+    firsts = members.where("digest IS NOT NULL AND uid = node").select("uid")
+    equal = cut_lineage(sets.where("digest IS NOT NULL").select("uid", "n", "keys").join(firsts, "uid", "left_semi"))
+    nodes = sets.where("digest IS NULL AND keys IS NOT NULL").select("uid", "n", "keys").unionByName(equal).withColumnRenamed("uid", "node")
     fragment = lambda i: F.filter("keys", lambda k: F.pmod(F.shiftright(k, 40), F.lit(FRAGMENTS)) == i)
     segments = nodes.select("node", F.posexplode(F.array(*map(fragment, range(FRAGMENTS)))).alias("fragment", "segment"))
 
@@ -282,10 +284,18 @@ def jaccard_components(docs: DataFrame, words: int = WORDS, least: int = LEAST,
 
     leads = [F.min(F.col("node").bitwiseXOR(F.lit(m))).bitwiseXOR(F.lit(m)) for m in LEADS]
     buckets = prefix.groupBy("key").agg(F.count("*").alias("c"), F.array(*leads).alias("leads")).where("c > 1").select("key", "leads")
-    tries = prefix.join(buckets, "key").select("node", F.explode("leads").alias("lead")).where("node != lead")
-    tries = tries.select(F.greatest("node", "lead").alias("a"), F.least("node", "lead").alias("b")).distinct()
-    links = cut_lineage(linked(cut_lineage(likely_pairs(tries)), segments, least))
-    labels = components(links)
+    links, labels = None, None
+    # The first lead connects most nodes; pairs with the other leads are compared only if they are apart still.
+    for of_round in (F.slice("leads", 1, 1), F.slice("leads", 2, len(LEADS) - 1)):
+        tries = prefix.join(buckets, "key").select("node", F.explode(of_round).alias("lead")).where("node != lead")
+        tries = tries.select(F.greatest("node", "lead").alias("a"), F.least("node", "lead").alias("b")).distinct()
+        if labels is not None:
+            label_of = lambda n: labels.select(F.col("node").alias(n), F.col("label").alias(f"l{n}"))
+            tries = tries.join(label_of("a"), "a", "left").join(label_of("b"), "b", "left")
+            tries = tries.where(F.coalesce("la", "a") != F.coalesce("lb", "b")).select("a", "b")
+        found = cut_lineage(linked(cut_lineage(likely_pairs(tries)), segments, least))
+        links = found if links is None else links.unionByName(found)
+        labels = components(links)
 
     labelled = prefix.join(labels, "node", "left").select("key", "node", F.coalesce("label", "node").alias("label"))
     labelled = cut_lineage(labelled)
