@@ -194,7 +194,7 @@ def sets_of_slice(least: int):
 
 
 def prefixes(nodes: DataFrame, least: int) -> DataFrame:
-    """``node, info, prefix`` of each node; ``info`` has its sizes and a sketch of 64 * SKETCH bits, one or more of its n-grams set each. The few frequent n-grams come from a bounded sample:
+    """``node, info, prefix`` of each node; ``info`` has its sizes and a sketch of 64 * SKETCH bits, set where an odd number of its n-grams fall. The few frequent n-grams come from a bounded sample:
     at most RARE times the sample's mean size of them. Any order is right as long as it is one for all."""
     total = max(1, nodes.count())
     sample = nodes.where(F.pmod(F.xxhash64("node"), F.lit(1_000_000)) < int(1e6 * min(1.0, SAMPLE_NODES / total)) + 1)
@@ -215,7 +215,7 @@ def prefixes(nodes: DataFrame, least: int) -> DataFrame:
                     order = keys[np.lexsort((keys, np.where(names[at] == keys, counts[at], 0)))]
                 out.append(order[: len(keys) - need(n, least) + 1])
                 place = mixed(keys.view(np.uint64).copy()) % np.uint64(64 * SKETCH)
-                bits.append(np.packbits(np.bincount(place.astype(np.int64), minlength=64 * SKETCH) > 0).view(np.int64))
+                bits.append(np.packbits(np.bincount(place.astype(np.int64), minlength=64 * SKETCH) & 1).view(np.int64))
             sizes = np.diff(batch.column("keys").offsets.to_numpy())
             yield pa.RecordBatch.from_arrays(
                 [batch.column("node"), batch.column("n"), pa.array(sizes, pa.int64()), pa.array(out, pa.list_(pa.int64())), pa.array(bits, pa.list_(pa.int64()))],
@@ -227,8 +227,8 @@ def prefixes(nodes: DataFrame, least: int) -> DataFrame:
 
 
 def likely(a: Column, b: Column, least: int) -> Column:
-    """Whether two nodes can link, by their sizes and sketches. Different bits are at most as many as different
-    n-grams, so no link is lost."""
+    """Whether two nodes can link, by their sizes and sketches. Each n-gram that only one of them has turns one bit
+    over, so different bits are at most as many as different n-grams, and no link is lost."""
     both = a["n"] + b["n"]
     apart = sum((F.bit_count(a[f"s{i}"].bitwiseXOR(b[f"s{i}"])) for i in range(SKETCH)), F.lit(0))
     near = 100 * F.least(a["n"], b["n"]) >= least * F.greatest(a["n"], b["n"])
@@ -274,7 +274,7 @@ def jaccard_components(docs: DataFrame, words: int = WORDS, least: int = LEAST,
     segments = nodes.select("node", F.posexplode(F.array(*map(fragment, range(FRAGMENTS)))).alias("fragment", "segment"))
 
     infos = cut_lineage(prefixes(nodes, least))
-    prefix = infos.select(F.explode("prefix").alias("key"), "node")
+    prefix = infos.select(F.posexplode("prefix").alias("at", "key"), "node")
     info = infos.select("node", "info")
     of = lambda side, node: side.select(F.col("node").alias(node), F.col("info").alias(f"i{node}"))
 
@@ -297,14 +297,17 @@ def jaccard_components(docs: DataFrame, words: int = WORDS, least: int = LEAST,
         links = found if links is None else links.unionByName(found)
         labels = components(links)
 
-    labelled = prefix.join(labels, "node", "left").select("key", "node", F.coalesce("label", "node").alias("label"))
+    labelled = prefix.join(labels, "node", "left").select("key", "at", "node", F.coalesce("label", "node").alias("label"))
     labelled = cut_lineage(labelled)
     mixed_keys = labelled.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x < y").select("key")
     open_rows = labelled.join(mixed_keys, "key", "left_semi").join(info, "node")
-    mine = open_rows.select("key", F.col("node").alias("a"), F.col("label").alias("la"), F.col("info").alias("ia"))
-    other = open_rows.select("key", F.col("node").alias("b"), F.col("label").alias("lb"), F.col("info").alias("ib"))
-    # Unlike nodes of a frequent key fail in the join's condition and make no rows.
-    alike = (mine["key"] == other["key"]) & (F.col("la") < F.col("lb")) & likely(F.col("ia"), F.col("ib"), least)
+    rest = F.col("info.size") - F.col("at")
+    mine = open_rows.select("key", F.col("node").alias("a"), F.col("label").alias("la"), F.col("info").alias("ia"), rest.alias("ra"))
+    other = open_rows.select("key", F.col("node").alias("b"), F.col("label").alias("lb"), F.col("info").alias("ib"), rest.alias("rb"))
+    # Unlike nodes of a frequent key fail in the join's condition and make no rows. At the first n-gram that two nodes
+    # share, what is left of each bounds the overlap; a pair that links meets the bound there, at later ones it need not.
+    enough = (100 + least) * F.least("ra", "rb") >= least * (F.col("ia.n") + F.col("ib.n"))
+    alike = (mine["key"] == other["key"]) & (F.col("la") < F.col("lb")) & enough & likely(F.col("ia"), F.col("ib"), least)
     pairs = mine.join(other, alike).select("a", "b", F.col("ia.n").alias("na"), F.col("ib.n").alias("nb")).distinct()
     more = linked(cut_lineage(pairs), segments, least)
     joined = cut_lineage(components(links.unionByName(more)))
