@@ -160,6 +160,33 @@ def test_repeats_across_slices(spark, monkeypatch, slice_bytes):
     same(got(suffix_dedup.remove_repeats(docs).drop("kept")), brute.repeats(given(docs)))
 
 
+def test_hot_leaders_are_dealt_by_window(spark, monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "slices", lambda batches: sliced(batches, 40_000))
+    monkeypatch.setattr(suffix_dedup, "HOT_STEP", 700)
+    monkeypatch.setattr(suffix_dedup, "HOT", 100)
+    r = random.Random(6)
+    own = lambda n: "".join(r.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(n))
+    rows = [(i, own(100) + (PASSAGE if i % 3 else PASSAGE[:30]) + own(100)) for i in range(1500)]
+    rows += [(i + 2000, rows[i][1]) for i in range(0, 1500, 50)] + [(None, rows[3][1]), (7, PASSAGE)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    same(got(suffix_dedup.remove_repeats(docs).drop("kept")), brute.repeats(rows))
+
+    made = suffix_dedup.shared_stretches(suffix_dedup.to_slices(docs, "doc_id", "text", []), 32)
+    unpack = suffix_dedup.zstandard.ZstdDecompressor().decompress
+    held = Counter()
+    for x in made.where("direct is null").collect():
+        held[x.part] += len(unpack(x.bytes))
+    assert max(held.values()) < 3 * sum(held.values()) / 32
+
+
+def test_parts_follow_the_input(spark, monkeypatch):
+    docs = spark.createDataFrame([(1, "x" * 1000), (2, None)], "doc_id long, text string")
+    assert suffix_dedup.parts_of(docs, "text") == 32
+    monkeypatch.setattr(suffix_dedup, "PART_BYTES", 10)
+    assert suffix_dedup.parts_of(docs, "text") == 100
+    assert suffix_dedup.parts_of(docs.limit(0), "text") == 32
+
+
 def sliced(batches, size):
     from dimflow.llm.common import slices
 
