@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 import zlib
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -27,8 +28,8 @@ END_ID = 0
 KEPT_WORDS = 800_000
 #: Pieces of one length are ranked in so many parts.
 PARTS = 64
-#: Fillings looked at for one largest piece, and steps of the whole search.
-FILLINGS, STEPS = 2_000, 2_000
+#: Steps of the whole search, for each distinct length and besides. A dive to a packing takes about one for each length.
+STEPS_A_LENGTH, STEPS = 8, 2_000
 
 
 #: Marks that may end a word: no token holds them together with the letter before.
@@ -167,82 +168,166 @@ def best_fit(counts: dict[int, int], capacity: int) -> list[tuple[tuple[int, ...
     return [(filling, n) for group in open_bins.values() for filling, n in group.items()]
 
 
-def fillings(sizes: list[int], counts: dict[int, int], room: int, limit: int) -> list[tuple[int, tuple[int, ...]]]:
-    """Undominated ways to fill ``room``: (waste, lengths), least waste first.
-
-    Of ways with the same waste the one with fewer, longer pieces dominates: any of its pieces could
-    be exchanged for shorter ones elsewhere. Ways come longest piece first, so the first of each
-    waste is kept, and the search ends at a way without waste."""
-    best: dict[int, tuple[int, ...]] = {}
-    looked = 0
-    usable = [s for s in sizes if s <= room and counts[s]]
-    chosen: list[int] = []
-
-    def search(i: int, rest: int) -> bool:
-        nonlocal looked
-        looked += 1
-        if looked > limit:
-            return True
-        while i < len(usable) and usable[i] > rest:
-            i += 1
-        if i == len(usable) or rest == 0:
-            best.setdefault(rest, tuple(chosen))
-            return rest == 0
-        if counts.get(rest, 0) > chosen.count(rest):
-            best[0] = (*chosen, rest)
-            return True
-        for k in range(i, min(len(usable), i + 24)):
-            size = usable[k]
-            if counts[size] > chosen.count(size):
-                chosen.append(size)
-                done = search(k, rest - size)
-                chosen.pop()
-                if done:
-                    return True
-        if not chosen or all(counts[s] <= chosen.count(s) for s in usable[i:]):
-            best.setdefault(rest, tuple(chosen))
-        return False
-
-    search(0, room)
-    if not best:
-        best[room] = ()
-    return sorted(best.items())
-
-
-def complete(counts: dict[int, int], capacity: int, steps: int = STEPS) -> list[tuple[tuple[int, ...], int]]:
+def exact(items: list[tuple[int, int]], target: int) -> Iterator[list[int]]:
+    """All ways to make ``target`` of (length, how many), lengths descending; ways with more of the longest come first.
+
+    Bit t of ``reach[k]`` tells whether items from k on can make t, so no choice leads nowhere."""
+    reach, mask = [1] * (len(items) + 1), (2 << target) - 1
+    for k in range(len(items) - 1, -1, -1):
+        size, n = items[k]
+        bits, more, step = reach[k + 1], min(n, target // size), 1
+        while more:
+            step = min(step, more)
+            bits |= bits << size * step
+            more, step = more - step, 2 * step
+        reach[k] = bits & mask
+    if not reach[0] >> target & 1:
+        return
+    taken: list[tuple[int, int]] = []
+    k, rest = 0, target
+    while True:
+        while rest:
+            size, n = items[k]
+            times = min(n, rest // size)
+            while not reach[k + 1] >> rest - times * size & 1:
+                times -= 1
+            if times:
+                taken.append((k, times))
+                rest -= times * size
+            k += 1
+        yield [items[k][0] for k, times in taken for _ in range(times)]
+        while taken:
+            k, times = taken.pop()
+            size = items[k][0]
+            rest += times * size
+            times -= 1
+            while times >= 0 and not reach[k + 1] >> rest - times * size & 1:
+                times -= 1
+            if times >= 0:
+                if times:
+                    taken.append((k, times))
+                    rest -= times * size
+                k += 1
+                break
+        else:
+            return
+
+
+def smeared(bits: int, width: int) -> int:
+    """Bits moved up by 0 to ``width`` places."""
+    done = 0
+    while done < width:
+        step = min(done + 1, width - done)
+        bits |= bits << step
+        done += step
+    return bits
+
+
+def dominated(filling: list[int], counts: dict[int, int], waste: int) -> bool:
+    """Whether a piece left over could take the place of shorter ones, or of several, of the filling."""
+    used: dict[int, int] = {}
+    one = several = 0  # sums of one piece, of two or more
+    for size in filling:
+        used[size] = used.get(size, 0) + 1
+        several |= (several | one) << size
+        one |= 1 << size
+    fit = smeared(several, waste) | (smeared(one << 1, waste - 1) if waste else 0)
+    return any(fit >> size & 1 for size, n in counts.items() if n > used.get(size, 0))
+
+
+def fillings(items: list[tuple[int, int]], room: int, one_a_waste: bool = False) -> Iterator[tuple[int, tuple[int, ...]] | None]:
+    """All undominated ways to fill ``room`` from (length, how many), lengths descending: (waste, lengths), least waste
+    first. None for each dominated way that was looked at; the first way never is. ``one_a_waste``: the first of each waste, dominated or not."""
+    items = [(s, min(n, room // s)) for s, n in items if n and s <= room]
+    counts, stop, forced = dict(items), len(items), []
+    if room in counts:  # one piece without waste dominates all others
+        yield 0, (room,)
+        return
+    for waste in range(room + 1):
+        while stop and items[stop - 1][0] <= waste:  # what fits into the waste is not left over
+            stop -= 1
+            forced += [items[stop][0]] * items[stop][1]
+        target = room - waste - sum(forced)
+        if target < 0:
+            return
+        if target > sum(s * n for s, n in items[:stop]):
+            continue
+        for chosen in exact(items[:stop], target):
+            filling = chosen + forced
+            yield None if not one_a_waste and dominated(filling, counts, waste) else (waste, tuple(filling))
+            if one_a_waste:
+                break
+
+
+def complete(counts: dict[int, int], capacity: int, steps: int | None = None) -> list[tuple[tuple[int, ...], int]]:
     """Bin completion by branch and bound, from the best-fit packing as the first incumbent.
 
-    Each branch fills the bin of the largest piece left, as often as the counts allow. A branch
-    ends when its waste leaves no packing with fewer bins than the incumbent; the search ends at
-    the lower bound or after ``steps`` branches."""
+    Half of ``steps`` goes to a search with up to three ways a bin, each of another waste, which comes back further
+    up sooner; the rest, and what it leaves, to the search with all undominated ways."""
     total = sum(s * n for s, n in counts.items())
     best = best_fit(counts, capacity)
     most = sum(n for _, n in best)
     least = max(-(-total // capacity), sum(n for s, n in counts.items() if 2 * s > capacity))
+    if most <= least:
+        return best
+    steps = STEPS_A_LENGTH * len(counts) + STEPS if steps is None else steps
+    best, most, unused = searched(counts, capacity, best, least, steps // 2, 3)
+    return searched(counts, capacity, best, least, steps - steps // 2 + unused, None)[0]
+
+
+def searched(counts: dict[int, int], capacity: int, best: list, least: int, steps: int, width: int | None) -> tuple[list, int, int]:
+    """The best packing found, its bins and the steps not used.
+
+    Each branch fills the bin of the largest piece left, as often as the counts allow. A branch
+    ends when its waste leaves no packing with fewer bins than the incumbent; the search ends at
+    the lower bound or after ``steps`` fillings looked at and branches left."""
+    total = sum(s * n for s, n in counts.items())
+    most = sum(n for _, n in best)
     sizes = sorted(counts, reverse=True)
     left = dict(counts)
     path: list[tuple[tuple[int, ...], int]] = []
-    trail: list[list] = []
+    trail: list[list] = []  # largest piece, ways to fill its bin, and how many of them were taken
     waste = used = first = 0
 
-    def ways() -> list:
+    def ways(largest: int) -> Iterator:
+        items = [(s, left[s] - (s == largest)) for s in sizes if s <= largest and left[s]]
+        if width is None:
+            return fillings(items, capacity - largest)
+        # Few pieces first, within the waste that falls to one bin: short pieces are kept for later bins.
+        share = ((most - 1) * capacity - total - waste) / max(1, most - 1 - used)
+        found = []
+        for lost, filling in filter(None, fillings(items, capacity - largest, True)):
+            if found and (lost > share or len(found) == 8):
+                break
+            found.append((lost, filling))
+        return iter(sorted(found, key=lambda way: (len(way[1]), way[0])))
+
+    def enter() -> None:
         nonlocal first
         while first < len(sizes) and not left[sizes[first]]:
             first += 1
-        if first == len(sizes):
-            return []
-        largest = sizes[first]
-        left[largest] -= 1
-        found = fillings(sizes[first:], left, capacity - largest, FILLINGS)
-        left[largest] += 1
-        return [(lost, (largest, *rest)) for lost, rest in found[:3]]
-
-    trail.append([ways(), 0])
+        trail.append([sizes[first] if first < len(sizes) else 0, None, 0])
+
+    enter()
     while trail and most > least and steps:
-        options, i = trail[-1]
         steps -= 1
+        last = trail[-1]
+        largest, source, taken = last
+        if not largest:
+            if used < most:
+                best, most = list(path), used
+            source = iter(())
+        elif source is None:
+            source = ways(largest)
+            if taken:
+                next(source)
+                last[1] = source  # kept only where the search came back, as its tables are large
+        option = "end" if taken == width else next(source, "end")
+        if option is None:
+            continue
+        last[2] += 1
         allowed = (most - 1) * capacity - total
-        if i == len(options) or waste + options[i][0] > allowed:
+        if option == "end" or waste + option[0] > allowed:
             trail.pop()
             if path:
                 filling, n = path.pop()
@@ -252,8 +337,7 @@ def complete(counts: dict[int, int], capacity: int, steps: int = STEPS) -> list[
                 used -= n
                 first = 0
             continue
-        trail[-1][1] += 1
-        lost, filling = options[i]
+        lost, filling = option[0], (largest, *option[1])
         need = {s: filling.count(s) for s in filling}
         n = min(left[s] // k for s, k in need.items())
         if lost:
@@ -262,14 +346,8 @@ def complete(counts: dict[int, int], capacity: int, steps: int = STEPS) -> list[
             left[s] -= n * k
         path.append((filling, n))
         waste, used = waste + n * lost, used + n
-        options = ways()
-        if not options:
-            if used < most:
-                best, most = list(path), used
-            trail.append([[], 0])
-        else:
-            trail.append([options, 0])
-    return best
+        enter()
+    return best, most, steps
 
 
 class Plan:

@@ -1,5 +1,6 @@
 """The text operators against brute force, on odd rows and on the small tables."""
 
+import itertools
 import random
 import struct
 import sys
@@ -323,6 +324,45 @@ def test_bin_completion():
     assert sum(n for _, n in packing.complete({6: 1, 5: 1, 4: 1, 3: 1, 2: 1}, 10)) == 2
 
 
+def test_fillings_are_all_that_are_undominated():
+    r = random.Random(9)
+    for _ in range(150):
+        room = r.randint(1, 24)
+        counts = Counter(r.randint(1, room) for _ in range(r.randint(0, 7)))
+        pieces = sorted(counts.elements(), reverse=True)
+        ways = {tuple(c) for n in range(len(pieces) + 1) for c in itertools.combinations(pieces, n) if sum(c) <= room}
+
+        def better(way):
+            rest = counts - Counter(way)
+            for n in range(len(way) + 1):
+                for part in itertools.combinations(way, n):
+                    for x in rest:
+                        if part != (x,) and sum(part) <= x <= sum(part) + room - sum(way):
+                            return True
+            return False
+
+        found = [w for w in packing.fillings(sorted(counts.items(), reverse=True), room) if w]
+        assert [w for w, _ in found] == sorted(w for w, _ in found) and all(w == room - sum(f) for w, f in found)
+        same([tuple(sorted(f, reverse=True)) for _, f in found], {w for w in ways if not better(w)})
+
+
+def test_fillings_of_many_small_pieces(spark):
+    assert next(packing.fillings([(1, 3000)], 2047)) == (0, (1,) * 2047)
+    nulls = spark.range(3000).select(F.col("id").alias("doc_id"), F.lit(None).cast("string").alias("text"))
+    assert check_packing(packing.pack(nulls).collect(), given(nulls), 2048) == 2
+
+
+def test_the_search_gets_to_the_end_of_a_dive():
+    r = random.Random(11)
+    counts = Counter(min(2048, int(r.lognormvariate(6, 0.8)) + 1) for _ in range(3000))
+    bins = packing.complete(dict(counts), 2048)
+    used = Counter()
+    for filling, n in bins:
+        assert sum(filling) <= 2048
+        used.update({s: n * k for s, k in Counter(filling).items()})
+    assert used == counts and sum(n for _, n in bins) == -(-sum(counts.elements()) // 2048)
+
+
 def test_jaccard(odd, empty):
     same(got(ngram_join.jaccard_components(clashing(odd))), brute.jaccard(given(odd)))
     assert ngram_join.jaccard_components(empty).count() == 0
