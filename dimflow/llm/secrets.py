@@ -19,6 +19,8 @@ LEAST_VALUE = 6
 ALPHABET = "0123456789abcdefABCDEFghijklmnopqrstuvwxyzGHIJKLMNOPQRSTUVWXYZ+/_=-"
 WINDOW = 20
 CANDIDATE = rf"([A-Za-z0-9+/_=-]{{{WINDOW},}})"
+#: Windows of hexadecimal digits alone lie in such runs, which are candidates too where they are part of a longer one.
+DIGITS = rf"([0-9a-fA-F]{{{WINDOW},}})"
 #: Bits a character that a window needs, for candidates of hexadecimal digits and for others.
 LEAST_BITS = {"entropy_hex": 3.0, "entropy_base64": 3.8}
 #: Candidates that are no secrets: plain words, joined words, UUIDs, paths, rulers, examples, runs of the alphabet.
@@ -84,7 +86,9 @@ def hot_stretches(word: Column) -> Column:
 
 
 def by_entropy(text: Column, base: Column) -> Column:
-    """Spans of hot stretches that no base span touches, of candidates that are not on the allow-list."""
+    """Spans of hot stretches that no base span touches, of candidates that are not on the allow-list.
+
+    The allow-list is tested on the run of digits by itself where that is the candidate."""
 
     def of(candidate: Column) -> Column:
         word = F.substr(text, candidate["start"] + 1, candidate["end"] - candidate["start"])
@@ -95,7 +99,7 @@ def by_entropy(text: Column, base: Column) -> Column:
         spans = F.transform(hot_stretches(word), lambda s: F.struct((candidate["start"] + s["begin"]).alias("start"), kind.alias("kind"), (candidate["start"] + s["stop"]).alias("end")))
         return F.when(~allowed, spans).otherwise(F.array().cast("array<struct<start:int,kind:int,end:int>>"))
 
-    hot = F.flatten(F.transform(found(text, CANDIDATE, "entropy_base64"), of))
+    hot = F.array_union(*(F.flatten(F.transform(found(text, p, "entropy_base64"), of)) for p in (CANDIDATE, DIGITS)))
     return F.filter(hot, lambda s: ~F.exists(base, lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])))
 
 

@@ -112,6 +112,17 @@ def test_secrets(spark, odd, empty):
     assert secrets.scan(empty).count() == 0
 
 
+def test_hexadecimal_keys_behind_names_and_paths(spark):
+    key = "D41D8CD98F00B204E9800998ECF8427E"
+    texts = [f"SIGNING_KEY={key}", f"get /v1/{key} now", f"/example/{key.title()}", key, "id=12345678901234567890123", "id=550e8400-e29b-41d4-a716-446655440000"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    spans = {r.doc_id: r.spans.split(",") for r in secrets.scan(docs).collect()}
+    for i, start in enumerate((12, 8, 9, 0)):
+        assert f"entropy_hex:{start}:{start + 32}" in spans[i]
+    assert spans[3] == ["entropy_hex:0:32"] and spans[4] == spans[5] == [""]
+    assert not any(key[:20] in r.text.upper() or key[12:] in r.text.upper() for r in secrets.redact(docs).collect())
+
+
 def test_redact(spark):
     docs = spark.createDataFrame([(1, "é token=abcdef9 AKIA" + "Q7" * 9 + "!"), (2, None), (3, "clean")], "doc_id long, text string")
     assert got(secrets.redact(docs)) == [(1, "é [SECRET] [SECRET]!"), (2, None), (3, "clean")]
