@@ -91,3 +91,46 @@ def jaccard(rows):
         if i is not None:
             least[top(k)] = min(i, least.get(top(k), i))
     return [(i, len(s), least.get(top(k)) if i is not None else None) for k, (i, s) in enumerate(sets)]
+
+
+def vector_codes(rows, parts=8, entries=16, rounds=6, scale=4096):
+    """Rows of (vec_id, vector, label) with whole vectors of one length that is a multiple of ``parts``."""
+    rows = [(i, [math.floor(scale * x) for x in v], k) for i, v, k in rows if v is not None and all(x is not None and math.isfinite(x) for x in v)]
+    width = len(rows[0][1]) // parts
+    cut = lambda v, p: v[p * width : (p + 1) * width]
+    seeds = [v for _, v, _ in sorted(rows, key=lambda r: r[0])[:entries]]
+    books = [[cut(v, p) for v in seeds] for p in range(parts)]
+    nearest = lambda x, book: min((sum((a - b) ** 2 for a, b in zip(x, e)), k) for k, e in enumerate(book))
+    for _ in range(rounds):
+        for p in range(parts):
+            held = {}
+            for _, v, _ in rows:
+                held.setdefault(nearest(cut(v, p), books[p])[1], []).append(cut(v, p))
+            for k, xs in held.items():
+                books[p][k] = [sum(c) // len(xs) for c in zip(*xs)]
+    told = []
+    for i, v, label in rows:
+        best = [nearest(cut(v, p), books[p]) for p in range(parts)]
+        told.append((i, "".join(f"{k:02x}" for _, k in best), sum(e for e, _ in best), label))
+    sums = Counter()
+    for _, _, e, label in told:
+        sums[label] += e
+    sha = hashlib.sha256(",".join(str(x) for book in books for e in book for x in e).encode()).hexdigest()
+    return [(i, code, e, sums[label], sha) for i, code, e, label in told]
+
+
+def hard_negatives(rows, anchors=100, moved=None, k=5, low=80):
+    """Rows of (vec_id, vector, label); ids are unique."""
+    held = []
+    for i, v, label in rows:
+        if label is not None and v is not None and all(x is not None and math.isfinite(x) for x in v):
+            held.append((i, [math.floor(256 * x) for x in v], (label + 1) % 10 if moved and i % moved == 0 else label))
+    out = []
+    for a, u, label in held:
+        if a % anchors:
+            continue
+        scored = sorted((-sum(x * y for x, y in zip(u, v)), i, other == label) for i, v, other in held if i != a)
+        for p, positive in [(-s, i) for s, i, same in scored if same][:k]:
+            good = [(i, -s) for s, i, same in scored if not same and low * p <= -100 * s <= 100 * p][:k]
+            out += [(a, positive, rank, i, p, s) for rank, (i, s) in enumerate(good, 1)]
+    return out
