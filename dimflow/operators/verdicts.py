@@ -68,6 +68,7 @@ def file_facts(lines: DataFrame) -> DataFrame:
     texts = lines.select(
         "uri",
         (F.col("value") != "").alias("_filled"),
+        F.octet_length("value").alias("_bytes"),
         F.when(~is_csv(), stripped(F.col("value"))).alias("_text"),
     )
     parsed = texts.withColumn(
@@ -81,6 +82,7 @@ def file_facts(lines: DataFrame) -> DataFrame:
     }
     counts = parsed.groupBy("uri").agg(
         F.count(F.lit(1)).alias("lines"),
+        F.sum("_bytes").alias("bytes"),
         F.count_if(F.col("_filled")).alias("filled"),
         F.count_if(F.col("_parsed")).alias("parsed"),
         F.count_if(~F.col("_parsed")).alias("broken"),
@@ -142,7 +144,8 @@ def verdicts(
 
     ``files`` lists ``(uri, length)`` of everything that landed, so a file without a single
     line gets a verdict too. Files outside the landing zone are left out. A file with bytes of
-    which no line was read is unreadable, unless only file starts were looked at (``sampled``).
+    which no line was read is unreadable, unless only file starts were looked at (``sampled``), and
+    so is one that ``files`` says was not read whole (column ``whole``, optional).
     """
     joined = (
         files.filter(is_landed(F.col("uri")))
@@ -156,9 +159,11 @@ def verdicts(
         DATASETS[1:],
         F.when(F.col("dataset") == DATASETS[0], _reason_for(DATASETS[0], min_rows)),
     )
+    cut_short = ~F.col("whole") if "whole" in files.columns else F.lit(False)
     reason = (
         F.when(F.col("dataset").isNull(), UNKNOWN_FOLDER)
         .when(unread, F.lit(READ_ERROR + "no_line_read"))
+        .when(cut_short, F.lit(READ_ERROR + "incomplete"))
         .otherwise(known)
     )
     judged = joined.withColumn("reason", reason).withColumn("ok", F.col("reason") == OK)

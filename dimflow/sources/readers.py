@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -124,7 +124,9 @@ def preview(df: DataFrame, name: str) -> DataFrame:
 
 
 _LINES = "uri string, line_no struct<start:bigint,row:bigint>, value string"
-_FILES = "uri string, length bigint"
+_FILES = "uri string, modified timestamp, length bigint"
+#: Endings of files that Spark reads through a decompressor.
+COMPRESSED = ("gz", "bz2", "deflate", "zst", "lz4", "snappy")
 
 
 def located_text(text: DataFrame, root: str) -> DataFrame:
@@ -145,18 +147,23 @@ def numbered_lines(located: DataFrame) -> DataFrame:
 
 
 def landed_lines(spark: SparkSession, root: str) -> DataFrame:
-    """Every line below ``raw/``."""
-    read = spark.read.option("recursiveFileLookup", True)
+    """Every line below ``raw/``. Of a file that cannot be read to its end, the lines before the failure."""
+    read = _tolerant(spark)
     return or_empty(
         lambda: numbered_lines(located_text(read.text(f"{root}/raw"), root)), spark, _LINES
     )
 
 
+def _tolerant(spark: SparkSession):
+    options = {"recursiveFileLookup": True, "ignoreCorruptFiles": True, "ignoreMissingFiles": True}
+    return spark.read.options(**options)
+
+
 def landed_files(spark: SparkSession, root: str) -> DataFrame:
-    """``(uri, length)`` of every file below ``raw/``; contents are not read.
+    """``(uri, modified, length)`` of every file below ``raw/``; contents are not read.
 
     Scans leave out files of length zero, so the names come from the listing that the scan
-    keeps on the driver anyway, and both are of the same moment.
+    keeps on the driver anyway, and both are of the same moment. The time of an empty file is NULL.
     """
 
     def read() -> DataFrame:
@@ -165,11 +172,33 @@ def landed_files(spark: SparkSession, root: str) -> DataFrame:
         )
         # Local files are written file:/ in one list and file:/// in the other.
         alike = F.regexp_replace("uri", "^file:/+", "file:/").alias("uri")
-        sized = scan.select(F.col("_metadata.file_path").alias("uri"), "length").select(alike, "length")
+        sized = scan.select(
+            F.col("_metadata.file_path").alias("uri"), F.col("modificationTime").alias("modified"), "length"
+        ).select(alike, "modified", "length")
         names = spark.createDataFrame([(uri,) for uri in scan.inputFiles()], "uri string").select(alike)
         return names.join(sized, "uri", "left").select(
             path_below(F.col("uri"), root).alias("uri"),
+            "modified",
             F.coalesce("length", F.lit(0)).cast("bigint").alias("length"),
         )
 
     return or_empty(read, spark, _FILES)
+
+
+def is_compressed(name: Column) -> Column:
+    return name.rlike(rf"\.({'|'.join(COMPRESSED)})$")
+
+
+def whole_files(spark: SparkSession, root: str) -> DataFrame:
+    """``uri`` of the compressed files below ``raw/`` that decompress to their end.
+
+    Such a file cannot be split. Read as one text, it makes its row only when all of it is there,
+    and a task needs memory for all of it.
+    """
+
+    def read() -> DataFrame:
+        names = f"*.{{{','.join(COMPRESSED)}}}"
+        scan = _tolerant(spark).option("pathGlobFilter", names).text(f"{root}/raw", wholetext=True)
+        return scan.select(path_below(F.col("_metadata.file_path"), root).alias("uri"))
+
+    return or_empty(read, spark, "uri string")

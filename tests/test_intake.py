@@ -1,5 +1,6 @@
 """Landed files: verdicts, routing, streaming intake."""
 
+import gzip
 import json
 import os
 import time
@@ -12,7 +13,8 @@ from dimflow.functions.jsontext import is_one_json_value, is_parsed
 from dimflow.functions.paths import decoded_key, decoded_uri
 from dimflow.operators.verdicts import first_lines, header_names
 from dimflow.sources.readers import landed_files, read_archive
-from dimflow.streaming.intake import judge_landed, take_in_landed, take_in_new
+from dimflow.streaming import intake
+from dimflow.streaming.intake import judge_landed, take_in_new
 
 DAY = "2025-05-20"
 
@@ -90,18 +92,19 @@ def test_verdicts(spark, landed):
     check_manifest(judge_landed(spark, str(landed), DAY))
 
 
-def check_routed(spark, root):
+def lines_of(path: Path) -> list[str]:
+    return path.read_text(encoding="utf-8").splitlines()
+
+
+def check_routed(spark, root, before):
+    """Every file is where the manifest says, byte for byte, and no longer below raw/."""
+    manifest = spark.read.parquet(f"{root}/manifest").collect()
+    for r in manifest:
+        assert (Path(root) / r.moved_to).read_bytes() == before[r.key]
+    assert not [p for p in (Path(root) / "raw").rglob("*") if p.is_file() and p.suffix != ".crc"]
     customers = read_archive(spark, root, "customers")
     found = {(r["customer_id"], str(r["archive_date"])) for r in customers.collect()}
     assert found == {("c1", DAY), ("c2", DAY), (None, DAY), ("c9", "2025-01-01")}
-    plans = read_archive(spark, root, "plans")
-    assert {(r["plan_id"], r["plan_name"]) for r in plans.collect()} == {
-        ("P1", "a, b"), ("P2", "c"),
-    }
-    rejected = spark.read.text(f"{root}/rejected")
-    counts = {r["dataset"]: r["count"] for r in rejected.groupBy("dataset").count().collect()}
-    assert counts == {"customers": 2 + 3 + 2 + 1, "activity_logs": 1 + 1 + 2, "plans": 2 + 1 + 3,
-                      "_unknown": 1}
     messages = [json.loads(r["value"]) for r in spark.read.text(f"{root}/alerts").collect()]
     by_file = {m["file"]: m for m in messages}
     assert len(by_file) == sum(reason != "ok" for reason in EXPECTED.values())
@@ -109,70 +112,138 @@ def check_routed(spark, root):
     assert set(by_file["raw/plans/header.csv"]) == {"file", "reason", "moved_to"}
 
 
-def drop_mixed_header(landed):
-    # One catalogue has its columns in another order; without it all files agree.
-    land(landed, "raw/plans/quoted.csv", "plan_id,plan_name", 'P1,"a, b"', "", "P2,c")
-
-
-def test_batch_intake_is_repeatable(spark, landed):
-    drop_mixed_header(landed)
-    root = str(landed)
-    for _ in range(2):
-        check_manifest(take_in_landed(spark, root, DAY, "b1"))
-    check_routed(spark, root)
-
+def contents(root: Path) -> dict[str, bytes]:
+    return {str(p.relative_to(root)): p.read_bytes() for p in (root / "raw").rglob("*.*") if p.is_file()}
 
-def test_stream_takes_each_file_once(spark, landed, tmp_path_factory):
-    drop_mixed_header(landed)
-    root, checkpoint = str(landed), str(tmp_path_factory.mktemp("stream"))
 
-    def run():
-        take_in_new(spark, root, checkpoint, DAY, files_per_batch=7)
-
-    run()
+def test_intake_takes_each_delivery_once(spark, landed, tmp_path_factory):
+    root, state = str(landed), str(tmp_path_factory.mktemp("state"))
+    before = contents(landed)
+    assert take_in_new(spark, root, state, DAY) == [f"{DAY}-000001"]
     check_manifest(spark.read.parquet(f"{root}/manifest"))
-    check_routed(spark, root)
+    check_routed(spark, root, before)
+    assert take_in_new(spark, root, state, DAY) == []
     land(landed, "raw/customers/late.ndjson", '{"customer_id":"c3"}')
-    run()
+    assert take_in_new(spark, root, state, "2025-05-21") == ["2025-05-21-000001"]
     manifest = spark.read.parquet(f"{root}/manifest")
     assert manifest.count() == len(EXPECTED) + 1
     assert manifest.filter("key like '%late%'").first()["ok"]
+    assert not list(Path(state).rglob("part-*"))  # nothing is kept
 
 
-def test_lengths_of_landed_files(spark, landed):
-    found = {r.uri: r.length for r in landed_files(spark, str(landed)).collect()}
-    for path in (landed / "raw").rglob("*.*"):
-        key = str(path.relative_to(landed)).replace(" ", "%20")
-        assert found[key] == path.stat().st_size
-
-
-def test_stream_takes_files_of_any_age(spark, tmp_path):
-    land(tmp_path, "raw/customers/new.ndjson", '{"customer_id":"c1"}')
-    land(tmp_path, "raw/customers/old.ndjson", '{"customer_id":"c2"}')
+def test_a_key_delivered_again_is_taken_in_again(spark, rows, tmp_path):
+    root, state = str(tmp_path), str(tmp_path / "state")
+    land(tmp_path, "raw/customers/a.ndjson", '{"customer_id":"c1"}')
+    take_in_new(spark, root, state, DAY)
+    land(tmp_path, "raw/customers/a.ndjson", '{"customer_id":"c2"}')  # same path and length, and old
     month_ago = time.time() - 30 * 86400
-    os.utime(tmp_path / "raw/customers/old.ndjson", (month_ago, month_ago))
-    take_in_new(spark, str(tmp_path), str(tmp_path / "ck"), DAY)
-    customers = read_archive(spark, str(tmp_path), "customers")
-    assert sorted(r.customer_id for r in customers.collect()) == ["c1", "c2"]
+    os.utime(tmp_path / "raw/customers/a.ndjson", (month_ago, month_ago))
+    take_in_new(spark, root, state, DAY)
+    assert lines_of(tmp_path / f"archive/customers/{DAY}/a.ndjson") == ['{"customer_id":"c2"}']
+    land(tmp_path, "raw/customers/a.ndjson", "{")
+    take_in_new(spark, root, state, DAY)
+    land(tmp_path, "raw/customers/a.ndjson", '{"customer_id":"c1"}')
+    take_in_new(spark, root, state, "2025-05-21")
+    manifest = spark.read.parquet(f"{root}/manifest")
+    assert rows(manifest, "reason", "moved_to") == sorted([
+        ("ok", f"archive/customers/{DAY}/a.ndjson"), ("ok", f"archive/customers/{DAY}/a.ndjson"),
+        ("invalid_ndjson_format", f"rejected/customers/{DAY}/a.ndjson"), ("ok", "archive/customers/2025-05-21/a.ndjson"),
+    ], key=repr)
+    assert sorted(r.customer_id for r in read_archive(spark, root, "customers").collect()) == ["c1", "c2"]
+
+
+def test_files_of_one_name_have_places_of_their_own(spark, tmp_path):
+    root, state = str(tmp_path), str(tmp_path / "state")
+    for i, sub in enumerate(("a/", "b/")):
+        land(tmp_path, f"raw/customers/{sub}x.ndjson", f'{{"customer_id":"c{i}"}}')
+    take_in_new(spark, root, state, DAY)
+    land(tmp_path, "raw/customers/x.ndjson", '{"customer_id":"c2"}')
+    land(tmp_path, "raw/customers/a/x.ndjson", '{"customer_id":"c3"}')
+    take_in_new(spark, root, state, DAY)
+    for r in spark.read.parquet(f"{root}/manifest").collect():
+        assert (tmp_path / r.moved_to).exists()
+    assert sorted(r.customer_id for r in read_archive(spark, root, "customers").collect()) == ["c1", "c2", "c3"]
+
+
+def test_an_unreadable_file_does_not_stop_the_batch(spark, tmp_path):
+    root, state = str(tmp_path), str(tmp_path / "state")
+    lines = "".join(json.dumps({"customer_id": f"c{i}", "x": os.urandom(20).hex()}) + "\n" for i in range(20_000))
+    whole = gzip.compress(lines.encode())
+    files = {"good.ndjson.gz": whole, "cut.ndjson.gz": whole[: len(whole) // 2], "plain.ndjson.gz": lines.encode(), "empty.ndjson.gz": b""}
+    for name, data in files.items():
+        land(tmp_path, f"raw/customers/{name}")
+        (tmp_path / "raw/customers" / name).write_bytes(data)
+    land(tmp_path, "raw/customers/good.ndjson", '{"customer_id":"c1"}', end="\r\n")
+    land(tmp_path, "raw/customers/mark.ndjson", '\ufeff{"customer_id":"c1"}', end="")
+    take_in_new(spark, root, state, DAY)
+    manifest = {r.key.split("/")[-1]: r for r in spark.read.parquet(f"{root}/manifest").collect()}
+    assert {k: r.reason for k, r in manifest.items()} == {
+        "good.ndjson.gz": "ok", "cut.ndjson.gz": "error_reading_file_incomplete", "plain.ndjson.gz": "error_reading_file_no_line_read",
+        "empty.ndjson.gz": "no_json_lines_detected", "good.ndjson": "ok", "mark.ndjson": "ok",
+    }
+    assert all((tmp_path / r.moved_to).exists() for r in manifest.values())
+    assert read_archive(spark, root, "customers").count() == 20_002
+
+
+@pytest.mark.parametrize("step", ["judge_batch", "move_batch", "half_moved"])
+def test_a_batch_that_stopped_is_finished_with_its_own_day(spark, rows, landed, tmp_path_factory, monkeypatch, step):
+    root, state = str(landed), str(tmp_path_factory.mktemp("state"))
+    before = contents(landed)
+
+    def stop(*_):
+        raise RuntimeError("stopped")
+
+    if step == "half_moved":
+        moves, whole = [], intake.Files.move
+
+        def some(self, source, target):
+            if len(moves) > 5:
+                stop()
+            moves.append(source)
+            whole(self, source, target)
+
+        monkeypatch.setattr(intake.Files, "move", some)
+    else:
+        monkeypatch.setattr(intake, step, stop)
+    with pytest.raises(RuntimeError):
+        take_in_new(spark, root, state, DAY)
+    monkeypatch.undo()
+    assert take_in_new(spark, root, state, "2025-05-22") == [f"{DAY}-000001"]
+    check_manifest(spark.read.parquet(f"{root}/manifest"))
+    check_routed(spark, root, before)
 
 
-def test_mixed_header_order_fails_loudly(spark, landed):
-    take_in_landed(spark, str(landed), DAY, "b1")
-    with pytest.raises(Exception, match="(?i)header"):
-        read_archive(spark, str(landed), "plans").collect()
+def test_a_file_replaced_under_way_is_another_delivery(spark, tmp_path):
+    root, state = str(tmp_path), str(tmp_path / "state")
+    land(tmp_path, "raw/customers/a.ndjson", '{"customer_id":"c1"}')
+    batch = intake.plan_batch(spark, root, state, DAY)
+    intake.judge_batch(spark, root, state, batch)
+    land(tmp_path, "raw/customers/a.ndjson", "broken, and not judged yet")
+    intake.move_batch(spark, root, state, batch)
+    assert (tmp_path / "raw/customers/a.ndjson").exists()
+    take_in_new(spark, root, state, DAY)
+    assert lines_of(tmp_path / f"rejected/customers/{DAY}/a.ndjson") == ["broken, and not judged yet"]
 
 
-def test_large_csv_keeps_header_per_split(spark, tmp_path):
-    land(tmp_path, "raw/plans/big.csv", "plan_name,plan_id", *[f"n{i},P{i}" for i in range(5000)])
-    spark.conf.set("spark.sql.files.maxPartitionBytes", "16384")
+def test_the_stream_takes_in_what_lands(spark, tmp_path):
+    root, state = str(tmp_path), str(tmp_path / "state")
+    land(tmp_path, "raw/customers/a.ndjson", '{"customer_id":"c1"}')
+    query = intake.intake_stream(spark, root, state, 1)
     try:
-        take_in_landed(spark, str(tmp_path), DAY, "b1")
+        for _ in range(120):
+            if (tmp_path / "manifest").exists() and not (tmp_path / "raw/customers/a.ndjson").exists():
+                break
+            time.sleep(0.5)
     finally:
-        spark.conf.unset("spark.sql.files.maxPartitionBytes")
-    plans = read_archive(spark, str(tmp_path), "plans")
-    assert plans.select("source_file").distinct().count() > 1
-    assert plans.count() == 5000
-    assert plans.filter("plan_name = replace(plan_id, 'P', 'n')").count() == 5000
+        query.stop()
+    assert spark.read.parquet(f"{root}/manifest").count() == 1
+
+
+def test_lengths_of_landed_files(spark, landed):
+    found = {r.uri: r.length for r in landed_files(spark, str(landed)).collect()}
+    for path in (landed / "raw").rglob("*.*"):
+        key = str(path.relative_to(landed)).replace(" ", "%20")
+        assert found[key] == path.stat().st_size
 
 
 def test_sample_mode_sees_the_start_only(spark, tmp_path):
