@@ -27,7 +27,7 @@ from dimflow.operators.verdicts import (
     routed_to,
     verdicts,
 )
-from dimflow.plans import archived, reports
+from dimflow.plans import archived, landed, reports
 from dimflow.plans import fixtures as fx
 from dimflow.plans.staging import build_staging
 from dimflow.plans.standardize import standardize, typed
@@ -474,6 +474,37 @@ def archive_date_replay(spark, sf_dir):
     )
 
 
+@query
+def intake_manifest(spark, sf_dir):
+    """Verdicts of two deliveries of files, the second of known keys with an old date."""
+    root = archived.new_root(spark)
+    told = landed.manifests(spark, root, landed.taken_in(spark, sf_dir, root))
+    return told.select("delivery", "key", "dataset", "ok", "reason", "moved_to")
+
+
+@query
+def intake_routed_lines(spark, sf_dir):
+    """What is read at the places that the verdicts announce."""
+    root = archived.new_root(spark)
+    told = landed.manifests(spark, root, landed.taken_in(spark, sf_dir, root))
+    lines = landed.lines_in_place(spark, root, told)
+    return lines.groupBy("moved_to", "value").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query
+def intake_redelivery(spark, sf_dir):
+    """Keys that were delivered again, with all verdicts and the lines at the last place."""
+    root = archived.new_root(spark)
+    told = landed.manifests(spark, root, landed.taken_in(spark, sf_dir, root))
+    keys = told.groupBy("key").agg(
+        F.count(F.lit(1)).alias("deliveries"),
+        F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("delivery", "reason"))), lambda x: x["reason"]), "; ").alias("reasons"),
+        F.max_by("moved_to", "delivery").alias("moved_to"),
+    )
+    counts = landed.lines_in_place(spark, root, told).groupBy("moved_to").agg(F.count(F.lit(1)).alias("lines"))
+    return keys.where("deliveries > 1").join(counts, "moved_to").select("key", "deliveries", "reasons", "moved_to", "lines")
+
+
 # --- whole runs over archived files ------------------------------------------------------
 
 

@@ -577,6 +577,61 @@ FROM routed WHERE NOT ok
 """
 )
 
+_LANDED = _with(_CTE, "doc_lines") + """,
+numbered AS (
+    SELECT l.doc_id, l.line_no, d.source,
+        coalesce(TRY_CAST(regexp_extract(d.source, '^src(\\d{1,6})$', 1) AS INTEGER), 4) % 7 AS form
+    FROM doc_lines l JOIN documents d ON l.doc_id = d.doc_id
+), keyed AS (
+    SELECT *, ['customers', 'activity_logs', 'plans', 'customers', 'other', 'activity_logs', 'customers'][form + 1] AS folder,
+        coalesce(source, 'none') || '-' || (doc_id // 2000) || '.'
+            || ['ndjson', 'ndjson', 'csv', 'ndjson', 'txt', 'ndjson', 'ndjson.gz'][form + 1] AS file
+    FROM numbered
+), delivered AS (
+    SELECT 1 AS delivery, form AS written, * FROM keyed
+    UNION ALL
+    SELECT 2, CASE form WHEN 0 THEN 3 WHEN 3 THEN 0 ELSE form END, * FROM keyed WHERE form IN (0, 1, 3) AND doc_id % 2 = 0
+), lines AS (
+    SELECT delivery, folder, file, written,
+        CASE WHEN written <= 1 THEN '{"event_id":"e' || doc_id || '-' || line_no || '","customer_id":"c' || doc_id || '"}'
+             WHEN written = 2 THEN 'P' || doc_id || '-' || line_no || ',"a, b"'
+             WHEN written = 3 THEN '{"id":"' || doc_id || '-' || line_no || '"}'
+             WHEN written = 5 THEN '{"event_id":"' || doc_id || '-' || line_no || '"'
+             ELSE 'line ' || doc_id || '-' || line_no END AS value
+    FROM delivered
+    UNION ALL
+    SELECT DISTINCT delivery, folder, file, written, 'plan_id,plan_name' FROM delivered WHERE folder = 'plans'
+), counted AS (
+    SELECT delivery, folder, file, written, count(*) AS n FROM lines GROUP BY ALL
+), judged AS (
+    SELECT *, 'raw/' || folder || '/' || file AS key, CASE WHEN folder <> 'other' THEN folder END AS dataset,
+        CASE WHEN folder = 'other' THEN 'unknown_folder_structure'
+             WHEN written = 6 THEN 'error_reading_file_no_line_read'
+             WHEN written = 5 THEN 'invalid_ndjson_format'
+             WHEN written = 3 THEN 'missing_fields_[''customer_id'']'
+             WHEN written = 2 AND n < 3 THEN 'no_data_rows_found'
+             ELSE 'ok' END AS reason
+    FROM counted
+), placed AS (
+    SELECT *, reason = 'ok' AS ok,
+        CASE WHEN reason = 'ok' THEN 'archive' ELSE 'rejected' END || '/' || coalesce(dataset, '_unknown') || '/2002-01-01/' || file AS moved_to
+    FROM judged
+), held AS (
+    SELECT * FROM placed QUALIFY row_number() OVER (PARTITION BY moved_to ORDER BY delivery DESC) = 1
+)
+"""
+
+ORACLE["intake_manifest"] = _LANDED + "SELECT delivery, key, dataset, ok, reason, moved_to FROM placed"
+
+ORACLE["intake_routed_lines"] = _LANDED + """
+SELECT moved_to, value, count(*) AS n
+FROM held JOIN lines USING (delivery, folder, file) WHERE held.written <> 6 GROUP BY ALL"""
+
+ORACLE["intake_redelivery"] = _LANDED + """
+SELECT key, count(*) AS deliveries, string_agg(reason, '; ' ORDER BY delivery) AS reasons,
+    max_by(moved_to, delivery) AS moved_to, max_by(n, delivery) AS lines
+FROM placed GROUP BY key HAVING count(*) > 1"""
+
 ORACLE["archive_date_replay"] = """
 SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS archive_date, event_type, count(*) AS events
 FROM events
