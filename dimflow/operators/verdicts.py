@@ -13,6 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from dimflow.functions.csvtext import header_names, opens_inside, opens_outside
 from dimflow.functions.jsontext import is_parsed, mentions, stripped
 from dimflow.functions.paths import dataset_of, decoded_uri, destination, is_landed
 from dimflow.schemas import (
@@ -88,24 +89,60 @@ def file_facts(lines: DataFrame) -> DataFrame:
         F.count_if(~F.col("_parsed")).alias("broken"),
         *[column.alias(name) for name, column in found.items()],
     )
-    headers = (
-        lines.filter(is_csv() & (F.col("line_no.start") == 0))
-        .groupBy("uri")
-        .agg(F.min_by("value", "line_no").alias("header"), F.min("line_no").alias("header_no"))
+    return counts.join(csv_rows(lines.filter(is_csv())), "uri", "left")
+
+
+def row_starts(lines: DataFrame) -> DataFrame:
+    """Lines of CSV files with ``begins``: does a row begin here, or is the line's start within quotes?
+
+    Whether a line ends within quotes depends on how it began: some lines set the state, some turn it
+    round, others leave it. So the state at a line is what the last setting line left, turned by the
+    lines since. That is taken within each split of a file first; what a split leaves is passed on from
+    split to split, one row each, so that no task sees more of a file than a split.
+    """
+    odd = lambda n: F.pmod(n, F.lit(2)) == 1
+    flip = lambda state, n: F.when(odd(n), ~state).otherwise(state)
+    judged = lines.withColumn("_from_out", opens_outside(F.col("value"))).withColumn("_from_in", opens_inside(F.col("value")))
+    sets = F.col("_from_out") == F.col("_from_in")
+    in_split = Window.partitionBy("uri", "line_no.start").orderBy("line_no")
+    so_far = in_split.rowsBetween(Window.unboundedPreceding, 0)
+    # The state a setting line leaves, turned back to the split's start: later lines turn it as often as they must.
+    turned = judged.withColumn("_turns", F.count_if(F.col("_from_out") & ~F.col("_from_in")).over(so_far))
+    turned = turned.withColumn("_set", F.last(F.when(sets, flip(F.col("_from_out"), F.col("_turns"))), True).over(so_far))
+    splits = turned.groupBy("uri", "line_no.start").agg(
+        F.max("_turns").alias("_turns"), F.max_by("_set", "line_no").alias("_set")
     )
-    return counts.join(headers, "uri", "left")
+    before = Window.partitionBy("uri").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
+    passed = splits.withColumn("_before", F.coalesce(F.sum("_turns").over(before), F.lit(0)))
+    passed = passed.withColumn("_set", flip(F.col("_set"), F.col("_before")))
+    entered = passed.select(
+        F.col("uri").alias("_uri"), F.col("start").alias("_start"),
+        flip(F.coalesce(F.last("_set", True).over(before), F.lit(False)), F.col("_before")).alias("_entered"),
+    )
+    same = (F.col("uri") == F.col("_uri")) & (F.col("line_no.start") == F.col("_start"))
+    previous = lambda name: F.lag(name).over(in_split)
+    placed = turned.withColumn("_p_turns", F.coalesce(previous("_turns"), F.lit(0))).withColumn("_p_set", previous("_set"))
+    inside = flip(F.coalesce("_p_set", "_entered"), F.col("_p_turns"))
+    return placed.join(entered, same).select(*lines.columns, (~inside).alias("begins"))
+
 
+def csv_rows(lines: DataFrame) -> DataFrame:
+    """Of each CSV file the header row and the number of filled rows; a quoted cell may span lines.
 
-def header_names(header: Column) -> Column:
-    """Column names of a CSV header line, quotes removed."""
-    cells = F.regexp_extract_all(header, F.lit(r'(?:^|,)("(?:[^"]|"")*+"|[^,]*)'), F.lit(1))
-    return F.transform(
-        cells,
-        lambda cell: F.when(
-            cell.rlike('^".*"$'),
-            F.replace(F.regexp_replace(cell, '^"|"$', ""), F.lit('""'), F.lit('"')),
-        ).otherwise(cell),
+    The header is looked for in the first ``SAMPLE_LINES`` lines; of one that is longer, that much is taken.
+    """
+    starts = row_starts(lines)
+    rows = starts.groupBy("uri").agg(
+        F.count_if(F.col("begins") & (F.col("value") != "")).alias("rows"),
+        F.min("line_no").alias("header_no"),
+    )
+    order = Window.partitionBy("uri").orderBy("line_no")
+    head = starts.filter("line_no.start = 0").withColumn("_n", F.row_number().over(order)).filter(F.col("_n") <= SAMPLE_LINES)
+    numbered = head.withColumn("_row", F.count_if("begins").over(order)).filter("_row = 1")
+    headers = numbered.groupBy("uri").agg(
+        F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("_n", "value"))), lambda x: x["value"]), "\n").alias("header")
     )
+    return rows.join(headers, "uri", "left")
 
 
 def _listed(prefix: str, absent: Column) -> Column:
@@ -117,8 +154,8 @@ def _reason_for(dataset: str, min_rows: int) -> Column:
     if dataset in CSV_DATASETS:
         names = F.coalesce(header_names(F.col("header")), F.array().cast("array<string>"))
         absent = F.array_except(F.array(*[F.lit(k) for k in required]), names)
-        # The header line is one of the filled lines.
-        rows = F.coalesce(F.col("filled"), F.lit(0)) - 1
+        # The header is one of the filled rows.
+        rows = F.coalesce(F.col("rows"), F.lit(0)) - 1
         return (
             F.when(F.size(absent) > 0, _listed(MISSING_COLUMNS, absent))
             .when(rows < min_rows, NO_ROWS)

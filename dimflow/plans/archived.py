@@ -11,6 +11,7 @@ from dimflow.plans import fixtures as fx
 from dimflow.plans.staging import build_staging
 from dimflow.plans.standardize import standardize
 from dimflow.plans.warehouse import run_warehouse
+from dimflow.schemas import layout
 from dimflow.session import scratch_folder
 
 # Two deliveries: everything before the first day, then everything before the second, which is
@@ -73,6 +74,30 @@ def archive_batches(spark: SparkSession, sf_dir: str, root: str) -> None:
         _plans(spark, sf_dir).write.option("header", True).csv(f"{root}/archive/plans/{day}")
 
 
+PLAN_DAYS = ("1999-01-01", "1999-01-02", "1999-01-03")
+
+
+def archive_plan_versions(spark: SparkSession, sf_dir: str, root: str) -> None:
+    """Plan catalogues of three days whose headers differ: in order, case, missing and extra columns."""
+    plans = fx.part_plans(spark, sf_dir)
+    number = F.substring("plan_id", 2, 20).cast("bigint")
+    names = layout("plans").names
+    other = [F.col(n).alias(n.upper()) for n in reversed(names) if n != "voice_minutes"]
+    versions = (
+        plans.select(*names),
+        plans.filter(number % 2 == 0).select(F.lit("x").alias("LAUNCHED"), *other),
+        plans.filter(number % 3 == 0).select("monthly_price", "plan_id"),
+    )
+    for day, version in zip(PLAN_DAYS, versions):
+        version.write.option("header", True).csv(f"{root}/archive/plans/{day}")
+
+
+def archive_events(spark: SparkSession, sf_dir: str, root: str) -> None:
+    """Events as NDJSON below a folder for each day."""
+    events = fx.web_events(spark, sf_dir).withColumn("ingest_date", F.date_format("event_timestamp", "yyyy-MM-dd"))
+    events.write.partitionBy("ingest_date").json(f"{root}/archive/dataset=activity_logs")
+
+
 def run_batches(spark: SparkSession, sf_dir: str) -> str:
     """Both deliveries through all jobs, one run each; returns the root folder."""
     root = new_root(spark)

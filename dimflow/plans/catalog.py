@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 from functools import reduce
 
@@ -9,9 +10,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dimflow.functions.jsontext import payload_field
-from dimflow.functions.paths import archive_date_of, dataset_of, decoded_key
+from dimflow.functions.paths import dataset_of, decoded_key
 from dimflow.functions.values import normalized_names, stamp, with_defaults
 from dimflow.operators.align import align_by_name
+from dimflow.operators.asof import as_of_join
 from dimflow.operators.enrich import with_current_plan, with_plan_attributes, with_plan_key
 from dimflow.operators.facts import new_facts, point_in_time_join
 from dimflow.operators.keys import assign_keys, stable_keys
@@ -34,6 +36,7 @@ from dimflow.plans.standardize import standardize, typed
 from dimflow.plans.warehouse import dim_customer, dim_plan, fact_activity
 from dimflow.schemas import BAD_NDJSON, OK, UNKNOWN_FOLDER, layout
 from dimflow.session import cut_lineage
+from dimflow.sources.readers import read_archive
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -312,6 +315,16 @@ def fact_point_in_time(spark, sf_dir):
     return _resolved(spark, sf_dir)
 
 
+@query
+def fact_point_in_time_merge(spark, sf_dir):
+    """The same by one merge of facts and versions in order of time."""
+    versions = _dim_table(spark, sf_dir).withColumn("version_from", F.col(START))
+    return as_of_join(
+        fx.activity(spark, sf_dir), versions, "customer_id", "event_timestamp",
+        ["version_from", "status", "plan_id"],
+    )
+
+
 @query
 def plan_at_event(spark, sf_dir):
     """What plan was the customer on when the activity occurred?"""
@@ -458,19 +471,34 @@ def rejection_alerts(spark, sf_dir):
     return alerts(_routed(spark, sf_dir))
 
 
+@query
+def csv_verdicts_multiline(spark, sf_dir):
+    """Rows of quoted cells that span lines and splits."""
+    lines = fx.csv_files_multiline(spark, sf_dir)
+    return _judged(lines, lines)
+
+
 @query
 def archive_date_replay(spark, sf_dir):
-    events = fx.web_events(spark, sf_dir)
-    path = F.concat(
-        F.lit("/archive/activity_logs/"),
-        F.date_format("event_timestamp", "yyyy-MM-dd"),
-        F.lit("/part.ndjson"),
+    """A week of an archive of daily folders."""
+    root = archived.new_root(spark)
+    archived.archive_events(spark, sf_dir, root)
+    week = read_archive(spark, root, "activity_logs", dt.date(2024, 1, 10), dt.date(2024, 1, 16))
+    return week.groupBy(F.col("archive_date").cast("string").alias("archive_date"), "event_type").agg(
+        F.count(F.lit(1)).alias("events")
     )
-    archived = events.withColumn("archive_date", archive_date_of(path))
-    return (
-        archived.filter(F.col("archive_date").between("2024-01-10", "2024-01-16"))
-        .groupBy(F.col("archive_date").cast("string").alias("archive_date"), "event_type")
-        .agg(F.count(F.lit(1)).alias("events"))
+
+
+@query
+def plans_across_headers(spark, sf_dir):
+    """Three days of CSV files with unlike headers as one frame, and the middle day by itself."""
+    root = archived.new_root(spark)
+    archived.archive_plan_versions(spark, sf_dir, root)
+    middle = dt.date.fromisoformat(archived.PLAN_DAYS[1])
+    asked = {"all": read_archive(spark, root, "plans"), "middle": read_archive(spark, root, "plans", middle, middle)}
+    told = [df.withColumn("asked", F.lit(name)) for name, df in asked.items()]
+    return reduce(DataFrame.unionByName, told).drop("raw_line", "source_file").withColumn(
+        "archive_date", F.col("archive_date").cast("string")
     )
 
 

@@ -232,6 +232,23 @@ def csv_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def csv_files_multiline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as plan CSV files of up to four rows: whole texts are quoted cells over many lines, and
+    an unquoted cell holds a quote. Every five lines are a split."""
+    number = F.col("doc_id")
+    cell = F.replace(F.col("text"), F.lit('"'), F.lit('""'))
+    rows = F.array_repeat(F.concat(F.lit('P1,"'), cell, F.lit('",1.5')), (number % 4).cast("int"))
+    odd = F.when(number % 3 == 2, F.array(F.lit('P0,5" pipe,1'))).otherwise(F.array().cast("array<string>"))
+    content = F.concat(F.array(F.lit("plan_id,plan_name,monthly_price")), odd, rows)
+    key = F.concat(F.lit("raw/plans/doc-"), number.cast("string"), F.lit(".csv"))
+    texts = table(spark, sf_dir, "documents").filter("text IS NOT NULL")
+    lines = texts.select(
+        key.alias("uri"), F.posexplode(F.split(F.array_join(content, "\n"), "\n")).alias("n", "value")
+    )
+    place = F.struct((F.floor(F.col("n") / 5) * 100).cast("bigint").alias("start"), F.col("n").alias("row"))
+    return lines.select("uri", place.alias("line_no"), "value")
+
+
 def listing(lines: DataFrame) -> DataFrame:
     """Files of a frame of lines with their length in bytes."""
     return lines.groupBy("uri").agg(F.sum(F.octet_length("value") + 1).alias("length"))

@@ -327,6 +327,8 @@ FROM odd_customers c LEFT JOIN dim_plan p ON c.plan_id = p.plan_id
 
 ORACLE["fact_point_in_time"] = _with(_CTE, *_RESOLVED) + "SELECT * FROM resolved"
 
+ORACLE["fact_point_in_time_merge"] = ORACLE["fact_point_in_time"]
+
 ORACLE["plan_at_event"] = (
     _with(_CTE, *_RESOLVED, "plans")
     + """
@@ -545,6 +547,18 @@ SELECT key, 'plans' AS dataset, reason = 'ok' AS ok, reason,
 FROM judged
 """
 
+ORACLE["csv_verdicts_multiline"] = f"""
+WITH judged AS (
+    SELECT 'raw/plans/doc-' || doc_id || '.csv' AS key,
+           CASE WHEN doc_id % 4 + CASE WHEN doc_id % 3 = 2 THEN 1 ELSE 0 END < 2 THEN 'no_data_rows_found'
+                ELSE 'ok' END AS reason
+    FROM documents WHERE text IS NOT NULL)
+SELECT key, 'plans' AS dataset, reason = 'ok' AS ok, reason,
+       CASE WHEN reason = 'ok' THEN 'archive' ELSE 'rejected' END
+           || '/plans/{RUN_TS[:10]}/' || split_part(key, '/', -1) AS moved_to
+FROM judged
+"""
+
 _ROUTED = f"""
 WITH keyed AS (
     SELECT CASE source WHEN 'src0' THEN 'customers' WHEN 'src1' THEN 'plans'
@@ -632,6 +646,26 @@ SELECT key, count(*) AS deliveries, string_agg(reason, '; ' ORDER BY delivery) A
     max_by(moved_to, delivery) AS moved_to, max_by(n, delivery) AS lines
 FROM placed GROUP BY key HAVING count(*) > 1"""
 
+ORACLE["plans_across_headers"] = """
+WITH parts AS (
+    SELECT 'P' || p_partkey AS plan_id, p_partkey, p_name AS plan_name, p_retailprice AS monthly_price, p_size AS data_allowance_gb,
+           p_size * 100 AS voice_minutes, p_size * 10 AS sms_allowance,
+           CASE WHEN p_partkey % 2 = 0 THEN 'Y' ELSE 'N' END AS roaming_enabled,
+           CAST(30 AS INTEGER) AS validity_days, p_type AS plan_category
+    FROM part
+), days AS (
+    SELECT '1999-01-01' AS archive_date, * FROM parts
+    UNION ALL
+    SELECT '1999-01-02', * REPLACE (CAST(NULL AS INTEGER) AS voice_minutes) FROM parts WHERE p_partkey % 2 = 0
+    UNION ALL
+    SELECT '1999-01-03', plan_id, p_partkey, NULL, monthly_price, NULL, NULL, NULL, NULL, NULL, NULL
+    FROM parts WHERE p_partkey % 3 = 0
+)
+SELECT * EXCLUDE (p_partkey), 'all' AS asked FROM days
+UNION ALL
+SELECT * EXCLUDE (p_partkey), 'middle' FROM days WHERE archive_date = '1999-01-02'
+"""
+
 ORACLE["archive_date_replay"] = """
 SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS archive_date, event_type, count(*) AS events
 FROM events

@@ -3,18 +3,22 @@
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from dimflow.functions.csvtext import header_names
 from dimflow.functions.paths import archive_date_of, path_below
 from dimflow.operators.align import align_by_name
 from dimflow.schemas import layout
 
 RAW_LINE = (T.StructField("raw_line", T.StringType()),)
 LOCATION = (T.StructField("source_file", T.StringType()), T.StructField("archive_date", T.DateType()))
+#: Longest range of days whose folders are named one by one.
+LISTED_DAYS = 1000
 
 
 def or_empty(read, spark: SparkSession, schema: T.StructType | str) -> DataFrame:
@@ -27,30 +31,60 @@ def or_empty(read, spark: SparkSession, schema: T.StructType | str) -> DataFrame
         return spark.createDataFrame([], schema)
 
 
-def read_ndjson(spark: SparkSession, path: str, dataset: str) -> DataFrame:
+def read_ndjson(spark: SparkSession, path: str, dataset: str, keep: Column | None = None) -> DataFrame:
     """NDJSON with the dataset's layout. A malformed line gives a row of NULLs and its text
-    in ``raw_line``; nested objects under text fields stay JSON text."""
+    in ``raw_line``; nested objects under text fields stay JSON text. ``keep`` is a condition on
+    ``_metadata.file_path``; Spark skips files that fail it."""
     schema = T.StructType([*layout(dataset).fields, *RAW_LINE])
     rows = spark.read.schema(schema).json(
         path, columnNameOfCorruptRecord=RAW_LINE[0].name, recursiveFileLookup=True
     )
-    return with_archive_date(rows, schema)
+    return with_archive_date(rows if keep is None else rows.filter(keep), schema)
 
 
-def read_csv(spark: SparkSession, path: str, dataset: str) -> DataFrame:
-    """CSV with a header line, read by column name.
+def read_csv(spark: SparkSession, path: str, dataset: str, keep: Column | None = None) -> DataFrame:
+    """CSV with a header line, each file read by the names of its own header.
 
-    The names of one file's header fix the column order; a file with another order or other
-    names fails the read instead of filling the wrong columns. Numbers that do not parse
-    become NULL.
+    Files of any number of header versions are one frame: columns may move, come and go, or change
+    between upper and lower case; of two columns with one name the first counts. A file's cells
+    are put in place by its header, which is joined to its lines; so all versions are parsed in one scan. Numbers
+    that do not parse become NULL. ``keep`` is a condition on ``_metadata.file_path``.
     """
     schema = layout(dataset)
-    names = spark.read.csv(path, header=True, recursiveFileLookup=True).columns
-    as_text = T.StructType([T.StructField(name, T.StringType()) for name in names])
-    rows = spark.read.schema(as_text).csv(
-        path, header=True, enforceSchema=False, recursiveFileLookup=True
+    text = spark.read.option("recursiveFileLookup", True).text(path)
+    if keep is not None:
+        text = text.filter(keep)
+    lines = text.select(
+        F.col("_metadata.file_path").alias("source_file"),
+        F.col("_metadata.file_block_start").alias("start"),
+        # Both scans below are of the same files in the same splits, so a line has one number.
+        F.monotonically_increasing_id().alias("place"),
+        "value",
+    ).filter("value <> ''")
+    headers = (
+        lines.filter("start = 0")
+        .groupBy("source_file")
+        .agg(F.min_by("value", "place").alias("header"), F.min("place").alias("header_place"))
+        .withColumn("names", F.transform(header_names(F.col("header")), lambda name: F.lower(name)))
+    )
+    widest = headers.agg(F.max(F.size("names"))).first()[0]
+    if widest is None:
+        return spark.createDataFrame([], T.StructType([*schema.fields, *LOCATION]))
+    width = range(widest)
+    cells = F.from_csv("value", ", ".join(f"c{i} string" for i in width))
+    rows = (
+        lines.join(headers, "source_file")
+        .filter("place <> header_place")
+        .withColumn("cells", cells)
+        .withColumn("cells", F.array(*[F.col("cells")[f"c{i}"] for i in width]))
     )
-    return with_archive_date(rows, schema)
+
+    def column(field: T.StructField) -> Column:
+        at = F.array_position("names", F.lit(field.name.lower())).cast("int") - 1
+        return F.get("cells", F.when(at >= 0, at)).try_cast(field.dataType).alias(field.name)
+
+    date = archive_date_of(F.col("source_file")).alias("archive_date")
+    return rows.select(*[column(field) for field in schema], "source_file", date)
 
 
 def with_archive_date(df: DataFrame, schema: T.StructType) -> DataFrame:
@@ -70,17 +104,21 @@ def read_archive(
     first_day: dt.date | None = None,
     last_day: dt.date | None = None,
 ) -> DataFrame:
-    """All archived files of a dataset, or those of a range of archive dates (replay)."""
-    # Folders may be named by the bare dataset or as ``dataset=<name>``.
+    """All archived files of a dataset, or those of a range of archive dates (replay).
+
+    Of a range with two ends only the folders of its days are listed, up to ``LISTED_DAYS`` of them.
+    """
+    # Folders may be named by the bare dataset or as ``dataset=<name>``, days likewise.
     path = f"{root}/archive/{{{dataset},dataset={dataset}}}"
-    read = read_csv if dataset == "plans" else read_ndjson
+    if first_day is not None and last_day is not None and (last_day - first_day).days < LISTED_DAYS:
+        days = [first_day + dt.timedelta(n) for n in range((last_day - first_day).days + 1)]
+        path += f"/{{{','.join(f'{d},ingest_date={d}' for d in days)}}}"
+    date = archive_date_of(F.col("_metadata.file_path"))
+    bounds = [date >= F.lit(first_day)] * (first_day is not None) + [date <= F.lit(last_day)] * (last_day is not None)
+    keep = reduce(lambda x, y: x & y, bounds) if bounds else None
     empty = T.StructType([*layout(dataset).fields, *RAW_LINE, *LOCATION])
-    rows = align_by_name(or_empty(lambda: read(spark, path, dataset), spark, empty), empty)
-    if first_day is not None:
-        rows = rows.filter(F.col("archive_date") >= F.lit(first_day))
-    if last_day is not None:
-        rows = rows.filter(F.col("archive_date") <= F.lit(last_day))
-    return rows
+    read = read_csv if dataset == "plans" else read_ndjson
+    return align_by_name(or_empty(lambda: read(spark, path, dataset, keep), spark, empty), empty)
 
 
 def read_parquet(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:

@@ -3,15 +3,17 @@
 import gzip
 import json
 import os
+import random
 import time
 from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
+from dimflow.functions.csvtext import header_names
 from dimflow.functions.jsontext import is_one_json_value, is_parsed
 from dimflow.functions.paths import decoded_key, decoded_uri
-from dimflow.operators.verdicts import first_lines, header_names
+from dimflow.operators.verdicts import csv_rows, first_lines, row_starts
 from dimflow.sources.readers import landed_files, read_archive
 from dimflow.streaming import intake
 from dimflow.streaming.intake import judge_landed, take_in_new
@@ -105,6 +107,8 @@ def check_routed(spark, root, before):
     customers = read_archive(spark, root, "customers")
     found = {(r["customer_id"], str(r["archive_date"])) for r in customers.collect()}
     assert found == {("c1", DAY), ("c2", DAY), (None, DAY), ("c9", "2025-01-01")}
+    plans = read_archive(spark, root, "plans")  # of files whose headers differ
+    assert {(r["plan_id"], r["plan_name"]) for r in plans.collect()} == {("P1", "a, b"), ("P2", "c"), ("P1", "a"), ("P2", "b")}
     messages = [json.loads(r["value"]) for r in spark.read.text(f"{root}/alerts").collect()]
     by_file = {m["file"]: m for m in messages}
     assert len(by_file) == sum(reason != "ok" for reason in EXPECTED.values())
@@ -308,6 +312,53 @@ def test_header_names(spark):
     assert got == cases
 
 
+CSV_FILES = {
+    "a": 'h1,h2\n1,"two\nlines"\n2,"x"',
+    "b": 'h1,"h\n2"\n1,"a ""quoted\n\n\n"" b",c\n5" pipe,"x"\n"q"tail,"open\nclosed", "not open\n3,4',
+    "c": 'h1\n"never closed\n1\n2\n3',
+    "d": '"\n"\n""\n"""\n"\n1,2,"\n,"",",x\n3',
+    "e": "h\n\n1\n\n2",
+    "f": "",
+}
+
+
+@pytest.mark.parametrize("split", [1, 2, 3, 100])
+def test_rows_of_quoted_cells_over_lines_and_splits(spark, split):
+    """Rows begin where a strict reader begins them, wherever a file is split."""
+    r = random.Random(3)
+    texts = dict(CSV_FILES)
+    for i in range(60):
+        texts[f"r{i}"] = "".join(r.choice('ab,,""\n\n" ') for _ in range(r.randrange(60)))
+    rows, expected = [], {}
+    for name, text in texts.items():
+        lines = text.split("\n")
+        rows += [(f"raw/plans/{name}", (n // split * 10, n), line) for n, line in enumerate(lines)]
+        state, begins = "start", []
+        for line in lines:
+            begins.append(state == "start")
+            state = "inside" if state == "inside" else "start"
+            for i, c in enumerate(line):
+                if state == "start":
+                    state = "inside" if c == '"' else "start" if c == "," else "cell"
+                elif state == "cell":
+                    state = "start" if c == "," else "cell"
+                elif state == "inside":
+                    state = "quote" if c == '"' else "inside"
+                elif state == "quote":
+                    state = "inside" if c == '"' else "start" if c == "," else "cell"
+            state = "inside" if state == "inside" else "start"
+        expected[f"raw/plans/{name}"] = [(n, b) for n, b in enumerate(begins)]
+    frame = spark.createDataFrame(rows, "uri string, line_no struct<start:bigint,row:bigint>, value string").repartition(5)
+    found = {}
+    for x in row_starts(frame).orderBy("uri", "line_no").collect():
+        found.setdefault(x.uri, []).append((x.line_no.row, x.begins))
+    assert found == expected
+    told = {x.uri[10:]: (x.rows, x.header) for x in csv_rows(frame).collect() if x.uri[10:] in CSV_FILES}
+    assert told["a"] == (3, "h1,h2") and told["c"][0] == 2 and told["e"] == (3, "h") and told["f"][0] == 0
+    if split == 100:
+        assert told["b"][1] == 'h1,"h\n2"'
+
+
 def test_keys_and_uris_decode(spark):
     frame = spark.createDataFrame([("a+b%20c%2Bd",), ("100%",)], "k string")
     got = frame.select(decoded_key(F.col("k")), decoded_uri(F.col("k"))).collect()

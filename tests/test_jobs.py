@@ -179,6 +179,30 @@ def test_csv_is_read_by_name(spark, tmp_path):
     ]
 
 
+def test_csv_of_several_headers_is_one_frame(spark, rows, tmp_path):
+    root = str(tmp_path)
+    archive(tmp_path, "plans", "2025-05-01", "a.csv", "plan_id,plan_name", '"P,1",a', "", "plan_id,plan_name", "P2")
+    archive(tmp_path, "plans", "2025-05-02", "b.csv", "", "MONTHLY_PRICE,extra,Plan_Id,plan_id", "2.5,x,P3,no", ",,P4,,,more")
+    archive(tmp_path, "plans", "2025-05-03", "c.csv", "unknown", "x")
+    archive(tmp_path, "plans", "2025-05-04", "d.csv", "plan_name,plan_id", *[f"n{i},P{i}" for i in range(5000)])
+    archive(tmp_path, "plans", "2025-05-05", "e.csv")
+    first, third = dt.date(2025, 5, 1), dt.date(2025, 5, 3)
+    some = read_archive(spark, root, "plans", first, third)
+    assert rows(some, "plan_id", "plan_name", "monthly_price") == sorted([
+        ("P,1", "a", None), ("plan_id", "plan_name", None), ("P2", None, None),
+        ("P3", None, 2.5), ("P4", None, None), (None, None, None),
+    ], key=repr)
+    day = dt.date(2025, 5, 2)
+    assert rows(read_archive(spark, root, "plans", day, day), "plan_id") == [("P3",), ("P4",)]
+    assert read_archive(spark, root, "plans", dt.date(2026, 1, 1), dt.date(2026, 1, 9)).count() == 0
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "16384")
+    try:
+        plans = read_archive(spark, root, "plans", dt.date(2025, 5, 4))
+        assert plans.count() == plans.filter("plan_name = replace(plan_id, 'P', 'n')").count() == 5000
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
 def test_staging_tables_are_typed(spark, day_one):
     root = str(day_one)
     standardize(spark, root, "2025-05-02 02:00:00")

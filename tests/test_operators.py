@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from dimflow.functions.values import normalized_names, snake_case, stamp, with_defaults
 from dimflow.operators.align import align_by_name
+from dimflow.operators.asof import as_of_join
 from dimflow.operators.enrich import with_current_plan, with_plan_attributes, with_plan_key
 from dimflow.operators.facts import new_facts, not_loaded, point_in_time_join
 from dimflow.operators.heavy import heavy_keys, slot_at, with_heavy
@@ -367,3 +368,31 @@ def test_usage_rank_equals_a_global_rank(spark):
     out = plan_usage(spark.createDataFrame(data, "plan_sk int, customer_id int")).collect()
     counts = [r["events"] for r in out]
     assert all(r["usage_rank"] == 1 + sum(n > r["events"] for n in counts) for r in out)
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_as_of_join_equals_the_interval_join(spark, rows, seed):
+    """With a key that fills most ranges, keys without versions, gaps, and open and empty versions."""
+    r = random.Random(seed)
+    start = dt.datetime(2024, 1, 1)
+    minute = lambda n: start + dt.timedelta(minutes=n)
+    versions, facts = [], [(None, minute(3), -1), ("hot", None, -2), ("nobody", minute(1), -3)]
+    for key in ("hot", "a", "b", "c"):
+        times = sorted(r.sample(range(4000), 900 if key == "hot" else 5))
+        for i, (begin, end) in enumerate(zip(times, [*times[1:], None])):
+            end = end if r.random() < 0.8 or end is None else max(begin, end - 3)
+            versions.append((key, minute(begin), end and minute(end), f"{key}{i}"))
+    versions += [("d", minute(5), minute(5), "empty"), ("e", None, None, "no start"), (None, minute(1), None, "no key")]
+    for i in range(4000):
+        key = "hot" if r.random() < 0.7 else r.choice("abcdef")
+        facts.append((key, minute(r.randrange(-50, 4100)), i))
+    left = spark.createDataFrame(facts, "k string, at timestamp_ntz, n int").repartition(5)
+    right = spark.createDataFrame(
+        versions, "k string, effective_start_date timestamp_ntz, effective_end_date timestamp_ntz, v string"
+    ).repartition(3)
+    merged = as_of_join(left, right, "k", "at", ["v"])
+    assert rows(merged) == rows(point_in_time_join(left, right, "k", "at", ["v"]))
+    plan = merged._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and "CartesianProduct" not in plan
+    assert rows(as_of_join(left, right.filter("false"), "k", "at", ["v"])) == rows(left.selectExpr("*", "cast(null as string)"))
+    assert as_of_join(left.filter("false"), right, "k", "at", ["v"]).count() == 0
