@@ -15,8 +15,13 @@ import re
 from array import array
 from dataclasses import dataclass, field
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import sentencepiece
 
+from dimflow.llm.common import gathered
+
 UNKNOWN = 10.0
 #: Scores are multiples of 1 / GRAIN.
 GRAIN = 1024
@@ -39,6 +44,8 @@ class Vocabulary:
     unknown: float = 0.0
     #: No piece has a line break, so a path never crosses one.
     line_breaks: bool = False
+    #: Bytes of all pieces end to end, where each begins, and their lengths.
+    pool: tuple[np.ndarray, np.ndarray, np.ndarray] | None = None
 
     def __post_init__(self) -> None:
         model = sentencepiece.SentencePieceProcessor(model_file=self.path)
@@ -108,6 +115,31 @@ class Vocabulary:
         """The text of ids; the blank put in front is taken off."""
         return b"".join(map(self.text.__getitem__, ids)).decode("utf-8", "replace")[1:]
 
+    def decode_all(self, lists: pa.ListArray) -> pa.Array:
+        """The texts of lists of ids: null for null, none gives an empty text. Bytes of all pieces are gathered at once;
+        lists that do not begin with a blank or make no UTF-8 are decoded one by one."""
+        if self.pool is None:
+            sizes = np.array([len(t) for t in self.text], np.int64)
+            self.pool = np.frombuffer(b"".join(self.text), np.uint8), np.cumsum(sizes) - sizes, sizes
+        pool, starts, sizes = self.pool
+        ids = lists.flatten().to_numpy(zero_copy_only=False)
+        counts = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+        data = gathered(pool, starts[ids], sizes[ids])
+        bytes_before = np.concatenate([[0], np.cumsum(sizes[ids])])
+        ends = bytes_before[np.concatenate([[0], np.cumsum(counts, dtype=np.int64)])]
+        some = np.diff(ends) > 0
+        begins = ends[:-1][some]
+        if (data[begins] == 0x20).all():
+            offsets = ends - np.concatenate([[0], np.cumsum(some)])
+            buffers = [None, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(np.delete(data, begins).tobytes())]
+            texts = pa.Array.from_buffers(pa.large_string(), len(lists), buffers)
+            try:
+                texts.validate(full=True)
+                return pc.if_else(lists.is_valid(), texts, None).cast(pa.string())
+            except pa.ArrowInvalid:
+                pass
+        return pa.array([None if x is None else self.decode(x) for x in lists.to_pylist()], pa.string())
+
 
 _loaded: dict[str, Vocabulary] = {}
 
