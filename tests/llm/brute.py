@@ -28,21 +28,31 @@ def secrets(text, m):
     base += [(x.start(), 0, x.end()) for x in re.finditer(pattern, text, re.I | re.A) if len(x[2]) >= 6]
     base += [(x.start(), 1, x.end()) for x in re.finditer("AKIA[A-Z0-9]+", text) if len(x[0]) >= 20]
     base += [(x.start(), 2, x.end()) for x in re.finditer("[0-9a-f]+", text) if len(x[0]) >= 24]
+    allowed = lambda w: bool(
+        not re.search(m.NO_WORD, w) and not re.search(m.INNER_CAPITAL, w) or any(re.search(p, w) for p in m.ALLOWED)
+    )
     for x in re.finditer(m.CANDIDATE, text):
-        word = x[0]
-        if any(re.search(p, word) for p in m.ALLOWED):
+        word, begin = x[0], x.start()
+        while word and allowed(re.split("[=/]", word)[0]):
+            cut = len(re.split("[=/]", word)[0]) + 1
+            word, begin = word[cut:], begin + cut
+        while word and allowed(re.split("[=/]", word)[-1]):
+            word = word[: max(0, len(word) - len(re.split("[=/]", word)[-1]) - 1)]
+        if len(word) < m.WINDOW or allowed(word) or re.search(m.ALL_BASE, word):
             continue
-        kind = 3 if re.fullmatch("[0-9a-fA-F]+", word) else 4
-        covered = set()
+        covered = {3: set(), 4: set()}
         for i in range(len(word) - m.WINDOW + 1):
-            counts = Counter(word[i : i + m.WINDOW]).values()
+            window = word[i : i + m.WINDOW]
+            kind = 3 if re.fullmatch("[0-9a-fA-F]+", window) else 4
+            counts = Counter(window).values()
             if -sum(n / m.WINDOW * math.log2(n / m.WINDOW) for n in counts) >= m.LEAST_BITS[m.KINDS[kind]] - 1e-9:
-                covered |= set(range(i, i + m.WINDOW))
-        for i in sorted(covered):
-            if i - 1 not in covered:
-                stop = next(j for j in range(i, len(word) + 1) if j not in covered)
-                hot.append((x.start() + i, kind, x.start() + stop))
-    hot = [h for h in hot if not any(b[0] < h[2] and h[0] < b[2] for b in base)]
+                covered[kind] |= set(range(i, i + m.WINDOW))
+        for kind, under in covered.items():
+            for i in sorted(under):
+                if i - 1 not in under:
+                    stop = next(j for j in range(i, len(word) + 1) if j not in under)
+                    hot.append((begin + i, kind, begin + stop))
+    hot = [h for h in hot if not any(b[0] <= h[0] and h[2] <= b[2] for b in base)]
     told = lambda spans: ",".join(f"{m.KINDS[k]}:{a}:{b}" for a, k, b in sorted(spans))
     return (*(sum(b[1] == k for b in base) for k in range(3)), hashlib.sha256(told(base).encode()).hexdigest(), told(base + hot))
 
