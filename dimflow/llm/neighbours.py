@@ -45,8 +45,17 @@ def cosine(rows: np.ndarray, query: np.ndarray) -> np.ndarray:
     return (rows * query).sum(axis=1) / norms
 
 
+def scaled(rows: np.ndarray) -> np.ndarray:
+    """Each row times a power of two that brings its largest component to 0.5 or more and below 1.
+
+    That is exact and changes no cosine, and squares neither overflow nor vanish."""
+    _, up = np.frexp(np.abs(rows).max(axis=1, initial=0.0))
+    half = up // 2  # in two steps, as one power may be out of range
+    return np.ldexp(np.ldexp(rows, -half[:, None]), -(up - half)[:, None])
+
+
 def matrix(column: pa.Array, dim: int) -> np.ndarray:
-    return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, dim)
+    return scaled(column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, dim))
 
 
 def usable(rows: DataFrame, id_col: str, vector_col: str) -> DataFrame:
@@ -74,7 +83,7 @@ def fitted(classes: DataFrame, queries: DataFrame, dim: int, total: int, k: int,
     sample = queries.orderBy(F.xxhash64("class")).limit(sample_queries).collect()
     if not sample:
         return 1, 0
-    asked = np.array([r.vector for r in sample])
+    asked = scaled(np.array([r.vector for r in sample], np.float64))
     unit = asked / np.sqrt((asked * asked).sum(axis=1, keepdims=True))
 
     def nearest(batches):
@@ -84,7 +93,7 @@ def fitted(classes: DataFrame, queries: DataFrame, dim: int, total: int, k: int,
             top = np.argsort(-near, axis=1)[:, : k + 1]
             which = np.repeat(np.arange(len(unit)), top.shape[1])
             yield pa.RecordBatch.from_pydict({
-                "query": which, "vec_id": batch.column("class").to_numpy()[top.ravel()], "score": np.take_along_axis(near, top, 1).ravel(), "vector": list(rows[top.ravel()]),
+                "query": which, "vec_id": batch.column("class").to_numpy()[top.ravel()], "score": np.take_along_axis(near, top, 1).ravel(), "vector": list(rows[top.ravel()]),  # scaled, which leaves its codes as they are
             })
 
     found = classes.select("class", "vector").mapInArrow(nearest, "query long, vec_id long, score double, vector array<double>")
