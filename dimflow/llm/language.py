@@ -52,7 +52,9 @@ def ngrams(texts: list[str | None], buckets: int) -> tuple[list[np.ndarray], np.
     key = c * np.uint32(0x01000193)
     for n in (2, 3):
         key = (key[:-1] ^ c[n - 1 :]) * np.uint32(0x85EBCA6B)
-        grams.append(np.concatenate([((key ^ (key >> np.uint32(15))) * np.uint32(2654435761)) >> shift, np.zeros(n - 1, np.uint32)]))
+        found = np.concatenate([((key ^ (key >> np.uint32(15))) * np.uint32(2654435761)) >> shift, np.zeros(n - 1, np.uint32)])
+        found[starts[1:] - 1] = found[starts[1:] - 2] = 0  # would reach into the next text
+        grams.append(found)
     return grams, starts, counts
 
 
@@ -154,7 +156,11 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def keep_identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: drop documents without a language, or whose language is in doubt."""
+    """Pipeline stage: drop documents without a language, or whose language is in doubt (a score below LEAST_SCORE).
+
+    Null texts and texts without letters go; so do all if no row has text and lang to learn from. Repeated rows are
+    judged alike and rows without id like others; columns ``__lang_pred`` and ``__score`` must not be there. An empty
+    table gives no rows."""
     model = learn(docs, SAMPLE_DOCS_PER_LANG, BUCKETS)
     judged = with_language(docs, model, docs.columns, lang_as="__lang_pred", score_as="__score")
     return judged.where((F.col("__lang_pred") != "und") & (F.col("__score") >= LEAST_SCORE)).select(*(F.col(f"`{c}`") for c in docs.columns))
