@@ -73,14 +73,22 @@ _powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 ASCII_BLANK = np.isin(np.arange(256), list(b" \t\n\x0b\x0c\r"))
 
 
+#: Tables of powers up to this length are kept for the next slice; longer ones go with their text.
+KEPT_POWERS = 1 << 21
+
+
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of the base and of its inverse, from 0 to n."""
-    if len(_powers[0]) <= n:
-        for i, base in enumerate((_BASE, pow(_BASE, -1, 2**64))):
-            steps = np.full(n + 1, base, np.uint64)
-            steps[0] = 1
-            _powers[i] = np.cumprod(steps, dtype=np.uint64)
-    return _powers[0], _powers[1]
+    if len(_powers[0]) > n:
+        return _powers[0], _powers[1]
+    made = []
+    for base in (_BASE, pow(_BASE, -1, 2**64)):
+        steps = np.full(n + 1, base, np.uint64)
+        steps[0] = 1
+        made.append(np.cumprod(steps, dtype=np.uint64, out=steps))
+    if n < KEPT_POWERS:
+        _powers[:] = made
+    return made[0], made[1]
 
 
 def scan_words(data: np.ndarray, offsets: np.ndarray, cuts: np.ndarray | None = None) -> tuple[np.ndarray, ...]:
@@ -100,7 +108,8 @@ def scan_words(data: np.ndarray, offsets: np.ndarray, cuts: np.ndarray | None =
     starts, ends = np.flatnonzero(first), np.flatnonzero(last) + 1
     up, down = powers(len(data))
     sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(_BYTE_VALUES[data] * up[: len(data)], out=sums[1:])
+    np.multiply(_BYTE_VALUES[data], up[: len(data)], out=sums[1:])
+    np.cumsum(sums[1:], out=sums[1:])
     hashes = mixed((sums[ends] - sums[starts]) * down[starts])
     return starts, ends, hashes, np.searchsorted(starts, offsets)
 

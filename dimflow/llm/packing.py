@@ -25,9 +25,11 @@ CAPACITY = 2048
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 0
 #: Words kept with their ids in each worker; the store is emptied when full.
-KEPT_WORDS = 800_000
-#: Pieces of one length are ranked in so many parts.
-PARTS = 64
+KEPT_WORDS = 200_000
+#: Bytes of text that are tokenized at once.
+SLICE = 1 << 20
+#: Pieces of one length are ranked in parts of about so many, at least so many parts.
+PART_ROWS, PARTS = 1_000_000, 64
 #: Steps of the whole search, for each distinct length and besides. A dive to a packing takes about one for each length.
 STEPS_A_LENGTH, STEPS = 8, 2_000
 
@@ -120,7 +122,7 @@ def tokenized(docs: DataFrame, capacity: int, tokenizer_path: str | None, keep_i
         path = tokenizer_path or public_tokenizers.path(TOKENIZER)
         words = _words[path] = _words.get(path) or Words(path)
         end = np.array([END_ID], "<u4").tobytes()
-        for batch in slices(batches):
+        for batch in slices(batches, SLICE):
             rows = {n: [] for n in names}
             ids, begins = words.ids(batch.column("text"))
             packed, begins = ids.tobytes(), (4 * begins).tolist()
@@ -130,12 +132,12 @@ def tokenized(docs: DataFrame, capacity: int, tokenizer_path: str | None, keep_i
                     part = own[at : at + 4 * capacity]
                     for n, v in zip(names, (doc, piece, at // 4, len(part) // 4, zlib.crc32(part), part)):
                         rows[n].append(v)
-            types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64())]
+            types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int32())]
             if keep_ids:
-                rows["ids"] = [np.frombuffer(x, "<u4").astype(np.int64) for x in rows["ids"]]
+                rows["ids"] = [np.frombuffer(x, "<i4") for x in rows["ids"]]
             yield pa.RecordBatch.from_arrays([pa.array(rows[n], t) for n, t in zip(names, types)], names=names)
 
-    schema = "doc_id long, piece int, start long, length long, ids_crc32 long" + ", ids array<long>" * keep_ids
+    schema = "doc_id long, piece int, start long, length long, ids_crc32 long" + ", ids array<int>" * keep_ids
     return docs.mapInArrow(cut, schema)
 
 
@@ -388,19 +390,25 @@ def pack(
     gives no rows; other columns are not looked at. ``tokenizer_path`` must be readable on every executor.
     """
     pieces = cut_lineage(tokenized(id_and_text(docs, id_col, text_col), capacity, tokenizer_path, keep_ids))
-    pieces = pieces.withColumn("part", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(PARTS)))
-    sizes = pieces.groupBy("length", "part").agg(F.count("*").alias("n"))
-    counts = {r.length: r.n for r in sizes.groupBy("length").agg(F.sum("n").alias("n")).collect()}  # at most `capacity` rows
+    # Full pieces are sequences of their own, so the commonest length of all needs no ranks. Names below 0 are theirs.
+    whole = pieces.where(F.col("length") == capacity)
+    whole = whole.withColumns({"sequence_id": -1 - F.monotonically_increasing_id(), "offset": F.lit(0).cast("long")})
+    shorter = pieces.where(F.col("length") < capacity)
+    counts = {r.length: r.n for r in shorter.groupBy("length").agg(F.count("*").alias("n")).collect()}  # less than `capacity` rows
     if not counts:
-        return pieces.drop("part").withColumns({"sequence_id": F.lit(0).cast("long"), "offset": F.lit(0).cast("long")})
+        return whole
+    parts = max(PARTS, max(counts.values()) // PART_ROWS)
+    shorter = shorter.withColumn("part", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(parts)))
     plan = Plan(complete(counts, capacity))
     before = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = shorter.groupBy("length", "part").agg(F.count("*").alias("n"))
     bases = sizes.select("length", "part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
     within = Window.partitionBy("length", "part").orderBy("doc_id", "piece", "ids_crc32", "start")
-    ranked = pieces.withColumn("nth", F.row_number().over(within)).join(F.broadcast(bases), ["length", "part"])  # capacity x PARTS rows at most
-    ranked = ranked.select(*[c for c in pieces.columns if c != "part"], (F.col("before") + F.col("nth") - 1).alias("rank"))
+    # Both sides of this join are dealt by length and part already.
+    ranked = shorter.withColumn("nth", F.row_number().over(within)).join(bases, ["length", "part"])
+    ranked = ranked.select(*pieces.columns, (F.col("before") + F.col("nth") - 1).alias("rank"))
     plans = docs.sparkSession.sparkContext.broadcast(plan)
-    names = [c for c in ranked.columns if c != "rank"]
+    names = pieces.columns
 
     def placed(batches):
         for batch in batches:
@@ -408,8 +416,8 @@ def pack(
             sequence, offset = plans.value.places(column("length").to_numpy(), column("rank").to_numpy())
             yield pa.RecordBatch.from_arrays([*map(column, names), pa.array(sequence), pa.array(offset)], names=[*names, "sequence_id", "offset"])
 
-    schema = "doc_id long, piece int, start long, length long, ids_crc32 long" + ", ids array<long>" * keep_ids
-    return ranked.mapInArrow(placed, schema + ", sequence_id long, offset long")
+    schema = "doc_id long, piece int, start long, length long, ids_crc32 long" + ", ids array<int>" * keep_ids
+    return ranked.mapInArrow(placed, schema + ", sequence_id long, offset long").unionByName(whole)
 
 
 def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -417,5 +425,8 @@ def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: the packed pieces of what is left."""
-    return pack(docs)
+    """Pipeline stage: the packed pieces of what is left, with their token ids.
+
+    Null and empty texts are the end id alone; repeated rows and rows without id are packed like others; other columns,
+    of any name, are not looked at. An empty table gives no rows."""
+    return pack(docs, keep_ids=True)
