@@ -35,6 +35,8 @@ FRAGMENTS = 4
 #: The order of the prefix puts n-grams last that more than 1 of RARE documents of a sample has.
 SAMPLE_NODES, RARE = 20_000, 500
 KEY_BYTES = 5
+PART_BYTES = 32 << 20
+MOST_LABELS = 10_000
 #: So many node names, of 8 bytes, are broadcast to leave other nodes' segments where they are.
 MOST_BROADCAST = 1_000_000
 #: The nodes of a prefix n-gram are first compared with the smallest after each of these masks: fixed, so many for any group.
@@ -117,11 +119,11 @@ def to_fragments(docs: DataFrame, words: int, parts: int) -> DataFrame:
                 if len(own):
                     add(p, own[~several[own]], packed(found[own[several[own] & lead[own]]]))
             # The slice's own row, dealt by the slice: all its documents, and what is known to be shared.
-            ids = batch.column("doc_id")
+            ids, mark = batch.column("doc_id"), batch.column("mark").to_numpy()
             shared = np.flatnonzero(several)
             keys = np.array(part[shared] << 40 | (found[shared] & np.uint64((1 << 40) - 1)).astype(np.int64), "<i8")
             add(
-                int(mixed(np.array([uids[0]], np.int64).view(np.uint64))[0] % np.uint64(parts)), shared, ids=ids.fill_null(0).to_numpy().tobytes(),
+                int(mixed(np.array([uids[0]], np.int64).view(np.uint64))[0] % np.uint64(parts)), shared, ids=ids.fill_null(0).to_numpy().tobytes() + mark.tobytes(),
                 sizes=np.diff(begins).astype(np.int64).tobytes(), nulls=np.asarray(ids.is_null()).tobytes(),
             )
             rows["keys"][-1] = keys.tobytes()
@@ -153,7 +155,7 @@ def shared_in_fragment(rows: pa.Table) -> pa.Table:
             for name, v in zip(out, values):
                 out[name].append(v)
     for i in set(range(len(col["slice"]))).difference(plain):
-        # ``ids`` holds all ids of the slice, then all uids.
+        # ``ids`` holds all ids of the slice, then all marks, then all uids.
         values = (col["slice"][i], -1, col["uids"][i], col["counts"][i], col["keys"][i], col["ids"][i] + col["known"][i], col["sizes"][i], col["nulls"][i])
         for name, v in zip(out, values):
             out[name].append(v)
@@ -176,8 +178,7 @@ def sets_of_slice(least: int):
         keys, owners = np.concatenate(parts), np.concatenate(owners)
         order = np.lexsort((keys, owners))
         keys, owners = keys[order], owners[order]
-        both = np.frombuffer(col["ids"][head], np.int64)
-        ids, uids = both[: len(both) // 2], both[len(both) // 2 :]
+        ids, marks, uids = np.frombuffer(col["ids"][head], np.int64).reshape(3, -1)
         sizes, nulls = np.frombuffer(col["sizes"][head], np.int64), np.frombuffer(col["nulls"][head], bool)
         low, high = np.searchsorted(owners, uids, "left"), np.searchsorted(owners, uids, "right")
         sets, digests = [], []
@@ -186,7 +187,7 @@ def sets_of_slice(least: int):
             sets.append(own)
             digests.append(hashlib.blake2b(own.tobytes(), digest_size=16).digest() if own is not None and b - a == n else None)
         return pa.table({
-            "uid": uids, "doc_id": pa.array(ids, pa.int64(), mask=nulls), "n": sizes,
+            "uid": uids, "doc_id": pa.array(ids, pa.int64(), mask=nulls), "mark": marks, "n": sizes,
             "keys": pa.array(sets, pa.list_(pa.int64())), "digest": pa.array(digests, pa.binary()),
         })
 
@@ -249,17 +250,17 @@ def linked(pairs: DataFrame, segments: DataFrame, least: int) -> DataFrame:
 
 
 def jaccard_components(docs: DataFrame, words: int = WORDS, least: int = LEAST, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document: ``doc_id, n_shingles, component_id``.
+    """One row per document: ``doc_id, n_shingles, component_id, text_hash`` (XXH64 of the text, as Spark has it).
 
     Sets are of distinct shingles of ``words`` words, A-Z lower-cased; fewer words are one shingle. A null
     text, or one without words, has an empty set, links with nothing and is its own component. A row without id
     links with nothing and has a null component. Repeated rows link with one another. An empty table
     gives no rows; other columns are not looked at.
     """
-    parts = 2 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    given = id_and_text(docs, id_col, text_col).withColumn("uid", F.monotonically_increasing_id())
+    given = id_and_text(docs, id_col, text_col).withColumn("uid", F.monotonically_increasing_id()).withColumn("mark", F.xxhash64("text"))
+    parts = parts_of(given)
     back = to_fragments(given, words, parts).groupBy("part").applyInArrow(shared_in_fragment, SECOND)
-    sets = back.groupBy("slice").applyInArrow(sets_of_slice(least), "uid long, doc_id long, n long, keys array<long>, digest binary")
+    sets = back.groupBy("slice").applyInArrow(sets_of_slice(least), "uid long, doc_id long, mark long, n long, keys array<long>, digest binary")
     sets = cut_lineage(sets)
     # Equal sets are one node, by the smallest uid.
     whole = sets.where("digest IS NOT NULL").groupBy("digest").agg(F.min("uid").alias("node"))
@@ -313,20 +314,46 @@ def jaccard_components(docs: DataFrame, words: int = WORDS, least: int = LEAST,
     joined = cut_lineage(components(links.unionByName(more)))
 
     named = members.join(joined.withColumnRenamed("node", "of"), F.col("node") == F.col("of"), "left").select("uid", "doc_id", F.coalesce("label", "node").alias("label"))
-    least_id = named.groupBy("label").agg(F.min("doc_id").alias("component_id"))
-    known = named.join(least_id, "label").select("uid", "component_id")
-    return sets.select("uid", "doc_id", "n").join(known, "uid", "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
+    known = with_least_id(named)
+    told = sets.select("uid", "doc_id", "n", "mark").join(known, "uid", "left")
+    return told.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"), F.col("mark").alias("text_hash"))
+
+
+def parts_of(given: DataFrame) -> int:
+    """Fragments of the n-gram order: two for each shuffle partition, or one for PART_BYTES of text if that is more."""
+    least = 2 * int(given.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    size = given.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    return max(least, int(size) // PART_BYTES)
+
+
+def with_least_id(named: DataFrame) -> DataFrame:
+    """``uid, component_id`` of ``uid, doc_id, label``: the smallest id of each label.
+
+    Labels that hold more than one of MOST_LABELS of all rows are MOST_LABELS at most; they are broadcast, and
+    the rows of the others are dealt by label."""
+    least_id = cut_lineage(named.groupBy("label").agg(F.min("doc_id").alias("component_id"), F.count("*").alias("rows")))
+    total = least_id.agg(F.sum("rows")).first()[0] or 0
+    hot = F.col("rows") * MOST_LABELS > total
+    large = least_id.where(hot).select("label", F.col("component_id").alias("large_id"), F.lit(True).alias("large"))
+    found = named.join(F.broadcast(large), "label", "left")
+    others = found.where("large IS NULL").join(least_id.where(~hot).select("label", "component_id"), "label")
+    return found.where("large").select("uid", F.col("large_id").alias("component_id")).unionByName(others.select("uid", "component_id"))
 
 
 def op8_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard_components(table(spark, sf_dir, "documents"))
+    return jaccard_components(table(spark, sf_dir, "documents")).drop("text_hash")
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: of each component the document with the smallest id stays; of repeated rows, one.
-
-    Rows without id stay."""
-    gone = jaccard_components(docs).where("component_id < doc_id").select("doc_id").distinct()
-    left = docs.join(cut_lineage(gone), "doc_id", "left_anti")
-    same = Window.partitionBy("doc_id", F.xxhash64("text")).orderBy("source")
-    return left.withColumn("__nth", F.row_number().over(same)).where("__nth = 1 OR doc_id IS NULL").select(*docs.columns)
+    """Pipeline stage: of each component the rows with the smallest id stay; of rows that repeat id and text, one.
+
+    Rows are told apart by id and text, so that of an id's several texts only those go that link to a smaller id.
+    Rows without id stay, in any number. Null and empty texts link with nothing. An empty table gives no rows. Of
+    equal rows the one whose other columns are first in order stays; columns ``__nth`` and ``__text`` must not be there."""
+    gone = jaccard_components(docs).where("component_id < doc_id").select("doc_id", F.col("text_hash").alias("__text")).distinct()
+    left = docs.withColumn("__text", F.xxhash64(F.col("text").cast("string"))).join(cut_lineage(gone), ["doc_id", "__text"], "left_anti")
+    others = [c for c in docs.columns if c not in ("doc_id", "text")]
+    same = Window.partitionBy("doc_id", "__text").orderBy(F.lit(1), *(F.col(f"`{c}`") for c in others))
+    given, missing = left.where("doc_id IS NOT NULL"), left.where("doc_id IS NULL")
+    first = given.withColumn("__nth", F.row_number().over(same)).where("__nth = 1")
+    return first.select(*docs.columns).unionByName(missing.select(*docs.columns))
