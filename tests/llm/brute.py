@@ -3,6 +3,7 @@
 import hashlib
 import math
 import re
+import zlib
 from collections import Counter
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -77,6 +78,17 @@ def repeats(rows):
     return out
 
 
+def without_repeats(rows, doc):
+    """Text of a document (ids unique) without the bytes that repeat; cut characters go whole."""
+    gone = {i: x for i, x in rows}[doc].encode()
+    earlier = {x[k : k + 50] for i, t in rows if i < doc for x in [t.encode()] for k in range(len(x) - 49)}
+    cover = set()
+    for k in range(len(gone) - 49):
+        if gone[k : k + 50] in earlier:
+            cover |= set(range(k, k + 50))
+    return bytes(c for k, c in enumerate(gone) if k not in cover).decode("utf-8", "ignore")
+
+
 def jaccard(rows):
     sets = []
     for i, t in rows:
@@ -144,3 +156,38 @@ def hard_negatives(rows, anchors=100, moved=None, k=5, low=80):
             good = [(i, -s) for s, i, same in scored if not same and low * p <= -100 * s <= 100 * p][:k]
             out += [(a, positive, rank, i, p, s) for rank, (i, s) in enumerate(good, 1)]
     return out
+
+
+def languages(rows, buckets, smoothing):
+    """Rows of (doc_id, text, lang), all learnt from but those held out; ``doc_id, lang_pred, score`` of each."""
+    letter = lambda ch: ord(ch.lower()[0]) if ch.isalpha() else 0
+    shift, whole = 32 - (buckets.bit_length() - 1), 2**32 - 1
+
+    def grams(text):
+        c = [letter(ch) for ch in text] + [0, 0]
+        out = [(x * 2654435761 & whole) >> shift for x in c] + [0, 0, 0, 0]
+        for i in range(len(text)):
+            key = c[i] * 0x01000193 & whole
+            for x in c[i + 1 : i + 3]:
+                key = (key ^ x) * 0x85EBCA6B & whole
+                out.append(((key ^ key >> 15) * 2654435761 & whole) >> shift)
+        return out
+
+    counts, sizes = {}, Counter()
+    for i, text, lang in rows:
+        if i is not None and zlib.crc32(str(i).encode()) % 4 != 2 and text is not None and lang is not None:
+            counts.setdefault(lang, Counter()).update(grams(text))
+            sizes[lang] += 1
+    told = []
+    for i, text, _ in rows:
+        if not any(letter(ch) for ch in text or "") or not counts:
+            told.append((i, "und", 0.0))
+            continue
+        own = grams(text)
+        sums = {}
+        for lang, n in counts.items():
+            total = sum(n.values()) + smoothing * buckets
+            sums[lang] = math.log(sizes[lang] / sum(sizes.values())) + sum(math.log((n[g] + smoothing) / total) for g in own)
+        best = max(sorted(sums), key=sums.get)
+        told.append((i, best, 1 / sum(math.exp(min(700, x - sums[best])) for x in sums.values())))
+    return told
