@@ -15,6 +15,8 @@ BUCKETS = 1 << 15
 #: The fit takes about so many documents of each language, dealt by a hash of the id.
 SAMPLE_DOCS_PER_LANG = 2000
 SMOOTHING = 0.5
+#: Bytes of text whose n-grams are held at once.
+SLICE = 1 << 18
 #: The pipeline rejects documents below this score.
 LEAST_SCORE = 0.5
 
@@ -74,7 +76,7 @@ def fit(docs: DataFrame, learn: Column, sample_docs: int, buckets: int) -> tuple
 
     def counted(batches):
         counts = np.zeros((len(langs), buckets), np.int64)
-        for batch in slices(batches):
+        for batch in slices(batches, SLICE):
             grams, starts, _ = ngrams(batch.column("text").to_pylist(), buckets)
             of = np.repeat([number[x] for x in batch.column("lang").to_pylist()], np.diff(starts))
             for g in grams:
@@ -102,7 +104,7 @@ def with_language(
     def scored(batches):
         weights, priors = matrix.value[:-1], matrix.value[-1].astype(np.float64)
         buckets = len(weights)
-        for batch in slices(batches, 1 << 20):
+        for batch in slices(batches, SLICE):
             grams, starts, letters = ngrams(batch.column("text").to_pylist(), buckets)
             known = letters > 0
             if langs:

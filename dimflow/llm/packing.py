@@ -136,6 +136,9 @@ def tokenized(docs: DataFrame, capacity: int, tokenizer_path: str | None, keep_i
             if keep_ids:
                 rows["ids"] = [np.frombuffer(x, "<i4") for x in rows["ids"]]
             yield pa.RecordBatch.from_arrays([pa.array(rows[n], t) for n, t in zip(names, types)], names=names)
+        # A worker waits for other tasks with what it holds.
+        words.known.clear()
+        pa.default_memory_pool().release_unused()
 
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long" + ", ids array<int>" * keep_ids
     return docs.mapInArrow(cut, schema)
@@ -389,10 +392,22 @@ def pack(
     empty text is the id 0 alone. Null ids and repeated rows are packed like others; an empty table
     gives no rows; other columns are not looked at. ``tokenizer_path`` must be readable on every executor.
     """
-    pieces = cut_lineage(tokenized(id_and_text(docs, id_col, text_col), capacity, tokenizer_path, keep_ids))
+    pieces = tokenized(id_and_text(docs, id_col, text_col), capacity, tokenizer_path, keep_ids)
+    pieces = cut_lineage(pieces.withColumn("uid", F.monotonically_increasing_id()))
+    placed = with_places(docs.sparkSession, pieces.drop("ids"), capacity)
+    names = ["doc_id", "piece", "start", "length", "ids_crc32"]
+    if not keep_ids:
+        return placed.select(*names, "sequence_id", "offset")
+    # Ids go through no window: they are joined to the places in the end.
+    places = cut_lineage(placed.select("uid", "sequence_id", "offset"))
+    return pieces.join(places, "uid").select(*names, "ids", "sequence_id", "offset")
+
+
+def with_places(spark: SparkSession, pieces: DataFrame, capacity: int) -> DataFrame:
+    """Adds ``sequence_id, offset`` to pieces, a written table with ``uid``."""
     # Full pieces are sequences of their own, so the commonest length of all needs no ranks. Names below 0 are theirs.
     whole = pieces.where(F.col("length") == capacity)
-    whole = whole.withColumns({"sequence_id": -1 - F.monotonically_increasing_id(), "offset": F.lit(0).cast("long")})
+    whole = whole.withColumns({"sequence_id": -1 - F.col("uid"), "offset": F.lit(0).cast("long")})
     shorter = pieces.where(F.col("length") < capacity)
     counts = {r.length: r.n for r in shorter.groupBy("length").agg(F.count("*").alias("n")).collect()}  # less than `capacity` rows
     if not counts:
@@ -407,7 +422,7 @@ def pack(
     # Both sides of this join are dealt by length and part already.
     ranked = shorter.withColumn("nth", F.row_number().over(within)).join(bases, ["length", "part"])
     ranked = ranked.select(*pieces.columns, (F.col("before") + F.col("nth") - 1).alias("rank"))
-    plans = docs.sparkSession.sparkContext.broadcast(plan)
+    plans = spark.sparkContext.broadcast(plan)
     names = pieces.columns
 
     def placed(batches):
@@ -416,8 +431,8 @@ def pack(
             sequence, offset = plans.value.places(column("length").to_numpy(), column("rank").to_numpy())
             yield pa.RecordBatch.from_arrays([*map(column, names), pa.array(sequence), pa.array(offset)], names=[*names, "sequence_id", "offset"])
 
-    schema = "doc_id long, piece int, start long, length long, ids_crc32 long" + ", ids array<int>" * keep_ids
-    return ranked.mapInArrow(placed, schema + ", sequence_id long, offset long").unionByName(whole)
+    schema = "doc_id long, piece int, start long, length long, ids_crc32 long, uid long, sequence_id long, offset long"
+    return ranked.mapInArrow(placed, schema).unionByName(whole)
 
 
 def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
