@@ -22,6 +22,7 @@ from dimflow.operators.metrics import record_counts
 from dimflow.operators.plan_dim import appended_plans, current_count, refreshed_plans
 from dimflow.operators.quality import labelled, split_records
 from dimflow.operators.scd2 import CURRENT, END, START, scd2_apply, scd2_history
+from dimflow.operators.splice import scd2_splice
 from dimflow.operators.verdicts import (
     alerts,
     file_facts,
@@ -29,7 +30,7 @@ from dimflow.operators.verdicts import (
     routed_to,
     verdicts,
 )
-from dimflow.plans import archived, landed, reports
+from dimflow.plans import archived, landed, monthly, reports
 from dimflow.plans import fixtures as fx
 from dimflow.plans.staging import build_staging
 from dimflow.plans.standardize import standardize, typed
@@ -197,6 +198,16 @@ def scd2_current_rows(spark, sf_dir):
     )
 
 
+@query
+def scd2_late_batch(spark, sf_dir):
+    """A month of the feed that comes after all others, put into the history of the others."""
+    feed = cut_lineage(fx.order_feed(spark, sf_dir))
+    late = F.col("ingestion_ts").between(F.lit("1997-06-01").cast("timestamp_ntz"), F.lit("1997-06-30").cast("timestamp_ntz"))
+    known = feed.filter(~late)
+    history = cut_lineage(scd2_history(known, "customer_id", "ingestion_ts", fx.TRACKED, ["feed_seq"]))
+    return scd2_splice(history, known, feed.filter(late), "customer_id", "ingestion_ts", fx.TRACKED, ["feed_seq"])
+
+
 @query
 def scd2_current_check(spark, sf_dir):
     """Data-quality count of open versions."""
@@ -380,6 +391,21 @@ def behavior_change_monthly(spark, sf_dir):
     return reports.behavior_by_month(fx.activity(spark, sf_dir))
 
 
+@query
+def behavior_change_incremental(spark, sf_dir):
+    """The same from counts that three loads kept up to date, the last of them all months after the second."""
+    path = f"{archived.new_root(spark)}/monthly"
+    events = cut_lineage(fx.activity(spark, sf_dir))
+    bounds = [F.lit(at).cast("timestamp_ntz") for at in SNAPSHOTS[:2]]
+    at = F.col("event_timestamp")
+    # Every tenth event of the first load comes with the last one, so old months are counted again.
+    tardy = (F.crc32("event_id") % 10 == 0) & (at < bounds[0])
+    loads = [(at < bounds[0]) & ~tardy, (at >= bounds[0]) & (at < bounds[1]), (at >= bounds[1]) | tardy]
+    for number, load in enumerate(loads):
+        monthly.add_events(spark, path, f"{number:03d}", events.filter(load))
+    return monthly.monthly_report(spark, path, events.schema["customer_id"].dataType)
+
+
 @query
 def plan_usage_ranked(spark, sf_dir):
     return reports.plan_usage(_resolved(spark, sf_dir), "plan_id")

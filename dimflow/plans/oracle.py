@@ -208,6 +208,8 @@ FROM part_plans
 
 ORACLE["scd2_bulk_history"] = _with(_CTE, *_HISTORY) + "SELECT * FROM dim"
 
+ORACLE["scd2_late_batch"] = ORACLE["scd2_bulk_history"]
+
 ORACLE["scd2_current_rows"] = (
     _with(_CTE, *_HISTORY)
     + """
@@ -380,6 +382,8 @@ FROM monthly WINDOW w AS (PARTITION BY customer_id ORDER BY month)
 """
 )
 
+ORACLE["behavior_change_incremental"] = ORACLE["behavior_change_monthly"]
+
 ORACLE["plan_usage_ranked"] = (
     _with(_CTE, *_RESOLVED)
     + """

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from dimflow.operators.heavy import heavy_keys, with_neighbour
+from dimflow.operators.ranks import ranked
 from dimflow.operators.scd2 import CURRENT, END, START
 from dimflow.session import cut_lineage
 
@@ -19,48 +20,42 @@ def plan_at_event(fact: DataFrame, dim_plan: DataFrame, plan_key: str = "plan_sk
     return fact.join(dim_plan, plan_key, "left")
 
 
-def behavior_by_month(fact: DataFrame) -> DataFrame:
-    """Events per customer and month, and the change against the customer's month before.
-
-    Counted before the window, so a customer has one row per month there.
-    """
-    monthly = (
+def monthly_counts(fact: DataFrame) -> DataFrame:
+    """Events per customer and month."""
+    return (
         fact.filter(F.col("event_timestamp").isNotNull())
         .groupBy("customer_id", _truncated("month").alias("month"))
         .agg(F.count(F.lit(1)).alias("events"))
     )
+
+
+def behavior_change(monthly: DataFrame) -> DataFrame:
+    """Adds the change against the customer's month before; a customer has one row per month."""
     before = F.lag("events").over(Window.partitionBy("customer_id").orderBy("month"))
     return monthly.withColumn("events_before", before).withColumn(
         "change", F.col("events") - F.col("events_before")
     )
 
 
+def behavior_by_month(fact: DataFrame) -> DataFrame:
+    """Events per customer and month, and the change against the customer's month before.
+
+    Counted before the window, so a customer has one row per month there.
+    """
+    return behavior_change(monthly_counts(fact))
+
+
 def plan_usage(fact: DataFrame, plan_key: str = "plan_sk") -> DataFrame:
     """Plans ranked by number of events, with the number of distinct customers.
 
-    Ranked inside groups of plans with event counts of the same bit length, plus the number of
-    plans in higher groups (at most 64 of them), instead of sorting all plans in one task. Both
-    need the counts, which are written first so that the facts are read once.
+    The counts are written first, so that the facts are read once.
     """
     used = cut_lineage(
         fact.groupBy(plan_key).agg(
             F.count(F.lit(1)).alias("events"), F.count_distinct("customer_id").alias("customers")
         )
     )
-    scaled = used.withColumn("_scale", F.length(F.bin("events")))
-    higher = Window.orderBy(F.desc("_scale")).rowsBetween(Window.unboundedPreceding, -1)
-    ahead = (
-        scaled.groupBy("_scale")
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .select("_scale", F.coalesce(F.sum("_n").over(higher), F.lit(0)).alias("_ahead"))
-    )
-    inside = F.rank().over(Window.partitionBy("_scale").orderBy(F.desc("events")))
-    return (
-        scaled.withColumn("_rank", inside)
-        .join(F.broadcast(ahead), "_scale")
-        .withColumn("usage_rank", (F.col("_ahead") + F.col("_rank")).cast("bigint"))
-        .drop("_scale", "_rank", "_ahead")
-    )
+    return ranked(used, "events", "usage_rank")
 
 
 def churn_matrix(dim_customer: DataFrame, plan_key: str = "plan_sk") -> DataFrame:
