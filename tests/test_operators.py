@@ -17,7 +17,10 @@ from dimflow.operators.latest import collapse_copies, keep_latest
 from dimflow.operators.metrics import record_counts, summary_json
 from dimflow.operators.plan_dim import appended_plans, current_count, refreshed_plans
 from dimflow.operators.quality import labelled, split_records
+from dimflow.operators.ranks import ranked
 from dimflow.operators.scd2 import scd2_apply, scd2_history
+from dimflow.operators.splice import scd2_splice
+from dimflow.plans.monthly import add_events, monthly_report
 from dimflow.plans.reports import plan_usage
 from dimflow.plans.standardize import typed
 from dimflow.schemas import TRACKED, layout
@@ -396,3 +399,42 @@ def test_as_of_join_equals_the_interval_join(spark, rows, seed):
     assert "SortMergeJoin" not in plan and "CartesianProduct" not in plan
     assert rows(as_of_join(left, right.filter("false"), "k", "at", ["v"])) == rows(left.selectExpr("*", "cast(null as string)"))
     assert as_of_join(left.filter("false"), right, "k", "at", ["v"]).count() == 0
+
+
+def test_late_batches_give_the_bulk_history(spark, rows):
+    """Late rows before, between, at and after the others, that split, join and repeat versions."""
+    columns = "k string, ts timestamp_ntz, status string, seq int"
+    tracked = {"status": ""}
+    r = random.Random(12)
+    for _ in range(3):
+        feed = [(r.choice("abc"), dt.datetime(2024, 1, 1 + r.randrange(20)), r.choice(["x", "y", None]), i) for i in range(50)]
+        feed += [("only late", dt.datetime(2024, 1, 3), "x", 99), (None, dt.datetime(2024, 1, 3), "x", 98), ("a", None, "x", 97)]
+        late = [row for row in feed if row[0] in ("a", "only late") and r.random() < 0.4 or row[3] == 99]
+        early = spark.createDataFrame([row for row in feed if row not in late], columns)
+        history = scd2_history(early.filter("k is not null"), "k", "ts", tracked, ["seq"])
+        spliced = scd2_splice(history, early, spark.createDataFrame(late, columns), "k", "ts", tracked, ["seq"])
+        bulk = scd2_history(spark.createDataFrame(feed, columns).filter("k is not null"), "k", "ts", tracked, ["seq"])
+        told = ("k", "status", "seq", "effective_start_date", "effective_end_date", "is_current")
+        assert rows(spliced, *told) == rows(bulk, *told)
+
+
+def test_ranks_over_many_values(spark, rows):
+    values = [random.Random(3).randrange(400) for _ in range(2000)] + [None, None, 7, 7]
+    frame = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, v int")
+    some = [v for v in values if v is not None]
+    want = [(i, v, 1 + (len(some) if v is None else sum(x > v for x in some))) for i, v in enumerate(values)]
+    assert rows(ranked(frame, "v", "r")) == sorted(want, key=repr)
+    assert ranked(frame.filter("false"), "v", "r").count() == 0
+
+
+def test_monthly_counts_are_kept_by_run(spark, rows, tmp_path):
+    path = str(tmp_path / "monthly")
+    schema = "customer_id string, event_timestamp timestamp_ntz"
+    load = lambda *days: spark.createDataFrame([("c", dt.datetime(2024, m, d)) for m, d in days] + [("c", None)], schema)
+    assert add_events(spark, path, "1", load((1, 1), (1, 9), (2, 1))) == ["2024-01", "2024-02"]
+    assert add_events(spark, path, "2", load((1, 2), (3, 1))) == ["2024-01", "2024-03"]
+    assert add_events(spark, path, "2", load((1, 2), (3, 1))) == ["2024-01", "2024-03"]  # repeated
+    key_type = spark.createDataFrame([], schema).schema["customer_id"].dataType
+    told = rows(monthly_report(spark, path, key_type), "month", "events", "change")
+    assert told == [(dt.datetime(2024, 1, 1), 3, None), (dt.datetime(2024, 2, 1), 1, -2), (dt.datetime(2024, 3, 1), 1, 0)]
+    assert not (tmp_path / "monthly/counts/run_id=2/month_of=2024-02").exists()  # not counted again
