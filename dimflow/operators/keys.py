@@ -49,16 +49,21 @@ def assign_keys(
 
 
 def stable_keys(
-    rows: DataFrame, known: DataFrame, natural: Sequence[str], key: str
+    rows: DataFrame,
+    known: DataFrame,
+    natural: Sequence[str],
+    key: str,
+    last: DataFrame | None = None,
 ) -> DataFrame:
     """Keep the key of every natural key in ``known``; number the others after them.
 
     ``known`` holds natural key and key of everything ever numbered, so a key is never given
-    to a second natural key and a row that comes back gets its old one.
+    to a second natural key and a row that comes back gets its old one. With ``last``, a frame
+    that holds the largest key, ``known`` may leave out what does not occur in ``rows``.
     """
     keys = known.groupBy(*natural).agg(F.min(key).alias(key))
     # Read three times below, so it is written once.
     matched = cut_lineage(rows.join(keys, list(natural), "left"))
     old = matched.filter(F.col(key).isNotNull())
-    new = assign_keys(matched.filter(F.col(key).isNull()).drop(key), natural, key, known)
+    new = assign_keys(matched.filter(F.col(key).isNull()).drop(key), natural, key, known if last is None else last)
     return old.unionByName(new)

@@ -18,13 +18,16 @@ def _attributes(stg_plans: DataFrame, run_ts: Column) -> DataFrame:
     return rows.withColumn("updated_at", run_ts)
 
 
-def refreshed_plans(stg_plans: DataFrame, known: DataFrame | None, run_ts: Column) -> DataFrame:
-    """Full refresh. ``known`` (plan_id, plan_sk of all earlier loads) keeps keys stable."""
+def refreshed_plans(
+    stg_plans: DataFrame, known: DataFrame | None, run_ts: Column, last: DataFrame | None = None
+) -> DataFrame:
+    """Full refresh. ``known`` (plan_id, plan_sk of all earlier loads) keeps keys stable; with
+    the largest key in ``last`` it may leave out plans that are not staged."""
     rows = _attributes(stg_plans, run_ts)
     if known is None:
         keyed = assign_keys(rows, ["plan_id"], "plan_sk")
     else:
-        keyed = stable_keys(rows, known.select("plan_id", "plan_sk"), ["plan_id"], "plan_sk")
+        keyed = stable_keys(rows, known.select("plan_id", "plan_sk"), ["plan_id"], "plan_sk", last)
     return keyed.select(*COLUMNS)
 
 

@@ -1,0 +1,63 @@
+"""The activity fact in folders by run and event day, with an index of its event ids.
+
+Most events that come again come with the day they had, so they are looked for in the folders of the batch's days
+first. Whether one of the rest is in the fact under another day is told by the index, of which only the
+buckets of the rest are read; a batch that was loaded before leaves no rest and reads none.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from dimflow.operators.facts import not_loaded
+from dimflow.schemas import layout
+from dimflow.session import cut_lineage
+from dimflow.sources.buckets import read_touched, write_bucketed
+from dimflow.sources.writers import RUN, read_runs, write_run
+
+DAY = "event_date"
+#: Longest list of days in a filter; beyond it the filter is a range of days, which keeps no less.
+LISTED_DAYS = 1000
+
+_ID = T.StructField("event_id", T.StringType())
+
+
+def day_of() -> Column:
+    return F.col("event_timestamp").cast("date")
+
+
+def read_facts(spark: SparkSession, path: str, runs: list[str], on: Column | None = None) -> DataFrame:
+    """Facts of ``runs`` with their ``event_date``. ``on`` is a condition on it; folders that fail it are not read."""
+    fields = T.StructType([*layout("fact_activity").fields, T.StructField(DAY, T.DateType())])
+    rows = read_runs(spark, f"{path}/facts", fields, required=bool(runs)).filter(F.col(RUN).isin(*runs))
+    return (rows if on is None else rows.filter(on)).drop(RUN)
+
+
+def days_in(rows: DataFrame) -> Column:
+    """Condition on ``event_date`` that holds for the event days of ``rows``; those without a time have no day."""
+    days = rows.select(day_of().alias(DAY)).distinct()
+    found = days.limit(LISTED_DAYS + 1).selectExpr(f"cast({DAY} AS string)").collect()
+    texts = [r[0] for r in found if r[0] is not None]
+    undated = F.col(DAY).isNull() if len(texts) < len(found) else F.lit(False)
+    if len(found) > LISTED_DAYS:
+        ends = days.selectExpr(f"cast(min({DAY}) AS string)", f"cast(max({DAY}) AS string)").first()
+        return F.col(DAY).between(*[F.lit(end).cast("date") for end in ends]) | F.col(DAY).isNull()
+    return F.col(DAY).isin(*[F.lit(text).cast("date") for text in texts]) | undated
+
+
+def not_in_fact(spark: SparkSession, path: str, staged: DataFrame, runs: list[str]) -> DataFrame:
+    """Staged rows whose event id no fact of ``runs`` has; rows without an id always pass."""
+    if not runs:
+        return staged
+    rest = cut_lineage(not_loaded(staged, read_facts(spark, path, runs, days_in(staged))))
+    named = rest.filter("event_id IS NOT NULL")
+    return cut_lineage(not_loaded(rest, read_touched(spark, f"{path}/ids", [_ID], runs, ["event_id"], named)))
+
+
+def append_facts(spark: SparkSession, path: str, facts: DataFrame, run: str) -> None:
+    """Write a run's facts by day, then the index of their ids from what was written."""
+    write_run(facts.withColumn(DAY, day_of()), f"{path}/facts", run, [DAY])
+    ids = read_facts(spark, path, [run]).select("event_id").filter("event_id IS NOT NULL")
+    write_bucketed(ids, f"{path}/ids", run, ["event_id"])

@@ -33,9 +33,12 @@ def clean_layout(dataset: str) -> T.StructType:
 
 
 def read_clean(spark: SparkSession, root: str, dataset: str) -> DataFrame:
-    """All runs of a clean table, with ``archive_date`` and ``run_id`` from the folder names."""
+    """All runs of a clean table, with ``archive_date`` and ``run_id`` from the folder names.
+
+    Every run of ``standardize`` writes all tables, so a folder that is not there is an error.
+    """
     located = [*clean_layout(dataset).fields, T.StructField("archive_date", T.DateType())]
-    return read_runs(spark, f"{root}/clean/{dataset}", T.StructType(located))
+    return read_runs(spark, f"{root}/clean/{dataset}", T.StructType(located), required=True)
 
 
 def typed(df: DataFrame, dataset: str, run_ts: Column) -> DataFrame:

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -20,6 +20,8 @@ from dimflow.operators.keys import assign_keys
 from dimflow.operators.metrics import row_counts
 from dimflow.operators.plan_dim import refreshed_plans
 from dimflow.operators.scd2 import CLOSED, OPENED, START, scd2_apply
+from dimflow.plans.facts_by_day import DAY, append_facts, not_in_fact, read_facts
+from dimflow.plans.key_registry import known_keys, last_key, register, set_last_key
 from dimflow.schemas import TRACKED, layout
 from dimflow.session import cut_lineage
 from dimflow.sources.readers import read_parquet, read_staged
@@ -35,12 +37,26 @@ from dimflow.sources.writers import (
 STAGING_TABLES = {"stg_plans": "plans", "stg_customers": "customers", "stg_activity": "activity"}
 
 
-def load_staging(spark: SparkSession, root: str) -> None:
-    """Truncate and reload the typed staging tables from the staging snapshots."""
-    for table, folder in STAGING_TABLES.items():
-        write_snapshot(
-            read_staged(spark, f"{root}/staging/{folder}", table), f"{root}/warehouse/{table}"
-        )
+def load_staging(spark: SparkSession, root: str) -> DataFrame:
+    """Truncate and reload the typed staging tables from the staging snapshots.
+
+    Returns ``(table, column, rows, misfits)``: how many of a table's rows lost their value of the column because
+    it does not fit the type. A snapshot that is not there is an error before any table is written.
+    """
+    seen = {table: Observation(table) for table in STAGING_TABLES}
+    staged = {
+        table: read_staged(spark, f"{root}/staging/{folder}", table, seen[table])
+        for table, folder in STAGING_TABLES.items()
+    }
+    for table, df in staged.items():
+        write_snapshot(df, f"{root}/warehouse/{table}")
+    told = [
+        (table, column, counts["rows"], misfits)
+        for table, counts in ((table, observed.get) for table, observed in seen.items())
+        for column, misfits in counts.items()
+        if column != "rows"
+    ]
+    return spark.createDataFrame(told, "table string, column string, rows bigint, misfits bigint")
 
 
 def staging_table(spark: SparkSession, root: str, table: str) -> DataFrame:
@@ -54,42 +70,78 @@ def _runs(root: str) -> str:
 def dim_plan(spark: SparkSession, root: str, runs: list[str] | None = None) -> DataFrame:
     """The plan dimension as of the last of ``runs`` (all complete runs by default)."""
     runs = published_before(spark, _runs(root)) if runs is None else runs
-    every = read_runs(spark, f"{root}/warehouse/dim_plan", layout("dim_plan"))
+    every = read_runs(
+        spark, f"{root}/warehouse/dim_plan", layout("dim_plan"), required=bool(runs)
+    )
     return every.filter(F.col(RUN).isin(runs[-1:])).drop(RUN)
 
 
-def dim_customer(spark: SparkSession, root: str, runs: list[str] | None = None) -> DataFrame:
-    """The customer dimension with its whole history as of the last of ``runs``."""
+def dim_customer(
+    spark: SparkSession, root: str, runs: list[str] | None = None, since: str | None = None
+) -> DataFrame:
+    """The customer dimension with its whole history as of the last of ``runs``.
+
+    With ``since``, a time in the form of a run's id, without versions that ended before it: a version
+    ends at the time of the run that closed it, so the folders of earlier runs are not read.
+    """
     runs = published_before(spark, _runs(root)) if runs is None else runs
-    closed = (F.col("change") == CLOSED) & F.col(RUN).isin(runs)
+    closing = [run for run in runs if since is None or run[: len(since)] >= since]
+    closed = (F.col("change") == CLOSED) & F.col(RUN).isin(closing)
     current = (F.col("change") != CLOSED) & F.col(RUN).isin(runs[-1:])
-    return _customer_runs(spark, root).filter(closed | current).drop(RUN, "change")
+    every = _customer_runs(spark, root, required=bool(runs))
+    return every.filter(closed | current).drop(RUN, "change")
 
 
-def _customer_runs(spark: SparkSession, root: str) -> DataFrame:
+def _customer_runs(spark: SparkSession, root: str, required: bool = False) -> DataFrame:
     fields = [*layout("dim_customer").fields, T.StructField("change", T.StringType())]
-    return read_runs(spark, f"{root}/warehouse/dim_customer", T.StructType(fields))
+    return read_runs(spark, f"{root}/warehouse/dim_customer", T.StructType(fields), required)
 
 
-def fact_activity(spark: SparkSession, root: str, runs: list[str] | None = None) -> DataFrame:
-    """The activity fact of ``runs`` (all complete runs by default)."""
+def fact_activity(
+    spark: SparkSession,
+    root: str,
+    runs: list[str] | None = None,
+    first_day: dt.date | None = None,
+    last_day: dt.date | None = None,
+) -> DataFrame:
+    """The activity fact of ``runs`` (all complete runs by default). Of a range of event days only the
+    folders of these days are read; events without a time are in no range."""
     runs = published_before(spark, _runs(root)) if runs is None else runs
-    every = read_runs(spark, f"{root}/warehouse/fact_activity", layout("fact_activity"))
-    return every.filter(F.col(RUN).isin(runs)).drop(RUN)
+    facts = read_facts(spark, _fact(root), runs)
+    if first_day is not None:
+        facts = facts.filter(F.col(DAY) >= F.lit(first_day))
+    if last_day is not None:
+        facts = facts.filter(F.col(DAY) <= F.lit(last_day))
+    return facts.drop(DAY)
+
+
+def _fact(root: str) -> str:
+    return f"{root}/warehouse/fact_activity"
+
+
+def _keys(root: str, table: str) -> str:
+    return f"{root}/warehouse/key_registry/{table}"
+
+
+def _as_frame(spark: SparkSession, key: str, last: int) -> DataFrame:
+    return spark.createDataFrame([(last,)], f"{key} bigint")
 
 
 def load_dim_plan(spark: SparkSession, root: str, run_ts, before: list[str]) -> None:
-    earlier = read_runs(spark, f"{root}/warehouse/dim_plan", layout("dim_plan"))
-    known = earlier.filter(F.col(RUN).isin(before)) if before else None
-    plans = refreshed_plans(staging_table(spark, root, "stg_plans"), known, stamp(run_ts))
-    write_run(plans, f"{root}/warehouse/dim_plan", run_id(run_ts))
+    run, registry = run_id(run_ts), _keys(root, "dim_plan")
+    staged = staging_table(spark, root, "stg_plans")
+    last = last_key(spark, registry, before)
+    known = known_keys(spark, registry, "plan_id", "plan_sk", before, staged)
+    plans = refreshed_plans(staged, known, stamp(run_ts), _as_frame(spark, "plan_sk", last))
+    write_run(plans, f"{root}/warehouse/dim_plan", run)
+    register(spark, registry, run, dim_plan(spark, root, [run]), "plan_id", "plan_sk", last)
 
 
 def load_dim_customer(
     spark: SparkSession, root: str, run_ts, before: list[str], reopen_same_run: bool = True
 ) -> None:
-    run = run_id(run_ts)
-    every = _customer_runs(spark, root).filter(F.col(RUN).isin(before))
+    run, registry = run_id(run_ts), _keys(root, "dim_customer")
+    every = _customer_runs(spark, root, required=bool(before))
     last = every.filter(F.col(RUN).isin(before[-1:]) & (F.col("change") != CLOSED))
     snapshot = with_plan_key(
         staging_table(spark, root, "stg_customers"), dim_plan(spark, root, [run])
@@ -101,20 +153,27 @@ def load_dim_customer(
         )
     )
     opened = applied.filter(F.col("change") == OPENED).drop("customer_sk")
-    keyed = assign_keys(opened, ["customer_id", START], "customer_sk", every)
+    used = last_key(spark, registry, before)
+    keyed = assign_keys(
+        opened, ["customer_id", START], "customer_sk", _as_frame(spark, "customer_sk", used)
+    )
     versions = applied.filter(F.col("change") != OPENED).unionByName(keyed)
     write_run(versions, f"{root}/warehouse/dim_customer", run, ["change"])
+    new = _customer_runs(spark, root).filter((F.col(RUN) == run) & (F.col("change") == OPENED))
+    set_last_key(spark, registry, run, new.select("customer_sk"), used)
 
 
 def load_fact_activity(spark: SparkSession, root: str, run_ts, before: list[str]) -> None:
+    """Append the staged activity that is not loaded yet. Of the dimension, only versions that were open
+    at the oldest new event or later are read."""
     run = run_id(run_ts)
-    loaded = fact_activity(spark, root, before) if before else None
-    facts = new_facts(
-        staging_table(spark, root, "stg_activity"),
-        dim_customer(spark, root, [*before, run]),
-        loaded,
-    )
-    write_run(facts, f"{root}/warehouse/fact_activity", run)
+    fresh = not_in_fact(spark, _fact(root), staging_table(spark, root, "stg_activity"), before)
+    oldest = F.greatest(F.min("event_timestamp"), F.lit("0001-01-01").cast("timestamp_ntz"))
+    bounded = F.least(oldest, F.lit("9999-12-31").cast("timestamp_ntz"))
+    since = fresh.agg(F.date_format(F.when(F.min("event_timestamp").isNotNull(), bounded), "yyyyMMdd'T'HHmmss")).first()[0]
+    # No event has a time: no version is asked for, and that of no run ends late enough.
+    versions = dim_customer(spark, root, [*before, run], "Z" if since is None else since)
+    append_facts(spark, _fact(root), new_facts(fresh, versions, None), run)
 
 
 def run_warehouse(
@@ -126,7 +185,8 @@ def run_warehouse(
     """
     run = run_id(run_ts)
     before = published_before(spark, _runs(root), run)
-    load_staging(spark, root)
+    misfits = load_staging(spark, root)
+    misfits.coalesce(1).write.mode("overwrite").json(f"{root}/metrics/load_staging/run_id={run}")
     load_dim_plan(spark, root, run_ts, before)
     load_dim_customer(spark, root, run_ts, before, reopen_same_run)
     load_fact_activity(spark, root, run_ts, before)

@@ -6,7 +6,7 @@ import datetime as dt
 from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -139,20 +139,20 @@ def read_evolved(spark: SparkSession, path: str, schema: T.StructType) -> DataFr
     )
 
 
-def read_staged(spark: SparkSession, path: str, table: str) -> DataFrame:
+def read_staged(
+    spark: SparkSession, path: str, table: str, misfits: Observation | None = None
+) -> DataFrame:
     """Staged Parquet as the typed staging table, by column name in any case.
 
     The staged activity calls its time ``event_ts``; the table calls it ``event_timestamp``.
+    ``misfits`` observes the values of each column that do not fit and become NULL. A folder
+    that is not there is an error: an empty table would replace the one loaded before.
     """
     schema = layout(table)
-
-    def read() -> DataFrame:
-        rows = spark.read.parquet(path)
-        if "event_ts" in rows.columns and "event_timestamp" in schema.names:
-            rows = rows.withColumnRenamed("event_ts", "event_timestamp")
-        return align_by_name(rows, schema)
-
-    return or_empty(read, spark, schema)
+    rows = spark.read.parquet(path)
+    if "event_ts" in rows.columns and "event_timestamp" in schema.names:
+        rows = rows.withColumnRenamed("event_ts", "event_timestamp")
+    return align_by_name(rows, schema, misfits)
 
 
 def preview(df: DataFrame, name: str) -> DataFrame:

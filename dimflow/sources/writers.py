@@ -29,10 +29,16 @@ def write_run(df: DataFrame, path: str, run: str, by: Sequence[str] = ()) -> Non
     df.write.mode("overwrite").partitionBy(*by).parquet(f"{path}/{RUN}={run}")
 
 
-def read_runs(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """All runs of a table, with ``run_id`` (and other folder columns) as columns."""
+def read_runs(
+    spark: SparkSession, path: str, schema: T.StructType, required: bool = False
+) -> DataFrame:
+    """All runs of a table, with ``run_id`` (and other folder columns) as columns.
+
+    A ``required`` table whose folder is gone is an error at once, not an empty table.
+    """
     full = T.StructType([*schema.fields, T.StructField(RUN, T.StringType())])
-    return or_empty(lambda: spark.read.schema(full).parquet(path), spark, full)
+    read = spark.read.schema(full).parquet
+    return read(path) if required else or_empty(lambda: read(path), spark, full)
 
 
 def write_lines(df: DataFrame, path: str, by: Sequence[str]) -> None:
