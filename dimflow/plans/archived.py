@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -98,13 +99,39 @@ def archive_events(spark: SparkSession, sf_dir: str, root: str) -> None:
     events.write.partitionBy("ingest_date").json(f"{root}/archive/dataset=activity_logs")
 
 
+def stage_loose(spark: SparkSession, sf_dir: str, root: str) -> None:
+    """Staging snapshots some of whose values do not fit the typed tables."""
+    plans = fx.part_plans(spark, sf_dir)
+    size = F.col("data_allowance_gb")
+    staged = {
+        "plans": plans.withColumns({
+            "monthly_price": F.col("monthly_price") * F.when(size % 5 == 0, 1_000_000).otherwise(1),
+            "voice_minutes": F.when(F.col("plan_category") == "PROMO", "unlimited").otherwise(size.cast("string")),
+            "sms_allowance": size.cast("bigint") * 100_000_000,
+            "roaming_enabled": F.when(size == 7, "maybe").otherwise(F.col("roaming_enabled")),
+        }),
+        "customers": fx.table(spark, sf_dir, "customer").select(
+            F.col("c_custkey").alias("CUSTOMER_ID"),
+            F.when(F.col("c_custkey") % 3 == 0, "soon").otherwise("2024-01-01 00:00:00").alias("ingestion_ts"),
+        ),
+        "activity": fx.web_events(spark, sf_dir).select(
+            "event_id", "customer_id", "event_type",
+            F.when(F.col("event_type") == "error", "never")
+            .otherwise(F.col("event_timestamp").cast("string")).alias("event_ts"),
+        ),
+    }
+    for folder, df in staged.items():
+        df.write.parquet(f"{root}/staging/{folder}")
+
+
 def run_batches(spark: SparkSession, sf_dir: str) -> str:
     """Both deliveries through all jobs, one run each; returns the root folder."""
     root = new_root(spark)
     archive_batches(spark, sf_dir, root)
     for day in DAYS:
         run_ts = f"{day} 00:00:00"
-        standardize(spark, root, run_ts, day, day)
+        date = dt.date.fromisoformat(day)
+        standardize(spark, root, run_ts, date, date)
         build_staging(spark, root, run_ts)
         run_warehouse(spark, root, run_ts)
     return root

@@ -34,7 +34,7 @@ from dimflow.plans import archived, landed, monthly, reports
 from dimflow.plans import fixtures as fx
 from dimflow.plans.staging import build_staging
 from dimflow.plans.standardize import standardize, typed
-from dimflow.plans.warehouse import dim_customer, dim_plan, fact_activity
+from dimflow.plans.warehouse import dim_customer, dim_plan, fact_activity, load_staging
 from dimflow.schemas import BAD_NDJSON, OK, UNKNOWN_FOLDER, layout
 from dimflow.session import cut_lineage
 from dimflow.sources.readers import read_archive
@@ -591,6 +591,16 @@ def staged_customers(spark, sf_dir):
     return spark.read.parquet(f"{root}/staging/customers")
 
 
+@query
+def staging_misfits(spark, sf_dir):
+    """Values that do not fit the typed staging tables, by column."""
+    root = archived.new_root(spark)
+    archived.stage_loose(spark, sf_dir, root)
+    return load_staging(spark, root).filter("misfits > 0").withColumnsRenamed(
+        {"table": "staging_table", "column": "staging_column", "rows": "n_rows"}
+    )
+
+
 @query
 def warehouse_customers(spark, sf_dir):
     """Customer versions after two daily runs, with the plan's natural key."""

@@ -752,6 +752,22 @@ FROM newest c LEFT JOIN plans p ON c.plan_id = p.plan_id
 """
 )
 
+ORACLE["staging_misfits"] = """
+WITH lost AS (
+    SELECT 'stg_plans' AS staging_table, 'monthly_price' AS staging_column, count(*) AS n_rows,
+           count(*) FILTER (p_size % 5 = 0 AND p_retailprice * 1000000 >= 99999999.995) AS misfits
+    FROM part
+    UNION ALL SELECT 'stg_plans', 'voice_minutes', count(*), count(*) FILTER (p_type = 'PROMO') FROM part
+    UNION ALL SELECT 'stg_plans', 'sms_allowance', count(*),
+           count(*) FILTER (CAST(p_size AS BIGINT) * 100000000 > 2147483647) FROM part
+    UNION ALL SELECT 'stg_plans', 'roaming_enabled', count(*), count(*) FILTER (p_size = 7) FROM part
+    UNION ALL SELECT 'stg_customers', 'ingestion_ts', count(*), count(*) FILTER (c_custkey % 3 = 0)
+    FROM customer
+    UNION ALL SELECT 'stg_activity', 'event_timestamp', count(*), count(*) FILTER (event_type = 'error')
+    FROM events)
+SELECT * FROM lost WHERE misfits > 0
+"""
+
 _WAREHOUSE = (
     _ARCHIVE
     + f"""

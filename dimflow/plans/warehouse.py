@@ -20,7 +20,7 @@ from dimflow.operators.keys import assign_keys
 from dimflow.operators.metrics import row_counts
 from dimflow.operators.plan_dim import refreshed_plans
 from dimflow.operators.scd2 import CLOSED, OPENED, START, scd2_apply
-from dimflow.plans.facts_by_day import DAY, append_facts, not_in_fact, read_facts
+from dimflow.plans.facts_by_month import AT, MONTH, append_facts, month_of, not_in_fact, read_facts
 from dimflow.plans.key_registry import known_keys, last_key, register, set_last_key
 from dimflow.schemas import TRACKED, layout
 from dimflow.session import cut_lineage
@@ -105,14 +105,16 @@ def fact_activity(
     last_day: dt.date | None = None,
 ) -> DataFrame:
     """The activity fact of ``runs`` (all complete runs by default). Of a range of event days only the
-    folders of these days are read; events without a time are in no range."""
+    folders of its months are read; events without a time are in no range."""
     runs = published_before(spark, _runs(root)) if runs is None else runs
     facts = read_facts(spark, _fact(root), runs)
     if first_day is not None:
-        facts = facts.filter(F.col(DAY) >= F.lit(first_day))
+        first = F.lit(first_day).cast("timestamp_ntz")
+        facts = facts.filter((F.col(AT) >= first) & (F.col(MONTH) >= month_of(first)))
     if last_day is not None:
-        facts = facts.filter(F.col(DAY) <= F.lit(last_day))
-    return facts.drop(DAY)
+        last = F.lit(last_day).cast("timestamp_ntz")
+        facts = facts.filter((F.col(AT) < last + F.expr("INTERVAL 1 DAY")) & (F.col(MONTH) <= month_of(last)))
+    return facts.drop(MONTH)
 
 
 def _fact(root: str) -> str:

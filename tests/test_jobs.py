@@ -5,6 +5,11 @@ import json
 
 import pytest
 
+from pyspark.errors import AnalysisException
+
+from dimflow.operators.keys import stable_keys
+from dimflow.plans.facts_by_month import append_facts, not_in_fact, read_facts, times_of
+from dimflow.plans.key_registry import known_keys, last_key, register
 from dimflow.plans.staging import build_staging
 from dimflow.plans.standardize import standardize
 from dimflow.plans.warehouse import (
@@ -18,6 +23,8 @@ from dimflow.plans.warehouse import (
     staging_table,
 )
 from dimflow.schemas import layout
+from dimflow.session import cut_lineage
+from dimflow.sources.buckets import read_touched
 from dimflow.sources.readers import preview, read_archive, read_evolved, read_parquet
 from dimflow.sources.writers import published_before, write_run
 
@@ -217,6 +224,124 @@ def test_staging_tables_are_typed(spark, day_one):
     assert spark.sql("SELECT * FROM stg_activity_preview").columns == activity.columns
 
 
+def test_lost_folders_raise_before_a_write(spark, rows, day_one):
+    root, at = str(day_one), "2025-05-02 02:00:00"
+    run_day(spark, root, at)
+    clean, staging = (sorted(str(p) for p in (day_one / d).rglob("*.parquet")) for d in ("staging", "warehouse"))
+    (day_one / "clean" / "customers").rename(day_one / "lost_clean")
+    (day_one / "staging" / "activity").rename(day_one / "lost_staging")
+    for job in (build_staging, run_warehouse):
+        with pytest.raises(AnalysisException, match="PATH_NOT_FOUND"):
+            job(spark, root, "2025-05-03 02:00:00")
+    (day_one / "lost_staging").rename(day_one / "staging" / "activity")
+    assert sorted(str(p) for p in (day_one / "staging").rglob("*.parquet")) == clean
+    assert sorted(str(p) for p in (day_one / "warehouse").rglob("*.parquet")) == staging
+    # The same for a table of the warehouse itself, once runs are marked that wrote it.
+    (day_one / "warehouse" / "dim_customer").rename(day_one / "lost_dimension")
+    with pytest.raises(AnalysisException, match="PATH_NOT_FOUND"):
+        dim_customer(spark, root)
+
+
+def test_values_that_do_not_fit_are_counted(spark, rows, tmp_path):
+    root = str(tmp_path)
+    odd = [("P1", "1e99", "maybe"), ("P2", "2.5", None), (None, None, "Y")]
+    spark.createDataFrame(odd, "PLAN_ID string, monthly_price string, roaming_enabled string").write.parquet(f"{root}/staging/plans")
+    spark.createDataFrame([], "customer_id string, ingestion_ts string").write.parquet(f"{root}/staging/customers")
+    spark.createDataFrame([("e", "never")], "event_id string, event_ts string").write.parquet(f"{root}/staging/activity")
+    assert rows(load_staging(spark, root)) == [
+        ("stg_activity", "event_id", 1, 0), ("stg_activity", "event_timestamp", 1, 1),
+        ("stg_customers", "customer_id", 0, 0), ("stg_customers", "ingestion_ts", 0, 0),
+        ("stg_plans", "monthly_price", 3, 1), ("stg_plans", "plan_id", 3, 0), ("stg_plans", "roaming_enabled", 3, 1),
+    ]
+    assert rows(staging_table(spark, root, "stg_plans"), "plan_id", "roaming_enabled") == [
+        ("P1", None), ("P2", None), (None, True),
+    ]
+
+
+FACT = "event_id string, event_timestamp timestamp_ntz"
+
+
+def staged_facts(spark, *events):
+    times = [(key, at and dt.datetime.fromisoformat(at)) for key, at in events]
+    names = layout("fact_activity").names
+    known = spark.createDataFrame(times, FACT)
+    return known.selectExpr(*[n if n in known.columns else f"CAST(NULL AS {layout('fact_activity')[n].dataType.simpleString()}) AS {n}" for n in names])
+
+
+def test_facts_are_looked_for_by_time_and_by_id(spark, rows, tmp_path):
+    path = str(tmp_path)
+    first = staged_facts(spark, ("a", "2025-05-01 10:00"), ("b", "2025-05-02 10:00"), ("c", None), (None, "2025-05-01"))
+    append_facts(spark, path, not_in_fact(spark, path, first, []), "1")
+    again = staged_facts(
+        spark, ("a", "2025-05-01 10:00"), ("b", "2025-05-07 10:00"), ("c", "2025-05-01"), ("d", "2025-05-01"),
+        ("a", None), (None, "2025-05-01"), ("e", None),
+    )
+    # Another day, a time found or lost: known ids stay out. Rows without an id always pass.
+    fresh = not_in_fact(spark, path, again, ["1"])
+    assert rows(fresh, "event_id") == sorted([("d",), ("e",), (None,)], key=repr)
+    append_facts(spark, path, fresh, "2")
+    append_facts(spark, path, staged_facts(spark, ("z", "2025-05-01")), "3")  # never marked
+    assert not_in_fact(spark, path, again, ["1", "2"]).count() == 1
+    assert read_facts(spark, path, ["1", "2"]).count() == 7
+    assert not_in_fact(spark, path, staged_facts(spark), ["1", "2"]).count() == 0
+
+    # Only the folders of the batch's months, and files of its times, and of the buckets of its ids, are read.
+    may = staged_facts(spark, ("b", "2025-05-02 10:00"), ("y", "2025-06-01"))
+    read = read_facts(spark, path, ["1", "2"], times_of(may))
+    scanned = read._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in scanned and "event_month" in scanned.split("PartitionFilters: [")[1].split("PushedFilters")[0]
+    assert rows(read, "event_id") == [("b",)]
+    ids = read_touched(spark, f"{path}/ids", [layout("fact_activity")["event_id"]], ["1", "2"], ["event_id"], may)
+    assert "bucket" in ids._jdf.queryExecution().executedPlan().toString().split("PartitionFilters: [")[1].split("PushedFilters")[0]
+    assert {r[0] for r in ids.collect()} >= {"b"} and ids.count() < 5
+    assert rows(read_facts(spark, path, ["1"], times_of(staged_facts(spark, ("x", None)))), "event_id") == [("c",)]
+    assert "event_timestamp" in scanned.split("PushedFilters: [")[1].split("ReadSchema")[0]
+    old = [(f"m{i}", f"{1900 + i // 12}-{i % 12 + 1:02}-01") for i in range(1100)]
+    many = staged_facts(spark, *old, ("a", "2025-05-01 10:00"))
+    assert rows(read_facts(spark, path, ["1"], times_of(many)), "event_id") == sorted([("a",), ("c",), (None,)], key=repr)
+
+
+def test_registered_keys_are_kept_and_found_by_bucket(spark, rows, tmp_path):
+    path = str(tmp_path)
+    plans = lambda *p: spark.createDataFrame([(x,) for x in p], "plan_id string")
+
+    def number(run, before, *ids):
+        last = last_key(spark, path, before)
+        known = known_keys(spark, path, "plan_id", "plan_sk", before, plans(*ids))
+        top = spark.createDataFrame([(last,)], "plan_sk bigint")
+        numbered = cut_lineage(stable_keys(plans(*ids), known, ["plan_id"], "plan_sk", top))
+        register(spark, path, run, numbered, "plan_id", "plan_sk", last)
+        return dict(rows(numbered))
+
+    first = number("1", [], *[f"p{i}" for i in range(200)])
+    assert sorted(first.values()) == list(range(1, 201))
+    assert number("2", ["1"], "p7", "new") == {"p7": first["p7"], "new": 201}
+    number("3", ["1", "2"], "abandoned")
+    # A plan that was away has its key again; numbers of a run that was not marked are free.
+    assert number("4", ["1", "2"], "p9", "new", "late") == {"p9": first["p9"], "new": 201, "late": 202}
+    assert number("5", ["1", "2", "4"]) == {}
+    assert last_key(spark, path, ["1", "2", "4", "5"]) == 202
+    assert known_keys(spark, path, "plan_id", "plan_sk", ["1", "2", "4"], plans("p9")).count() < 30
+    with pytest.raises(ValueError, match="no last key"):
+        last_key(spark, path, ["1", "9"])
+
+
+def test_versions_of_old_runs_are_read_only_for_old_events(spark, rows, day_one):
+    root = str(day_one)
+    run_day(spark, root, "2025-05-02 02:00:00")
+    archive(day_one, "customers", "2025-05-02", "c.ndjson", customer("c1", "P003", status="left"))
+    archive(day_one, "activity_logs", "2025-05-02", "a.ndjson", event("e9", "c1", "2025-05-02 09:00:00"))
+    run_day(spark, root, "2025-05-03 02:00:00", dt.date(2025, 5, 2))
+    assert dim_customer(spark, root).count() == 4
+    assert dim_customer(spark, root, since="20250503T020000").count() == 4
+    assert dim_customer(spark, root, since="20250503T020001").filter("NOT is_current").count() == 0
+    day = dt.date(2025, 5, 2)
+    assert rows(fact_activity(spark, root, None, day, day), "event_id") == [("e1",), ("e9",)]
+    # A late event still finds the version that was closed since.
+    late = {r["event_id"]: r["customer_sk"] for r in fact_activity(spark, root).collect()}
+    assert late["e9"] == late["e1"] is not None
+
+
 def test_staging_from_a_date_on(spark, rows, day_one):
     root = str(day_one)
     archive(day_one, "activity_logs", "2025-05-02", "a.ndjson", event("e8", "c1", "2025-05-02"))
