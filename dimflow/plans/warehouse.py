@@ -143,8 +143,10 @@ def load_dim_customer(
     spark: SparkSession, root: str, run_ts, before: list[str], reopen_same_run: bool = True
 ) -> None:
     run, registry = run_id(run_ts), _keys(root, "dim_customer")
-    every = _customer_runs(spark, root, required=bool(before))
-    last = every.filter(F.col(RUN).isin(before[-1:]) & (F.col("change") != CLOSED))
+    last = spark.createDataFrame([], layout("dim_customer"))
+    if before:
+        every = _customer_runs(spark, root, required=True)
+        last = every.filter((F.col(RUN) == before[-1]) & (F.col("change") != CLOSED))
     snapshot = with_plan_key(
         staging_table(spark, root, "stg_customers"), dim_plan(spark, root, [run])
     )

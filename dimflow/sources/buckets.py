@@ -35,7 +35,9 @@ def read_touched(
 ) -> DataFrame:
     """Rows of ``runs`` in the buckets that the keys of ``wanted`` fall in. The list of these
     buckets is short, so the filter is on folder names and Spark lists no other files to read."""
+    if not runs:
+        return spark.createDataFrame([], T.StructType(list(fields)))
     touched = [r[0] for r in wanted.select(bucket_of(keys)).distinct().collect()]
     located = T.StructType([*fields, T.StructField(BUCKET, T.IntegerType())])
-    rows = read_runs(spark, path, located, required=bool(runs))
+    rows = read_runs(spark, path, located, required=True)
     return rows.filter(F.col(RUN).isin(*runs) & F.col(BUCKET).isin(*touched)).drop(RUN, BUCKET)
