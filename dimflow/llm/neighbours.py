@@ -7,7 +7,8 @@ trees ascend together from the longest shared prefix until enough candidates are
 them, and those are compared exactly.
 
 Vectors with the same components are one class with its smallest ids, so a vector that a third of
-all rows share is compared once.
+all rows share is compared once. Classes lie in blocks, and trees hold hash strings and places in blocks only:
+vectors are shuffled once with their block, whatever the number of trees.
 """
 
 from __future__ import annotations
@@ -26,6 +27,8 @@ BITS = 32
 #: The fit takes so many queries against all rows and picks the cheapest forest of at most MOST_TREES
 #: trees that finds LEAST_RECALL of their neighbours.
 SAMPLE_QUERIES, MOST_TREES, LEAST_RECALL = 100, 64, 0.97
+#: Classes of a block (places in it fit in 16 bits), and bytes of what is looked for in a block at once.
+BLOCK, CHUNK_BYTES = 4096, 8 << 20
 #: Segments are this many bits shorter than the fitted prefix, for queries with few candidates.
 ASCENT = 1
 SEED = 11
@@ -39,10 +42,8 @@ def codes(vectors: np.ndarray, tree: int) -> np.ndarray:
     return ((vectors @ planes(vectors.shape[1], tree)) > 0) @ (1 << np.arange(BITS - 1, -1, -1, dtype=np.int64))
 
 
-def cosine(rows: np.ndarray, query: np.ndarray) -> np.ndarray:
-    """In double precision, row by row, so that equal rows have equal scores."""
-    norms = np.sqrt((rows * rows).sum(axis=1)) * np.sqrt((query * query).sum())
-    return (rows * query).sum(axis=1) / norms
+def norms(rows: np.ndarray) -> np.ndarray:
+    return np.sqrt((rows * rows).sum(axis=-1))
 
 
 def scaled(rows: np.ndarray) -> np.ndarray:
@@ -59,9 +60,10 @@ def matrix(column: pa.Array, dim: int) -> np.ndarray:
 
 
 def usable(rows: DataFrame, id_col: str, vector_col: str) -> DataFrame:
-    """``vec_id, vector`` of rows that take part."""
+    """``vec_id, vector`` of rows that take part; the vectors of floats or, if they were anything else, of doubles."""
     v = F.col("vector")
-    rows = rows.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).cast("array<double>").alias("vector"))
+    kind = "array<float>" if rows.select(vector_col).schema[0].dataType.simpleString() == "array<float>" else "array<double>"
+    rows = rows.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).cast(kind).alias("vector"))
     good = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists(v, lambda x: x != 0)
     return rows.where(F.col("vec_id").isNotNull() & F.coalesce(good, F.lit(False)))
 
@@ -116,40 +118,64 @@ def fitted(classes: DataFrame, queries: DataFrame, dim: int, total: int, k: int,
     return trees, bits
 
 
-def hashed(rows: DataFrame, dim: int, trees: int, bits: int, extra: list[str]) -> DataFrame:
-    """Rows of a batch that fall into one segment of one tree, together: sorted codes and what belongs to them."""
+def packed_blocks(classes: DataFrame) -> DataFrame:
+    """Classes in blocks of at most BLOCK, a row each: names, vectors as they are, and ids end to end."""
 
-    def blobs(batches):
+    def packed(batches):
+        for batch in batches:
+            for start in range(0, batch.num_rows, BLOCK):
+                part = batch.slice(start, BLOCK)
+                ids = part.column("ids")
+                yield pa.RecordBatch.from_pydict({
+                    "names": [part.column("class").to_numpy().tobytes()], "vectors": [part.column("vector").flatten().to_numpy().tobytes()],
+                    "ids": [ids.flatten().to_numpy().tobytes()], "n_ids": [ids.value_lengths().to_numpy().astype(np.int64).tobytes()],
+                })
+
+    rows = classes.select("class", "ids", "vector").mapInArrow(packed, "names binary, vectors binary, ids binary, n_ids binary")
+    return cut_lineage(rows.withColumn("block", F.monotonically_increasing_id()))
+
+
+def numbers(column: pa.Array, i: int, kind=np.int64) -> np.ndarray:
+    return np.frombuffer(column[i].as_buffer(), kind)
+
+
+def by_segment(vectors: np.ndarray, trees: int, bits: int):
+    """For each tree the hash strings, and for each of its segments the number and the places in order of their strings."""
+    for tree in range(trees):
+        code = codes(vectors, tree)
+        order = np.argsort(code, kind="stable")
+        segment = code[order] >> (BITS - bits)
+        for places in np.split(order, np.flatnonzero(np.diff(segment)) + 1):
+            yield tree, int(code[places[0]] >> (BITS - bits)), code[places], places
+
+
+def hashed_blocks(blocks: DataFrame, dim: int, kind: str, trees: int, bits: int) -> DataFrame:
+    """Sorted strings of a block that fall into one segment of one tree, and their places in the block."""
+
+    def strings(batches):
+        for batch in batches:
+            for i in range(batch.num_rows):
+                vectors = scaled(numbers(batch.column("vectors"), i, kind).astype(np.float64).reshape(-1, dim))
+                rows = [(t, s, c.astype(np.uint32).tobytes(), p.astype(np.uint16).tobytes()) for t, s, c, p in by_segment(vectors, trees, bits)]
+                out = dict(zip(("tree", "segment", "codes", "places"), map(list, zip(*rows))))
+                yield pa.RecordBatch.from_pydict({"tree": pa.array(out.pop("tree"), pa.int32()), **out, "block": [batch.column("block")[i].as_py()] * len(rows)})
+
+    return blocks.select("block", "vectors").mapInArrow(strings, "tree int, segment long, codes binary, places binary, block long")
+
+
+def hashed_queries(queries: DataFrame, dim: int, trees: int, bits: int) -> DataFrame:
+    """The same of a batch of queries ``class, vector, level``, with their names and levels."""
+
+    def strings(batches):
         for batch in batches:
             if not batch.num_rows:
                 continue
-            vectors = matrix(batch.column("vector"), dim)
-            names = batch.column("class").to_numpy()
-            more = {c: batch.column(c).to_numpy(zero_copy_only=False) if c != "ids" else batch.column(c).to_pylist() for c in extra}
-            for tree in range(trees):
-                code = codes(vectors, tree)
-                order = np.argsort(code, kind="stable")
-                segment = code[order] >> (BITS - bits)
-                cuts = np.flatnonzero(np.diff(segment)) + 1
-                parts = np.split(order, cuts)
-                out = {
-                    "tree": np.full(len(parts), tree, np.int32), "segment": segment[np.concatenate([[0], cuts])],
-                    "codes": [code[p].tobytes() for p in parts], "names": [names[p].tobytes() for p in parts], "vectors": [vectors[p].tobytes() for p in parts],
-                }
-                if "ids" in more:
-                    out["ids"] = [np.array([i for j in p for i in more["ids"][j]], np.int64).tobytes() for p in parts]
-                    out["n_ids"] = [np.array([len(more["ids"][j]) for j in p], np.int64).tobytes() for p in parts]
-                if "level" in more:
-                    out["levels"] = [more["level"][p].astype(np.int64).tobytes() for p in parts]
-                yield pa.RecordBatch.from_pydict(out)
-
-    schema = "tree int, segment long, codes binary, names binary, vectors binary"
-    schema += ", ids binary, n_ids binary" * ("ids" in extra) + ", levels binary" * ("level" in extra)
-    return rows.select("class", "vector", *extra).mapInArrow(blobs, schema)
-
-
-def ints(column: pa.Array, i: int) -> np.ndarray:
-    return np.frombuffer(column[i].as_buffer(), np.int64)
+            names, levels = (batch.column(c).to_numpy().astype(np.int64) for c in ("class", "level"))
+            rows = [(t, s, c.tobytes(), names[p].tobytes(), levels[p].tobytes()) for t, s, c, p in by_segment(matrix(batch.column("vector"), dim), trees, bits)]
+            out = dict(zip(("tree", "segment", "q_codes", "q_names", "q_levels"), map(list, zip(*rows))))
+            yield pa.RecordBatch.from_pydict({"tree": pa.array(out.pop("tree"), pa.int32()), **out})
+
+    return queries.select("class", "vector", "level").mapInArrow(strings, "tree int, segment long, q_codes binary, q_names binary, q_levels binary")
 
 
 def shared_counts(pairs: DataFrame, bits: int) -> DataFrame:
@@ -165,7 +191,8 @@ def shared_counts(pairs: DataFrame, bits: int) -> DataFrame:
 
         for batch in batches:
             for i in range(batch.num_rows):
-                theirs, mine, names = (ints(batch.column(c), i) for c in ("codes", "q_codes", "q_names"))
+                theirs = numbers(batch.column("codes"), i, np.uint32).astype(np.int64)
+                mine, names = (numbers(batch.column(c), i) for c in ("q_codes", "q_names"))
                 n = np.empty((len(mine), BITS + 1 - bits), np.int64)
                 for level in range(bits, BITS + 1):
                     low = mine >> (BITS - level) << (BITS - level)
@@ -179,42 +206,92 @@ def shared_counts(pairs: DataFrame, bits: int) -> DataFrame:
     return pairs.select("codes", "q_codes", "q_names").mapInArrow(counted, "query long, level long, n long")
 
 
-def compared(pairs: DataFrame, dim: int, k: int) -> DataFrame:
-    """``query, vec_id, score``: of each query and pair of blobs, the k + 1 best candidates' ids."""
+def candidates(pairs: DataFrame, bits: int) -> DataFrame:
+    """``query, block, places``: where in a block the strings lie that share the query's first bits in one tree.
+
+    No places stand for the whole block (which one segment is if there are no first bits)."""
 
-    def best(batches):
+    def ranges(batches):
+        names = ("query", "block", "places")
+        kinds = (pa.int64(), pa.int64(), pa.binary())
+        rows: list[tuple[int, int, bytes]] = []
+        size = 0
         for batch in batches:
-            out: list[tuple[int, int, float]] = []
             for i in range(batch.num_rows):
-                theirs, ids, n_ids, mine, names, levels = (ints(batch.column(c), i) for c in ("codes", "ids", "n_ids", "q_codes", "q_names", "q_levels"))
-                vectors, asked = (np.frombuffer(batch.column(c)[i].as_buffer(), np.float64).reshape(-1, dim) for c in ("vectors", "q_vectors"))
-                ends = np.cumsum(n_ids)
+                theirs = numbers(batch.column("codes"), i, np.uint32).astype(np.int64)
+                places = numbers(batch.column("places"), i, np.uint16)
+                mine, asking, levels = (numbers(batch.column(c), i) for c in ("q_codes", "q_names", "q_levels"))
+                block = batch.column("block")[i].as_py()
                 step = np.int64(1) << (BITS - levels)
                 low = mine & -step
-                for q, name, a, b in zip(asked, names.tolist(), np.searchsorted(theirs, low), np.searchsorted(theirs, low + step)):
-                    if a == b:
-                        continue
-                    score = cosine(vectors[a:b], q)
-                    good = np.arange(b - a)
-                    if len(score) > k + 1:
-                        good = np.flatnonzero(score >= np.partition(score, -k - 1)[-k - 1])
-                    few = [(-score[j], v) for j in good for v in ids[ends[a + j] - n_ids[a + j] : ends[a + j]].tolist()]
-                    out.extend((name, v, -s) for s, v in sorted(few)[: k + 1])
-            yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], pa.int64()), pa.array([x[1] for x in out], pa.int64()), pa.array([float(x[2]) for x in out], pa.float64())], names=["query", "vec_id", "score"])
-
-    return pairs.mapInArrow(best, "query long, vec_id long, score double")
-
-
-def searched(classes: DataFrame, queries: DataFrame, dim: int, trees: int, bits: int, wanted: float, k: int) -> DataFrame:
+                for q, a, b in zip(asking.tolist(), np.searchsorted(theirs, low).tolist(), np.searchsorted(theirs, low + step).tolist()):
+                    if a < b:
+                        rows.append((q, block, b"" if bits == 0 and b - a == len(theirs) else places[a:b].tobytes()))
+                        size += 2 * (b - a) + 16
+                if size > CHUNK_BYTES:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names=names)
+                    rows, size = [], 0
+        if rows:
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names=names)
+
+    return pairs.mapInArrow(ranges, "query long, block long, places binary")
+
+
+def compared(blocks: DataFrame, found: DataFrame, queries: DataFrame, dim: int, kind: str, k: int) -> DataFrame:
+    """``query, vec_id, score``: of each query and block, the k + 1 best candidates' ids.
+
+    A block meets the queries that look for something in it, in chunks if that is much."""
+    size = F.sum(F.length("places") + 16 + 8 * dim)
+    chunks = found.groupBy("block").agg((F.floor(size / CHUNK_BYTES) + 1).alias("chunks"))
+    dealt = found.join(chunks, "block").withColumn("chunk", F.pmod(F.xxhash64("query"), F.col("chunks")).cast("long"))
+    dealt = dealt.select("block", "chunk", "query", "places")
+    asked = dealt.select("block", "chunk", "query").distinct().join(queries.select(F.col("class").alias("query"), "vector"), "query")
+    asked = asked.select("block", "chunk", "query", F.lit(None).cast("binary").alias("places"), "vector")
+    looked_for = dealt.withColumn("vector", F.lit(None).cast(asked.schema["vector"].dataType)).unionByName(asked)
+    copies = F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks").cast("long") - 1)).alias("chunk")
+    held = blocks.join(chunks, "block").select("block", copies, "vectors", "ids", "n_ids")
+
+    def best(held: pa.Table, looked_for: pa.Table) -> pa.Table:
+        out: list[tuple[int, int, float]] = []
+        if held.num_rows and looked_for.num_rows:
+            (vectors, ids, n_ids) = (held.column(c).combine_chunks() for c in ("vectors", "ids", "n_ids"))
+            rows = scaled(numbers(vectors, 0, kind).astype(np.float64).reshape(-1, dim))
+            ids, n_ids, long = numbers(ids, 0), numbers(n_ids, 0), norms(rows)
+            ends = np.cumsum(n_ids)
+            places: dict[int, list[bytes]] = {}
+            asked: list[tuple[int, np.ndarray]] = []
+            for q, some, vector in zip(looked_for.column("query").to_pylist(), looked_for.column("places"), looked_for.column("vector")):
+                if some.is_valid:
+                    places.setdefault(q, []).append(some.as_py())
+                else:
+                    asked.append((q, vector.values.to_numpy(zero_copy_only=False)))
+            queries = scaled(np.array([v for _, v in asked], np.float64).reshape(-1, dim))
+            for (name, _), query in zip(asked, queries):
+                found = places[name]
+                at = np.arange(len(rows)) if b"" in found else np.unique(np.frombuffer(b"".join(found), np.uint16))
+                # In double precision, row by row, so that equal rows have equal scores.
+                score = (rows[at] * query).sum(axis=1) / (long[at] * norms(query))
+                good = np.arange(len(at))
+                if len(at) > k + 1:
+                    good = np.flatnonzero(score >= np.partition(score, -k - 1)[-k - 1])
+                few = [(-score[j], v) for j in good for v in ids[ends[at[j]] - n_ids[at[j]] : ends[at[j]]].tolist()]
+                out.extend((name, v, -float(s)) for s, v in sorted(few)[: k + 1])
+        columns = [pa.array([x[i] for x in out], t) for i, t in enumerate((pa.int64(), pa.int64(), pa.float64()))]
+        return pa.Table.from_arrays(columns, names=["query", "vec_id", "score"])
+
+    both = held.groupBy("block", "chunk").cogroup(looked_for.groupBy("block", "chunk"))
+    return both.applyInArrow(best, "query long, vec_id long, score double")
+
+
+def searched(blocks: DataFrame, queries: DataFrame, dim: int, kind: str, trees: int, bits: int, wanted: float, k: int) -> DataFrame:
     low = max(0, bits - ASCENT)
-    index = hashed(classes, dim, trees, low, ["ids"])
-    keyed = lambda df: df.select("tree", "segment", *(F.col(c).alias(f"q_{c}") for c in df.columns if c not in ("tree", "segment")))
-    first = index.select("tree", "segment", "codes").join(keyed(hashed(queries, dim, trees, low, [])).select("tree", "segment", "q_codes", "q_names"), ["tree", "segment"])
+    index = hashed_blocks(blocks, dim, kind, trees, low)
+    first = index.select("tree", "segment", "codes").join(hashed_queries(queries.withColumn("level", F.lit(low)), dim, trees, low), ["tree", "segment"])
     counts = shared_counts(first, low).groupBy("query", "level").agg(F.sum("n").alias("n"))
     levels = counts.groupBy("query").agg(F.coalesce(F.max(F.when(F.col("n") >= wanted, F.col("level"))), F.lit(low)).alias("level"))
     levelled = cut_lineage(queries.join(levels, F.col("class") == F.col("query")).select("class", "vector", "level"))
-    second = index.join(keyed(hashed(levelled, dim, trees, low, ["level"])), ["tree", "segment"])
-    return best_of(compared(second, dim, k).distinct(), k + 1).select("query", "vec_id", "score")
+    found = cut_lineage(candidates(index.join(hashed_queries(levelled, dim, trees, low), ["tree", "segment"]), low))
+    return best_of(compared(blocks, found, queries, dim, kind, k), k + 1).select("query", "vec_id", "score")
 
 
 def nearest(rows: DataFrame, is_query, k: int = 5, sample_queries: int = SAMPLE_QUERIES, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
@@ -235,13 +312,15 @@ def nearest(rows: DataFrame, is_query, k: int = 5, sample_queries: int = SAMPLE_
     queries = classes.select("class", "vector").join(asking.select("class").distinct(), "class", "left_semi")
     queries = cut_lineage(queries)
     total = classes.count()
+    kind = "<f4" if rows.schema["vector"].dataType.simpleString() == "array<float>" else "<f8"
+    blocks = packed_blocks(classes)
     trees, bits = fitted(classes, queries, dim, total, k, sample_queries)
-    found = cut_lineage(searched(classes, queries, dim, trees, bits, max(trees * total / 2**bits, 20 * k), k))
+    found = cut_lineage(searched(blocks, queries, dim, kind, trees, bits, max(trees * total / 2**bits, 20 * k), k))
     # The few queries that found too little are compared with all rows.
     full = found.groupBy("query").count().where(F.col("count") > k)
     short = queries.join(full, F.col("class") == F.col("query"), "left_anti")
     if bits and not short.isEmpty():
-        found = found.unionByName(searched(classes, short, dim, 1, 0, total, k)).distinct()
+        found = found.unionByName(searched(blocks, short, dim, kind, 1, 0, total, k)).distinct()
     answers = asking.withColumnRenamed("vec_id", "query_id").join(found, F.col("class") == F.col("query")).where("query_id != vec_id")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     best = answers.select("query_id", "vec_id", "score").groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
