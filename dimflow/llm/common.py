@@ -69,26 +69,40 @@ def mixed(x: np.ndarray) -> np.ndarray:
 #: Word hashes are polynomials in ``_BASE`` over random values of the bytes, modulo 2 ** 64.
 _BASE = 0x9E3779B97F4A7C15
 _BYTE_VALUES = np.random.default_rng(5).integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 ASCII_BLANK = np.isin(np.arange(256), list(b" \t\n\x0b\x0c\r"))
 
 
-#: Tables of powers up to this length are kept for the next slice; longer ones go with their text.
-KEPT_POWERS = 1 << 21
+#: Bytes whose powers of the base, and of its inverse, are held; further ones are products of two.
+_STEP = 1 << 16
 
 
-def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the base and of its inverse, from 0 to n."""
-    if len(_powers[0]) > n:
-        return _powers[0], _powers[1]
-    made = []
-    for base in (_BASE, pow(_BASE, -1, 2**64)):
-        steps = np.full(n + 1, base, np.uint64)
-        steps[0] = 1
-        made.append(np.cumprod(steps, dtype=np.uint64, out=steps))
-    if n < KEPT_POWERS:
-        _powers[:] = made
-    return made[0], made[1]
+def _powers(base: int) -> np.ndarray:
+    steps = np.full(_STEP, base, np.uint64)
+    steps[0] = 1
+    return np.cumprod(steps, dtype=np.uint64)
+
+
+_INVERSE = pow(_BASE, -1, 2**64)
+_UP, _DOWN = _powers(_BASE), _powers(_INVERSE)
+
+
+def byte_sums(data: np.ndarray) -> np.ndarray:
+    """Sums, from the first byte on, of the bytes' values times powers of the base; taken block by block."""
+    sums = np.zeros(len(data) + 1, np.uint64)
+    for at in range(0, len(data), _STEP):
+        part = _BYTE_VALUES[data[at : at + _STEP]]
+        part *= _UP[: len(part)]
+        part *= np.uint64(pow(_BASE, at, 2**64))
+        part[:1] += sums[at : at + 1]
+        np.cumsum(part, out=sums[at + 1 : at + 1 + len(part)])
+    return sums
+
+
+def inverse_powers(places: np.ndarray) -> np.ndarray:
+    blocks = range(0, int(places.max(initial=0)) + 1, _STEP)
+    found = _DOWN[places % _STEP]
+    found *= np.array([pow(_INVERSE, at, 2**64) for at in blocks], np.uint64)[places // _STEP]
+    return found
 
 
 def scan_words(data: np.ndarray, offsets: np.ndarray, cuts: np.ndarray | None = None) -> tuple[np.ndarray, ...]:
@@ -106,11 +120,8 @@ def scan_words(data: np.ndarray, offsets: np.ndarray, cuts: np.ndarray | None =
     last = body.copy()
     last[:-1] &= ~body[1:] | first[1:]
     starts, ends = np.flatnonzero(first), np.flatnonzero(last) + 1
-    up, down = powers(len(data))
-    sums = np.zeros(len(data) + 1, np.uint64)
-    np.multiply(_BYTE_VALUES[data], up[: len(data)], out=sums[1:])
-    np.cumsum(sums[1:], out=sums[1:])
-    hashes = mixed((sums[ends] - sums[starts]) * down[starts])
+    sums = byte_sums(data)
+    hashes = mixed((sums[ends] - sums[starts]) * inverse_powers(starts))
     return starts, ends, hashes, np.searchsorted(starts, offsets)
 
 

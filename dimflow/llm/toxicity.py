@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dimflow.llm.common import _BYTE_VALUES, mixed, powers, slices, table, utf8
+from dimflow.llm.common import byte_sums, inverse_powers, mixed, slices, table, utf8
 from dimflow.session import cut_lineage
 
 #: The fit takes about so many labelled documents of each label, dealt by a hash of the id.
@@ -62,10 +62,8 @@ def tokens(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nda
     first[begins] = body[begins]
     last[begins[begins > 0] - 1] = body[begins[begins > 0] - 1]
     starts, ends = np.flatnonzero(first), np.flatnonzero(last) + 1
-    up, down = powers(len(data))
-    sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(_BYTE_VALUES[data] * up[: len(data)], out=sums[1:])
-    lower, scale = sums[starts], down[starts]
+    sums = byte_sums(data)
+    lower, scale = sums[starts], inverse_powers(starts)
     keys = np.zeros((1 + len(BEGINNINGS), len(starts)), np.uint64)
     keys[0] = mixed((sums[ends] - lower) * scale)
     for row, n in enumerate(BEGINNINGS, 1):
