@@ -193,10 +193,9 @@ def shared_counts(pairs: DataFrame, bits: int) -> DataFrame:
             for i in range(batch.num_rows):
                 theirs = numbers(batch.column("codes"), i, np.uint32).astype(np.int64)
                 mine, names = (numbers(batch.column(c), i) for c in ("q_codes", "q_names"))
-                n = np.empty((len(mine), BITS + 1 - bits), np.int64)
-                for level in range(bits, BITS + 1):
-                    low = mine >> (BITS - level) << (BITS - level)
-                    n[:, level - bits] = np.searchsorted(theirs, low + (1 << (BITS - level))) - np.searchsorted(theirs, low)
+                step = np.int64(1) << np.arange(BITS - bits, -1, -1)  # for each level
+                low = mine[:, None] & -step
+                n = np.searchsorted(theirs, low + step) - np.searchsorted(theirs, low)
                 for q, own in zip(names.tolist(), n):
                     sums[q] = sums[q] + own if q in sums else own
             if len(sums) > 10_000:
@@ -207,68 +206,64 @@ def shared_counts(pairs: DataFrame, bits: int) -> DataFrame:
 
 
 def candidates(pairs: DataFrame, bits: int) -> DataFrame:
-    """``query, block, places``: where in a block the strings lie that share the query's first bits in one tree.
+    """``query, block, places, bytes``: where in a block the strings lie that share the query's first bits in some tree.
 
-    No places stand for the whole block (which one segment is if there are no first bits)."""
+    An empty entry of ``places`` stands for the whole block (which one segment is if there are no first bits)."""
 
     def ranges(batches):
-        names = ("query", "block", "places")
-        kinds = (pa.int64(), pa.int64(), pa.binary())
-        rows: list[tuple[int, int, bytes]] = []
+        found: dict[tuple[int, int], list[bytes]] = {}
         size = 0
+
+        def flush():
+            if found:
+                joined = [b"" if b"" in some else b"".join(some) for some in found.values()]
+                query, block = (pa.array(x, pa.int64()) for x in zip(*found))
+                yield pa.RecordBatch.from_arrays([query, block, pa.array(joined, pa.binary())], names=["query", "block", "places"])
+            found.clear()
+
         for batch in batches:
             for i in range(batch.num_rows):
                 theirs = numbers(batch.column("codes"), i, np.uint32).astype(np.int64)
-                places = numbers(batch.column("places"), i, np.uint16)
+                places = batch.column("places")[i].as_py()
                 mine, asking, levels = (numbers(batch.column(c), i) for c in ("q_codes", "q_names", "q_levels"))
                 block = batch.column("block")[i].as_py()
                 step = np.int64(1) << (BITS - levels)
                 low = mine & -step
                 for q, a, b in zip(asking.tolist(), np.searchsorted(theirs, low).tolist(), np.searchsorted(theirs, low + step).tolist()):
                     if a < b:
-                        rows.append((q, block, b"" if bits == 0 and b - a == len(theirs) else places[a:b].tobytes()))
-                        size += 2 * (b - a) + 16
+                        found.setdefault((q, block), []).append(b"" if bits == 0 and b - a == len(theirs) else places[2 * a : 2 * b])
+                        size += 2 * (b - a) + 100
                 if size > CHUNK_BYTES:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names=names)
-                    rows, size = [], 0
-        if rows:
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names=names)
+                    yield from flush()
+                    size = 0
+        yield from flush()
 
-    return pairs.mapInArrow(ranges, "query long, block long, places binary")
+    found = pairs.mapInArrow(ranges, "query long, block long, places binary")
+    # At most two bytes for each tree and place of the block.
+    return found.groupBy("query", "block").agg(F.collect_list("places").alias("places"), F.sum(F.length("places")).alias("bytes"))
 
 
 def compared(blocks: DataFrame, found: DataFrame, queries: DataFrame, dim: int, kind: str, k: int) -> DataFrame:
     """``query, vec_id, score``: of each query and block, the k + 1 best candidates' ids.
 
     A block meets the queries that look for something in it, in chunks if that is much."""
-    size = F.sum(F.length("places") + 16 + 8 * dim)
-    chunks = found.groupBy("block").agg((F.floor(size / CHUNK_BYTES) + 1).alias("chunks"))
-    dealt = found.join(chunks, "block").withColumn("chunk", F.pmod(F.xxhash64("query"), F.col("chunks")).cast("long"))
-    dealt = dealt.select("block", "chunk", "query", "places")
-    asked = dealt.select("block", "chunk", "query").distinct().join(queries.select(F.col("class").alias("query"), "vector"), "query")
-    asked = asked.select("block", "chunk", "query", F.lit(None).cast("binary").alias("places"), "vector")
-    looked_for = dealt.withColumn("vector", F.lit(None).cast(asked.schema["vector"].dataType)).unionByName(asked)
-    copies = F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks").cast("long") - 1)).alias("chunk")
+    chunks = found.groupBy("block").agg((F.floor(F.sum(F.col("bytes") + 8 * dim) / CHUNK_BYTES) + 1).alias("chunks"))
+    looked_for = found.join(queries.select(F.col("class").alias("query"), "vector"), "query").join(chunks, "block")
+    looked_for = looked_for.select("block", F.pmod(F.xxhash64("query"), F.col("chunks")).alias("chunk"), "query", "places", "vector")
+    copies = F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)).alias("chunk")
     held = blocks.join(chunks, "block").select("block", copies, "vectors", "ids", "n_ids")
 
     def best(held: pa.Table, looked_for: pa.Table) -> pa.Table:
         out: list[tuple[int, int, float]] = []
         if held.num_rows and looked_for.num_rows:
-            (vectors, ids, n_ids) = (held.column(c).combine_chunks() for c in ("vectors", "ids", "n_ids"))
+            vectors, ids, n_ids = (held.column(c).combine_chunks() for c in ("vectors", "ids", "n_ids"))
             rows = scaled(numbers(vectors, 0, kind).astype(np.float64).reshape(-1, dim))
             ids, n_ids, long = numbers(ids, 0), numbers(n_ids, 0), norms(rows)
             ends = np.cumsum(n_ids)
-            places: dict[int, list[bytes]] = {}
-            asked: list[tuple[int, np.ndarray]] = []
-            for q, some, vector in zip(looked_for.column("query").to_pylist(), looked_for.column("places"), looked_for.column("vector")):
-                if some.is_valid:
-                    places.setdefault(q, []).append(some.as_py())
-                else:
-                    asked.append((q, vector.values.to_numpy(zero_copy_only=False)))
-            queries = scaled(np.array([v for _, v in asked], np.float64).reshape(-1, dim))
-            for (name, _), query in zip(asked, queries):
-                found = places[name]
-                at = np.arange(len(rows)) if b"" in found else np.unique(np.frombuffer(b"".join(found), np.uint16))
+            queries = matrix(looked_for.column("vector").combine_chunks(), dim)
+            for name, places, query in zip(looked_for.column("query").to_pylist(), looked_for.column("places"), queries):
+                places = places.as_py()
+                at = np.arange(len(rows)) if b"" in places else np.unique(np.frombuffer(b"".join(places), np.uint16))
                 # In double precision, row by row, so that equal rows have equal scores.
                 score = (rows[at] * query).sum(axis=1) / (long[at] * norms(query))
                 good = np.arange(len(at))
