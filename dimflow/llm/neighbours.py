@@ -247,7 +247,8 @@ def compared(blocks: DataFrame, found: DataFrame, queries: DataFrame, dim: int,
     """``query, vec_id, score``: of each query and block, the k + 1 best candidates' ids.
 
     A block meets the queries that look for something in it, in chunks if that is much."""
-    chunks = found.groupBy("block").agg((F.floor(F.sum(F.col("bytes") + 8 * dim) / CHUNK_BYTES) + 1).alias("chunks"))
+    # Written, as its real size then decides whether what it is joined to is shuffled for it.
+    chunks = cut_lineage(found.groupBy("block").agg((F.floor(F.sum(F.col("bytes") + 8 * dim) / CHUNK_BYTES) + 1).alias("chunks")))
     looked_for = found.join(queries.select(F.col("class").alias("query"), "vector"), "query").join(chunks, "block")
     looked_for = looked_for.select("block", F.pmod(F.xxhash64("query"), F.col("chunks")).alias("chunk"), "query", "places", "vector")
     copies = F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)).alias("chunk")
