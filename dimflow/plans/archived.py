@@ -18,6 +18,8 @@ from dimflow.session import scratch_folder
 # Two deliveries: everything before the first day, then everything before the second, which is
 # after the last row of the tables.
 DAYS = ("1999-01-01", "2002-01-01")
+#: Runs after the deliveries, without news.
+QUIET = ("2002-01-02 00:00:00", "2002-01-03 00:00:00")
 
 
 def new_root(spark: SparkSession) -> str:

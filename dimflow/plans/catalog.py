@@ -34,7 +34,14 @@ from dimflow.plans import archived, landed, monthly, reports
 from dimflow.plans import fixtures as fx
 from dimflow.plans.staging import build_staging
 from dimflow.plans.standardize import standardize, typed
-from dimflow.plans.warehouse import dim_customer, dim_plan, fact_activity, load_staging
+from dimflow.plans.warehouse import (
+    compact_customers,
+    dim_customer,
+    dim_plan,
+    fact_activity,
+    load_staging,
+    run_warehouse,
+)
 from dimflow.schemas import BAD_NDJSON, OK, UNKNOWN_FOLDER, layout
 from dimflow.session import cut_lineage
 from dimflow.sources.readers import read_archive
@@ -604,7 +611,10 @@ def staging_misfits(spark, sf_dir):
 @query
 def warehouse_customers(spark, sf_dir):
     """Customer versions after two daily runs, with the plan's natural key."""
-    root = archived.run_batches(spark, sf_dir)
+    return _versions(spark, archived.run_batches(spark, sf_dir))
+
+
+def _versions(spark, root):
     plans = dim_plan(spark, root).select("plan_sk", "plan_id", "monthly_price", "roaming_enabled")
     versions = dim_customer(spark, root).join(plans, "plan_sk", "left")
     return versions.select(
@@ -613,6 +623,16 @@ def warehouse_customers(spark, sf_dir):
     )
 
 
+@query
+def warehouse_customers_compacted(spark, sf_dir):
+    """The same after two runs without news, when the open versions of the first two runs are gone."""
+    root = archived.run_batches(spark, sf_dir)
+    for run_ts in archived.QUIET:
+        run_warehouse(spark, root, run_ts)
+    compact_customers(spark, root)
+    return _versions(spark, root)
+
+
 @query
 def warehouse_facts(spark, sf_dir):
     """Facts after two daily runs, with the start of the customer version they point to."""

@@ -794,6 +794,8 @@ FROM versions v LEFT JOIN plans p ON v.plan_id = p.plan_id
 """
 )
 
+ORACLE["warehouse_customers_compacted"] = ORACLE["warehouse_customers"]
+
 ORACLE["warehouse_facts"] = (
     _WAREHOUSE
     + f"""

@@ -14,6 +14,7 @@ from dimflow.operators.latest import collapse_copies
 from dimflow.operators.metrics import record_counts, summary_json
 from dimflow.operators.quality import bad_reason, split_records
 from dimflow.schemas import DATASETS, RECORD_KEYS, REQUIRED_KEYS, layout
+from dimflow.session import cut_lineage
 from dimflow.sources.readers import read_archive
 from dimflow.sources.writers import read_runs, write_run
 
@@ -68,7 +69,8 @@ def standardize(
         rows = typed(
             read_archive(spark, root, dataset, first_day, last_day), dataset, stamp(run_ts)
         )
-        good, bad = split_records(rows, REQUIRED_KEYS[dataset])
+        # Good and bad records are two writes; the archive is parsed once for both.
+        good, bad = split_records(cut_lineage(rows), REQUIRED_KEYS[dataset])
         kept = collapse_copies(
             good.drop("raw_line"), [RECORD_KEYS[dataset]], ["archive_date", "source_file"]
         )

@@ -19,11 +19,12 @@ from dimflow.operators.facts import new_facts
 from dimflow.operators.keys import assign_keys
 from dimflow.operators.metrics import row_counts
 from dimflow.operators.plan_dim import refreshed_plans
-from dimflow.operators.scd2 import CLOSED, OPENED, START, scd2_apply
+from dimflow.operators.scd2 import CLOSED, KEPT, OPENED, START, scd2_apply
 from dimflow.plans.facts_by_month import AT, MONTH, append_facts, month_of, not_in_fact, read_facts
 from dimflow.plans.key_registry import known_keys, last_key, register, set_last_key
 from dimflow.schemas import TRACKED, layout
 from dimflow.session import cut_lineage
+from dimflow.sources.files import Files
 from dimflow.sources.readers import read_parquet, read_staged
 from dimflow.sources.writers import (
     RUN,
@@ -85,6 +86,7 @@ def dim_customer(
     ends at the time of the run that closed it, so the folders of earlier runs are not read.
     """
     runs = published_before(spark, _runs(root)) if runs is None else runs
+    _check_kept(spark, root, runs)
     closing = [run for run in runs if since is None or run[: len(since)] >= since]
     closed = (F.col("change") == CLOSED) & F.col(RUN).isin(closing)
     current = (F.col("change") != CLOSED) & F.col(RUN).isin(runs[-1:])
@@ -92,6 +94,40 @@ def dim_customer(
     return every.filter(closed | current).drop(RUN, "change")
 
 
+def _compacted(root: str) -> str:
+    return f"{root}/warehouse/compacted/dim_customer"
+
+
+def _check_kept(spark: SparkSession, root: str, runs: list[str]) -> None:
+    """Runs whose open versions are gone cannot be the last of those that are read."""
+    if runs and runs[-1] in published_before(spark, _compacted(root)):
+        raise ValueError(f"the open versions of run {runs[-1]} were compacted; later runs hold the history")
+
+
+def compact_customers(spark: SparkSession, root: str, keep: int = 2) -> list[str]:
+    """Remove the open versions of all but the last ``keep`` complete runs; returns those runs.
+
+    Every run writes its open versions anew, so those of earlier runs repeat what later ones hold, and storage would
+    follow runs times customers. Closed versions are written once and stay, so the history as of the runs that are
+    kept is unchanged. At least two runs are kept: the last can then be repeated, and who reads as of it is not
+    disturbed by one that follows. Runs are marked before anything is deleted, and reading as of a marked run is an
+    error. A call that stopped is finished by the next one.
+    """
+    if keep < 2:
+        raise ValueError("at least two runs must keep their open versions")
+    superseded = published_before(spark, _runs(root))[:-keep]
+    marked = set(published_before(spark, _compacted(root)))
+    if new := [run for run in superseded if run not in marked]:
+        marks = spark.createDataFrame([(run,) for run in new], f"{RUN} string")
+        marks.coalesce(1).write.mode("append").parquet(_compacted(root))
+    files = Files(spark, f"{root}/warehouse/dim_customer")
+    for run in superseded:
+        for change in (KEPT, OPENED):
+            if files.exists(folder := f"{RUN}={run}/change={change}"):
+                files.delete(folder)
+    return superseded
+
+
 def _customer_runs(spark: SparkSession, root: str, required: bool = False) -> DataFrame:
     fields = [*layout("dim_customer").fields, T.StructField("change", T.StringType())]
     return read_runs(spark, f"{root}/warehouse/dim_customer", T.StructType(fields), required)
@@ -144,6 +180,7 @@ def load_dim_customer(
 ) -> None:
     run, registry = run_id(run_ts), _keys(root, "dim_customer")
     last = spark.createDataFrame([], layout("dim_customer"))
+    _check_kept(spark, root, before)
     if before:
         every = _customer_runs(spark, root, required=True)
         last = every.filter((F.col(RUN) == before[-1]) & (F.col("change") != CLOSED))
@@ -189,6 +226,7 @@ def run_warehouse(
     """
     run = run_id(run_ts)
     before = published_before(spark, _runs(root), run)
+    _check_kept(spark, root, before)
     misfits = load_staging(spark, root)
     misfits.coalesce(1).write.mode("overwrite").json(f"{root}/metrics/load_staging/run_id={run}")
     load_dim_plan(spark, root, run_ts, before)

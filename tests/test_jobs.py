@@ -13,6 +13,7 @@ from dimflow.plans.key_registry import known_keys, last_key, register
 from dimflow.plans.staging import build_staging
 from dimflow.plans.standardize import standardize
 from dimflow.plans.warehouse import (
+    compact_customers,
     dim_customer,
     dim_plan,
     fact_activity,
@@ -115,6 +116,42 @@ def test_three_days(spark, rows, day_one):
     assert kept == sorted([(r[0], r[1], r[9], r[10]) for r in before[0]], key=repr)
 
 
+def test_compaction_keeps_the_history(spark, rows, day_one):
+    root = str(day_one)
+    run_day(spark, root, "2025-05-02 02:00:00")
+    archive(day_one, "customers", "2025-05-02", "c.ndjson", customer("c1", "P003"), customer("c4", "P001"))
+    run_day(spark, root, "2025-05-03 02:00:00", dt.date(2025, 5, 2))
+    assert compact_customers(spark, root) == []
+    run_warehouse(spark, root, "2025-05-04 02:00:00")
+    before = rows(dim_customer(spark, root))
+    first, second, third = published_before(spark, f"{root}/warehouse/runs")
+    as_of_second = rows(dim_customer(spark, root, [first, second]))
+    table = day_one / "warehouse" / "dim_customer"
+    for _ in range(2):
+        assert compact_customers(spark, root) == [first]
+        assert not list(table.glob(f"run_id={first}/change=*")) and {p.name for p in table.glob(f"run_id={second}/change=*")} == {
+            "change=closed", "change=kept", "change=opened",
+        }
+        assert rows(dim_customer(spark, root)) == before and len(before) == 5
+        assert rows(dim_customer(spark, root, [first, second])) == as_of_second
+    with pytest.raises(ValueError, match="compacted"):
+        dim_customer(spark, root, [first])
+    with pytest.raises(ValueError, match="compacted"):
+        run_warehouse(spark, root, "2025-05-03 02:00:00")
+    with pytest.raises(ValueError, match="at least two"):
+        compact_customers(spark, root, keep=1)
+    # The last run can be repeated, and the next one goes on from it.
+    run_warehouse(spark, root, "2025-05-04 02:00:00")
+    assert rows(dim_customer(spark, root)) == before
+    run_day(spark, root, "2025-05-05 02:00:00", dt.date(2025, 5, 2))
+    assert compact_customers(spark, root) == [first, second]
+    assert rows(dim_customer(spark, root)) == before
+    # A mark whose folders were not deleted yet: the next call deletes them.
+    (table / f"run_id={first}" / "change=kept").mkdir(parents=True)
+    compact_customers(spark, root)
+    assert not (table / f"run_id={first}" / "change=kept").exists()
+
+
 def test_a_run_that_stops_half_way_is_not_seen(spark, rows, day_one):
     root = str(day_one)
     run_day(spark, root, "2025-05-02 02:00:00")
