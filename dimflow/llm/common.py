@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -14,6 +15,14 @@ from pyspark.sql import functions as F
 SLICE_BYTES = 4 << 20
 
 
+#: Arrays above this size go back to the system as soon as they are freed. Without it a worker that waits for its next
+#: task keeps what the largest slice took (glibc raises its own limit to 32 MB). Other C libraries go without.
+GIVEN_BACK_BYTES = 1 << 20
+_M_MMAP_THRESHOLD = -3
+if hasattr(_libc := ctypes.CDLL(None), "mallopt"):
+    _libc.mallopt(_M_MMAP_THRESHOLD, GIVEN_BACK_BYTES)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -38,6 +47,7 @@ def slices(batches: Iterator[pa.RecordBatch], max_bytes: int = SLICE_BYTES) -> I
             stop = max(start + 1, int(np.searchsorted(ends, before + max_bytes, side="right")))
             yield batch.slice(start, stop - start)
             start = stop
+    pa.default_memory_pool().release_unused()
 
 
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
