@@ -3,10 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from dimflow.session import cut_lineage
+
+#: Up to this share of rows whose key comes again, only they are shuffled whole.
+FEW_COPIES = 0.1
+
 
 def newest_first(df: DataFrame, keys: Sequence[str], lead: Sequence[str]) -> list[str]:
     """A total order: the leading columns, then every other column as tie-break."""
@@ -33,3 +39,27 @@ def collapse_copies(df: DataFrame, keys: Sequence[str], lead: Sequence[str]) ->
     packed = F.struct(*newest_first(df, keys, lead))
     best = df.groupBy(*keys).agg(F.max(packed).alias("_best"), F.count(F.lit(1)).alias("copies"))
     return best.select(*[c if c in keys else F.col(f"_best.{c}") for c in df.columns], "copies")
+
+
+def _by_copies(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame | None, DataFrame | None]:
+    """Rows whose key comes once, and those whose key comes again; None for none, and for the first if the others
+    are many. Keys alone are shuffled and counted for it, partial per task. ``df`` is read up to four times."""
+    counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_copies")).filter("_copies > 1")
+    again = cut_lineage(counted.toDF(*[f"_key_{i}" for i in range(len(keys))], "_copies"))
+    copies = again.agg(F.sum("_copies")).first()[0]
+    if copies is None:
+        return df, None
+    if copies > FEW_COPIES * df.count():
+        return None, df
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_key_{i}")) for i, k in enumerate(keys)])
+    return df.join(again, same, "left_anti"), df.join(again, same, "left_semi")
+
+
+def collapse_few_copies(df: DataFrame, keys: Sequence[str], lead: Sequence[str]) -> DataFrame:
+    """As ``collapse_copies``, for a table most of whose keys come once: their rows are not shuffled."""
+    alone, copies = _by_copies(df, keys)
+    single = None if alone is None else alone.withColumn("copies", F.lit(1).cast("bigint"))
+    if copies is None:
+        return single
+    collapsed = collapse_copies(copies, keys, lead)
+    return collapsed if single is None else single.unionByName(collapsed)

@@ -39,12 +39,12 @@ def _customers(spark: SparkSession, sf_dir: str, day: str) -> DataFrame:
     )
 
 
-def _activity(spark: SparkSession, sf_dir: str, day: str) -> DataFrame:
-    """All activity before that day, so the second delivery repeats the first."""
-    events = fx.activity(spark, sf_dir).filter(
-        F.col("event_timestamp") < F.lit(day).cast("timestamp_ntz")
+def _activity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of each delivery, named by ``ingest_date``, all activity before its day, so the second repeats the first."""
+    days = F.filter(
+        F.array(*map(F.lit, DAYS)), lambda day: F.col("event_timestamp") < day.cast("timestamp_ntz")
     )
-    return events.select(
+    return fx.activity(spark, sf_dir).withColumn("ingest_date", F.explode(days)).select(
         "event_id",
         F.when(F.col("customer_id") % 17 != 0, F.col("customer_id").cast("string"))
         .alias("customer_id"),
@@ -53,6 +53,7 @@ def _activity(spark: SparkSession, sf_dir: str, day: str) -> DataFrame:
         "device_type",
         "network_type",
         F.struct(F.col("event_type").alias("flag")).alias("payload"),
+        "ingest_date",
     )
 
 
@@ -71,9 +72,11 @@ def _plans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def archive_batches(spark: SparkSession, sf_dir: str, root: str) -> None:
+    """Compressed files of all deliveries; the activity is made once for all of them."""
+    activity = _activity(spark, sf_dir).write.partitionBy("ingest_date")
+    activity.json(f"{root}/archive/activity_logs", compression="gzip")
     for day in DAYS:
-        _customers(spark, sf_dir, day).write.json(f"{root}/archive/customers/{day}")
-        _activity(spark, sf_dir, day).write.json(f"{root}/archive/activity_logs/{day}")
+        _customers(spark, sf_dir, day).write.json(f"{root}/archive/customers/{day}", compression="gzip")
         _plans(spark, sf_dir).write.option("header", True).csv(f"{root}/archive/plans/{day}")
 
 

@@ -16,7 +16,8 @@ from dimflow.schemas import DATASETS
 from dimflow.sources.writers import write_snapshot
 
 NEWEST = ["ingestion_ts", "archive_date"]
-_NOT_STAGED = ("copies", "run_id", "archive_date")
+# A run keeps one row of a key, and runs differ in their stamp: these two decide nothing.
+_NOT_ASKED = ("copies", "run_id")
 
 
 def build_staging(
@@ -31,11 +32,11 @@ def build_staging(
     ``activity_from`` leaves out activity of older archive dates, whose folders are not read:
     the fact load is idempotent, so loaded activity need not be staged again.
     """
-    clean = {name: read_clean(spark, root, name) for name in DATASETS}
+    clean = {name: read_clean(spark, root, name).drop(*_NOT_ASKED) for name in DATASETS}
     staged = {name: f"{root}/staging/{name}" for name in ("customers", "activity", "plans")}
 
     plans = keep_latest(clean["plans"], ["plan_id"], NEWEST)
-    write_snapshot(plans.drop(*_NOT_STAGED), staged["plans"])
+    write_snapshot(plans.drop("archive_date"), staged["plans"])
 
     customers = keep_latest(clean["customers"], ["customer_id"], NEWEST)
     write_snapshot(
@@ -45,7 +46,7 @@ def build_staging(
     activity = clean["activity_logs"]
     if activity_from is not None:
         activity = activity.filter(F.col("archive_date") >= F.lit(activity_from))
-    unique = keep_latest(activity, ["event_id"], NEWEST).drop(*_NOT_STAGED)
+    unique = keep_latest(activity, ["event_id"], NEWEST).drop("archive_date")
     write_snapshot(
         with_current_plan(unique, spark.read.parquet(staged["customers"])), staged["activity"]
     )

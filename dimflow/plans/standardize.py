@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from dimflow.functions.values import parsed_ts, run_id, stamp
-from dimflow.operators.latest import collapse_copies
+from dimflow.operators.latest import collapse_few_copies
 from dimflow.operators.metrics import record_counts, summary_json
 from dimflow.operators.quality import bad_reason, split_records
 from dimflow.schemas import DATASETS, RECORD_KEYS, REQUIRED_KEYS, layout
@@ -24,6 +24,9 @@ TIMES = {
     "activity_logs": ("event_timestamp", "event_ts"),
 }
 
+#: Up to so many archive dates a run's tasks write into all their folders.
+FEW_DATES = 4
+
 
 def clean_layout(dataset: str) -> T.StructType:
     """Columns of a clean table, without those that are in its folder names."""
@@ -70,12 +73,15 @@ def standardize(
             read_archive(spark, root, dataset, first_day, last_day), dataset, stamp(run_ts)
         )
         # Good and bad records are two writes; the archive is parsed once for both.
-        good, bad = split_records(cut_lineage(rows), REQUIRED_KEYS[dataset])
-        kept = collapse_copies(
-            good.drop("raw_line"), [RECORD_KEYS[dataset]], ["archive_date", "source_file"]
-        )
+        rows = cut_lineage(rows)
+        few = rows.select("archive_date").distinct().limit(FEW_DATES + 1).count() <= FEW_DATES
+        good, bad = split_records(rows, REQUIRED_KEYS[dataset])
+        # The stamp is the same for all rows, so it is not shuffled.
+        kept = collapse_few_copies(
+            good.drop("raw_line", "ingestion_ts"), [RECORD_KEYS[dataset]], ["archive_date", "source_file"]
+        ).withColumn("ingestion_ts", stamp(run_ts))
         clean, quarantine = f"{root}/clean/{dataset}", f"{root}/clean/bad_records/{dataset}"
-        write_run(kept.drop("source_file"), clean, run, ["archive_date"])
+        write_run(kept.drop("source_file"), clean, run, ["archive_date"], spread=not few)
         reasoned = bad.withColumn("reason", bad_reason(REQUIRED_KEYS[dataset]))
         write_run(reasoned, quarantine, run)
         counts.append(

@@ -19,6 +19,10 @@ SETTINGS = {
 }
 
 
+#: Of Parquet that jobs write: about two thirds of the bytes of Spark's own choice, for little more time.
+CODEC = "zstd"
+
+
 def apply_settings(spark: SparkSession) -> SparkSession:
     for name, value in SETTINGS.items():
         spark.conf.set(name, value)
@@ -46,5 +50,5 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{scratch_folder(spark)}/dimflow-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.parquet(path, compression=CODEC)
     return spark.read.schema(df.schema).parquet(path)

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from dimflow.session import CODEC
 from dimflow.sources.readers import or_empty
 
 RUN = "run_id"
@@ -15,18 +16,19 @@ RUN = "run_id"
 
 def write_snapshot(df: DataFrame, path: str) -> None:
     """Replace the whole folder. ``df`` must not read from it."""
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").parquet(path, compression=CODEC)
 
 
-def write_run(df: DataFrame, path: str, run: str, by: Sequence[str] = ()) -> None:
+def write_run(df: DataFrame, path: str, run: str, by: Sequence[str] = (), spread: bool = True) -> None:
     """Add the rows of one run to an append-only table, replacing an earlier try of the run.
 
     With ``by`` the rows are first spread so that each folder gets files of a good size, a
-    folder with a large share of the rows being split over several tasks.
+    folder with a large share of the rows being split over several tasks. Without ``spread``
+    each task writes into all folders, which saves a shuffle where these are few.
     """
-    if by:
+    if by and spread:
         df = df.hint("rebalance", *by)
-    df.write.mode("overwrite").partitionBy(*by).parquet(f"{path}/{RUN}={run}")
+    df.write.mode("overwrite").partitionBy(*by).parquet(f"{path}/{RUN}={run}", compression=CODEC)
 
 
 def read_runs(

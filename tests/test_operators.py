@@ -438,3 +438,15 @@ def test_monthly_counts_are_kept_by_run(spark, rows, tmp_path):
     told = rows(monthly_report(spark, path, key_type), "month", "events", "change")
     assert told == [(dt.datetime(2024, 1, 1), 3, None), (dt.datetime(2024, 2, 1), 1, -2), (dt.datetime(2024, 3, 1), 1, 0)]
     assert not (tmp_path / "monthly/counts/run_id=2/month_of=2024-02").exists()  # not counted again
+
+
+@pytest.mark.parametrize("singles", [0, 3, 40])
+def test_rows_without_copies_stay_where_they_are(spark, rows, singles):
+    from dimflow.operators.latest import collapse_few_copies
+
+    alone = [(f"s{i}", i, 1, "x") for i in range(singles)]
+    df = spark.createDataFrame([*alone, (None, 1, 2, "a"), (None, 1, 3, "b"), ("k", None, 1, "c")], "k string, n int, at int, v string")
+    assert rows(collapse_few_copies(df, ["k", "n"], ["at"])) == rows(collapse_copies(df, ["k", "n"], ["at"]))
+    got = collapse_few_copies(df.filter("v <> 'a'"), ["k", "n"], ["at"])
+    assert "Exchange" not in got._jdf.queryExecution().executedPlan().toString()
+    assert got.filter("copies = 1").count() == singles + 2
