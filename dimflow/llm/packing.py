@@ -25,7 +25,7 @@ CAPACITY = 2048
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 0
 #: Words kept with their ids in each worker; the store is emptied when full.
-KEPT_WORDS = 200_000
+KEPT_WORDS = 400_000
 #: Bytes of text that are tokenized at once.
 SLICE = 1 << 20
 #: Pieces of one length are ranked in parts of about so many, at least so many parts.
@@ -75,7 +75,7 @@ class Words:
         known = self.known
         if len(known) > KEPT_WORDS:
             known.clear()
-        letters = []
+        letters, others = [], []
         for word in words:
             if word in known:
                 continue
@@ -83,7 +83,11 @@ class Words:
             if text.isalpha() and text.lower().isalpha() and "Σ" not in text:
                 letters.append((word, text))
             else:
-                known[word] = self.one(word)
+                others.append((word, text))
+        for i in range(0, len(others), 4096):
+            part = others[i : i + 4096]
+            for (word, _), found in zip(part, self.model.encode_batch_fast([t for _, t in part], add_special_tokens=False)):
+                known[word] = np.array(found.ids, "<u4").tobytes()
         for i in range(0, len(letters), 256):
             part = letters[i : i + 256]
             ids = np.array(self.model.encode_batch_fast([" ".join(t for _, t in part)], add_special_tokens=False)[0].ids, "<u4")

@@ -577,3 +577,16 @@ def test_pipeline_equals_brute_force(spark):
     rows = [(r.doc_id, r.text, r.lang) for r in spark.read.parquet(f"{SMALL}/documents.parquet").collect()]
     check_packing(found, plain_pipeline(rows), 2048)
     assert all(zlib.crc32(np.array(r.ids, "<u4").tobytes()) == r.ids_crc32 and len(r.ids) == r.length for r in found)
+
+
+def test_words_that_are_not_letters_are_encoded_together():
+    import public_tokenizers
+
+    from dimflow.llm import packing
+
+    words = packing.Words(public_tokenizers.path(packing.TOKENIZER))
+    words.one = None  # no word goes through the tokenizer by itself
+    some = [b"12,5", b"a-b", b"x1", b"?!", "naïve-é".encode(), b"\xff\xfe"]
+    words.learn([*some, b"12,5"])
+    fresh = packing.Words(public_tokenizers.path(packing.TOKENIZER))
+    assert {w: words.known[w] for w in some} == {w: fresh.one(w) for w in some}
