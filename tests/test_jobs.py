@@ -419,7 +419,7 @@ def test_last_batches_hold_every_row(spark):
 def test_a_run_shuffles_and_writes_no_more_than_it_must(spark, rows, tmp_path):
     from dimflow.plans import archived
 
-    orders = spark.sql("SELECT id AS o_orderkey, id % 3 AS o_custkey FROM range(20)")
+    orders = spark.sql("SELECT id AS o_orderkey, id % 3 + 1 AS o_custkey FROM range(20)")
     lines = spark.sql("""SELECT id AS l_orderkey, 1 AS l_linenumber, id AS l_partkey, id AS l_suppkey, 1D AS l_quantity,
         1D AS l_extendedprice, 0D AS l_discount, 0D AS l_tax, 'N' AS l_returnflag, 'O' AS l_linestatus,
         CAST(IF(id < 8, '1998-01-01', IF(id < 18, '2000-01-01', NULL)) AS TIMESTAMP_NTZ) AS l_shipdate FROM range(20)""")
