@@ -55,6 +55,17 @@ def _by_copies(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame | None, Da
     return df.join(again, same, "left_anti"), df.join(again, same, "left_semi")
 
 
+def keep_latest_of_runs(df: DataFrame, key: str, run: str, lead: Sequence[str]) -> DataFrame:
+    """As ``keep_latest`` for the rows of several runs, none of which has a key twice, if the order of ``run`` is that
+    of the first of ``lead``. Rows of the last run stay where they are; only its keys and older rows are shuffled."""
+    last = df.agg(F.max(run)).first()[0]
+    if last is None:
+        return df
+    newest, older = df.filter(F.col(run) == last), df.filter(F.col(run) != last)
+    left = older.join(newest.select(key), key, "left_anti").select(*df.columns)
+    return newest.unionByName(keep_latest(left, [key], lead))
+
+
 def collapse_few_copies(df: DataFrame, keys: Sequence[str], lead: Sequence[str]) -> DataFrame:
     """As ``collapse_copies``, for a table most of whose keys come once: their rows are not shuffled."""
     alone, copies = _by_copies(df, keys)

@@ -111,9 +111,14 @@ def activity_columns(shipments: DataFrame) -> list[Column]:
 
 
 def activity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Unique shipments with their customer."""
+    """Unique shipments with their customer.
+
+    Lines are dealt by order once, for their copies and for the join. Cutting them down before the shuffle, as for
+    ``unique_shipments``, would sort whole splits of them, which spills, and shuffle what is left of them again.
+    """
     owners = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
-    shipped = unique_shipments(spark, sf_dir)
+    dealt = raw_shipments(spark, sf_dir).filter("l_orderkey IS NOT NULL").repartition("l_orderkey")
+    shipped = keep_latest(dealt, ["l_orderkey", "l_linenumber"], ACTIVITY_ORDER)
     return shipped.join(owners, F.col("l_orderkey") == F.col("o_orderkey")).select(
         F.col("o_custkey").alias("customer_id"), *activity_columns(shipped)
     )

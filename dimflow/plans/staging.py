@@ -9,15 +9,19 @@ from pyspark.sql import functions as F
 
 from dimflow.functions.values import run_id, stamp
 from dimflow.operators.enrich import with_current_plan, with_plan_attributes
-from dimflow.operators.latest import keep_latest
+from dimflow.operators.latest import keep_latest_of_runs
 from dimflow.operators.metrics import row_counts, summary_json
 from dimflow.plans.standardize import read_clean
 from dimflow.schemas import DATASETS
-from dimflow.sources.writers import write_snapshot
+from dimflow.sources.writers import RUN, write_snapshot
 
 NEWEST = ["ingestion_ts", "archive_date"]
-# A run keeps one row of a key, and runs differ in their stamp: these two decide nothing.
-_NOT_ASKED = ("copies", "run_id")
+# A run keeps one row of a key, and runs differ in their stamp: these two decide nothing more.
+_NOT_ASKED = ("copies", RUN)
+
+
+def _latest(clean: DataFrame, key: str) -> DataFrame:
+    return keep_latest_of_runs(clean, key, RUN, NEWEST).drop(*_NOT_ASKED)
 
 
 def build_staging(
@@ -32,13 +36,13 @@ def build_staging(
     ``activity_from`` leaves out activity of older archive dates, whose folders are not read:
     the fact load is idempotent, so loaded activity need not be staged again.
     """
-    clean = {name: read_clean(spark, root, name).drop(*_NOT_ASKED) for name in DATASETS}
+    clean = {name: read_clean(spark, root, name) for name in DATASETS}
     staged = {name: f"{root}/staging/{name}" for name in ("customers", "activity", "plans")}
 
-    plans = keep_latest(clean["plans"], ["plan_id"], NEWEST)
+    plans = _latest(clean["plans"], "plan_id")
     write_snapshot(plans.drop("archive_date"), staged["plans"])
 
-    customers = keep_latest(clean["customers"], ["customer_id"], NEWEST)
+    customers = _latest(clean["customers"], "customer_id")
     write_snapshot(
         with_plan_attributes(customers, spark.read.parquet(staged["plans"])), staged["customers"]
     )
@@ -46,7 +50,7 @@ def build_staging(
     activity = clean["activity_logs"]
     if activity_from is not None:
         activity = activity.filter(F.col("archive_date") >= F.lit(activity_from))
-    unique = keep_latest(activity, ["event_id"], NEWEST).drop("archive_date")
+    unique = _latest(activity, "event_id").drop("archive_date")
     write_snapshot(
         with_current_plan(unique, spark.read.parquet(staged["customers"])), staged["activity"]
     )

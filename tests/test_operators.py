@@ -13,13 +13,14 @@ from dimflow.operators.enrich import with_current_plan, with_plan_attributes, wi
 from dimflow.operators.facts import new_facts, not_loaded, point_in_time_join
 from dimflow.operators.heavy import heavy_keys, slot_at, with_heavy
 from dimflow.operators.keys import assign_keys, stable_keys
-from dimflow.operators.latest import collapse_copies, keep_latest
+from dimflow.operators.latest import collapse_copies, keep_latest, keep_latest_of_runs
 from dimflow.operators.metrics import record_counts, summary_json
 from dimflow.operators.plan_dim import appended_plans, current_count, refreshed_plans
 from dimflow.operators.quality import labelled, split_records
 from dimflow.operators.ranks import ranked
 from dimflow.operators.scd2 import scd2_apply, scd2_history
 from dimflow.operators.splice import scd2_splice
+from dimflow.plans import fixtures as fx
 from dimflow.plans.monthly import add_events, monthly_report
 from dimflow.plans.reports import plan_usage
 from dimflow.plans.standardize import typed
@@ -73,6 +74,38 @@ def test_latest_row_is_cut_down_before_the_shuffle(spark):
     assert plan.count("WindowGroupLimit") == 2
 
 
+def test_latest_of_runs_leaves_the_last_run_where_it_is(spark, rows):
+    data = [("a", 1, "x", "r1"), ("b", 1, "y", "r1"), ("d", 1, "u", "r1"), ("a", 2, "z", "r2"), ("b", 2, None, "r3"), ("c", 2, "w", "r3")]
+    df = spark.createDataFrame(data, "k string, at int, v string, run string")
+    assert rows(keep_latest_of_runs(df, "k", "run", ["at"])) == rows(keep_latest(df, ["k"], ["at"]))
+    assert rows(keep_latest_of_runs(df.limit(0), "k", "run", ["at"])) == []
+
+
+def test_rows_of_the_last_run_are_not_sorted(spark, rows, tmp_path):
+    path = str(tmp_path / "clean")
+    data = [("a", 1, "r1"), ("b", 1, "r1"), ("a", 2, "r2")]
+    spark.createDataFrame(data, "k string, at int, run string").write.partitionBy("run").parquet(path)
+    latest = keep_latest_of_runs(spark.read.parquet(path), "k", "run", ["at"])
+    assert rows(latest, "k", "at", "run") == [("a", 2, "r2"), ("b", 1, "r1")]
+    plan = latest._jdf.queryExecution().optimizedPlan()
+    assert plan.nodeName() == "Union"
+    newest = plan.children().apply(0).toString()
+    assert "Relation" in newest and "Window" not in newest and "Join" not in newest
+
+
+def test_activity_is_dealt_by_order_once(spark, rows, tmp_path):
+    lines = [(1, 1, "1995-01-01", "N"), (1, 1, "1995-01-02", "R"), (1, 2, "1995-01-01", "A"), (2, 1, "1995-01-01", "A"), (None, 1, "1995-01-01", "A")]
+    columns = "l_orderkey bigint, l_linenumber int, l_shipdate string, l_returnflag string"
+    others = {c: F.lit(1) for c in ("l_partkey", "l_suppkey", "l_extendedprice", "l_quantity", "l_discount", "l_tax", "l_linestatus")}
+    items = spark.createDataFrame(lines, columns).withColumns(others)
+    items.withColumn("l_shipdate", F.col("l_shipdate").cast("timestamp_ntz")).write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.createDataFrame([(1, 7), (3, 8)], "o_orderkey bigint, o_custkey bigint").write.parquet(f"{tmp_path}/orders.parquet")
+    found = fx.activity(spark, str(tmp_path))
+    assert rows(found, "customer_id", "event_id", "event_type") == [(7, "1-1", "R"), (7, "1-2", "A")]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("hashpartitioning(l_orderkey") == 1 and "l_linenumber" not in plan.split("hashpartitioning(")[1].split(")")[0]
+
+
 def test_names_and_defaults(spark, rows):
     assert [snake_case(n) for n in ("Customer ID", "customerId", "HTTPCode", " plan-name ")] == [
         "customer_id", "customer_id", "http_code", "plan_name",
