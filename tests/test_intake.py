@@ -4,6 +4,7 @@ import gzip
 import json
 import os
 import random
+import re
 import time
 from pathlib import Path
 
@@ -363,3 +364,11 @@ def test_keys_and_uris_decode(spark):
     frame = spark.createDataFrame([("a+b%20c%2Bd",), ("100%",)], "k string")
     got = frame.select(decoded_key(F.col("k")), decoded_uri(F.col("k"))).collect()
     assert [tuple(r) for r in got] == [("a b c+d", "a+b c+d"), ("100%", "100%")]
+
+
+def test_lines_of_csv_files_are_dealt_once(spark):
+    schema = "uri string, line_no struct<start:bigint,row:bigint>, value string"
+    frame = spark.createDataFrame([("raw/plans/a.csv", (0, 0), "plan_id"), ("raw/plans/a.csv", (100, 0), "P1")], schema)
+    plan = csv_rows(frame)._jdf.queryExecution().executedPlan().toString()
+    # A window over a field of the struct deals by a column of its own, `_w0`, and the next one deals again.
+    assert "hashpartitioning(uri" in plan and not re.search(r"hashpartitioning\([^)]*_w\d", plan)
