@@ -65,12 +65,12 @@ def land(spark: SparkSession, lines: DataFrame, root: str, number: int) -> None:
     files = lines.repartition("folder", "file").sortWithinPartitions("folder", "file", "doc_id", "line_no")
     files.select("value", "folder", "file").write.partitionBy("folder", "file").text(written)
     store = Files(spark, root)
-    for path in spark.read.text(written).inputFiles():
-        below = path[path.index(f"landing/{number}/") :]
-        folder, file = re.search("folder=([^/]+)/file=([^/]+)/", below).groups()
-        store.move(below, f"raw/{folder}/{file}")
-        if number > 1:
-            store.set_modified(f"raw/{folder}/{file}", OLD)
+    below = [path[path.index(f"landing/{number}/") :] for path in spark.read.text(written).inputFiles()]
+    named = [re.search("folder=([^/]+)/file=([^/]+)/", path).groups() for path in below]
+    places = [f"raw/{folder}/{file}" for folder, file in named]
+    store.move_all(zip(below, places))
+    if number > 1:
+        store.set_all_modified(places, OLD)
 
 
 def taken_in(spark: SparkSession, sf_dir: str, root: str) -> list[str]:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import SparkSession
@@ -37,6 +37,9 @@ class Files:
     def set_modified(self, name: str, milliseconds: int) -> None:
         self._system.setTimes(self._path(name), milliseconds, -1)
 
+    def set_all_modified(self, names: Iterable[str], milliseconds: int) -> None:
+        self._all(self.set_modified, ((name, milliseconds) for name in names))
+
     def move(self, source: str, target: str) -> None:
         """Move a file, replacing the target. A source that is gone was moved by an earlier try."""
         here, there = self._path(source), self._path(target)
@@ -50,10 +53,13 @@ class Files:
 
     def move_all(self, pairs: Iterable[tuple[str, str]]) -> None:
         """Move many files; pairs are taken from the iterator a few at a time."""
+        self._all(self.move, pairs)
+
+    def _all(self, call: Callable, arguments: Iterable[tuple]) -> None:
         with ThreadPoolExecutor(THREADS) as pool:
             waiting = []
-            for source, target in pairs:
-                waiting.append(pool.submit(self.move, source, target))
+            for given in arguments:
+                waiting.append(pool.submit(call, *given))
                 if len(waiting) >= 64 * THREADS:
                     for done in waiting:
                         done.result()
