@@ -12,6 +12,8 @@ from dimflow.session import cut_lineage
 
 #: Up to this share of rows whose key comes again, only they are shuffled whole.
 FEW_COPIES = 0.1
+#: About as many whole rows a task sorts in memory. Stored rows are packed so well that a split of them does not tell.
+SORTED_ROWS = 500_000
 
 
 def newest_first(df: DataFrame, keys: Sequence[str], lead: Sequence[str]) -> list[str]:
@@ -41,18 +43,16 @@ def collapse_copies(df: DataFrame, keys: Sequence[str], lead: Sequence[str]) ->
     return best.select(*[c if c in keys else F.col(f"_best.{c}") for c in df.columns], "copies")
 
 
-def _by_copies(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame | None, DataFrame | None]:
-    """Rows whose key comes once, and those whose key comes again; None for none, and for the first if the others
-    are many. Keys alone are shuffled and counted for it, partial per task. ``df`` is read up to four times."""
+def _repeated(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Keys that come again, as ``_key_0`` and so on, and how often. Keys alone are shuffled, partial per task."""
     counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_copies")).filter("_copies > 1")
-    again = cut_lineage(counted.toDF(*[f"_key_{i}" for i in range(len(keys))], "_copies"))
-    copies = again.agg(F.sum("_copies")).first()[0]
-    if copies is None:
-        return df, None
-    if copies > FEW_COPIES * df.count():
-        return None, df
+    return cut_lineage(counted.toDF(*[f"_key_{i}" for i in range(len(keys))], "_copies"))
+
+
+def _with_and_without(df: DataFrame, listed: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """Rows whose key is listed (as ``_repeated`` names it), and the others."""
     same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_key_{i}")) for i, k in enumerate(keys)])
-    return df.join(again, same, "left_anti"), df.join(again, same, "left_semi")
+    return df.join(listed, same, "left_semi"), df.join(listed, same, "left_anti")
 
 
 def keep_latest_of_runs(df: DataFrame, key: str, run: str, lead: Sequence[str]) -> DataFrame:
@@ -66,11 +66,28 @@ def keep_latest_of_runs(df: DataFrame, key: str, run: str, lead: Sequence[str])
     return newest.unionByName(keep_latest(left, [key], lead))
 
 
-def collapse_few_copies(df: DataFrame, keys: Sequence[str], lead: Sequence[str]) -> DataFrame:
-    """As ``collapse_copies``, for a table most of whose keys come once: their rows are not shuffled."""
-    alone, copies = _by_copies(df, keys)
-    single = None if alone is None else alone.withColumn("copies", F.lit(1).cast("bigint"))
+def collapse_few_copies(
+    df: DataFrame, keys: Sequence[str], lead: Sequence[str], sorted_rows: int = SORTED_ROWS
+) -> DataFrame:
+    """As ``collapse_copies``, for a written table. Where most keys come once, their rows are not shuffled.
+
+    Else rows are dealt by key before they are sorted, into parts that a task sorts in memory: ``collapse_copies`` sorts
+    whole splits, which spills, and leaves no fewer rows of keys with few copies. Keys with more than ``sorted_rows``
+    rows are too much for a task; they are still cut down before the shuffle. ``df`` is read up to four times."""
+    again = _repeated(df, keys)
+    copies, most = again.agg(F.sum("_copies"), F.max("_copies")).first()
     if copies is None:
-        return single
-    collapsed = collapse_copies(copies, keys, lead)
-    return collapsed if single is None else single.unionByName(collapsed)
+        return df.withColumn("copies", F.lit(1).cast("bigint"))
+    rows = df.count()
+    if copies <= FEW_COPIES * rows:
+        repeated, alone = _with_and_without(df, again, keys)
+        return alone.withColumn("copies", F.lit(1).cast("bigint")).unionByName(collapse_copies(repeated, keys, lead))
+    if most <= sorted_rows:
+        return collapse_copies(_dealt(df, keys, rows, sorted_rows), keys, lead)
+    heavy, others = _with_and_without(df, again.filter(F.col("_copies") > sorted_rows), keys)
+    dealt = collapse_copies(_dealt(others, keys, rows, sorted_rows), keys, lead)
+    return dealt.unionByName(collapse_copies(heavy, keys, lead))
+
+
+def _dealt(df: DataFrame, keys: Sequence[str], rows: int, sorted_rows: int) -> DataFrame:
+    return df.repartition(1 + rows // sorted_rows, *keys)

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,6 +14,10 @@ from dimflow.sources.readers import or_empty
 
 RUN = "run_id"
 
+#: Folders that a task writes at once where rows are not spread; of more, it sorts the rest of its rows by folder.
+OPEN_FOLDERS = 8
+_OPEN = "spark.sql.maxConcurrentOutputFileWriters"
+
 
 def write_snapshot(df: DataFrame, path: str) -> None:
     """Replace the whole folder. ``df`` must not read from it."""
@@ -24,11 +29,26 @@ def write_run(df: DataFrame, path: str, run: str, by: Sequence[str] = (), spread
 
     With ``by`` the rows are first spread so that each folder gets files of a good size, a
     folder with a large share of the rows being split over several tasks. Without ``spread``
-    each task writes into all folders, which saves a shuffle where these are few.
+    each task writes into all folders, which saves a shuffle where these are few. It has a file of each open then, as
+    Spark would else sort all rows of the task by folder, which are a whole split and spill.
     """
     if by and spread:
         df = df.hint("rebalance", *by)
-    df.write.mode("overwrite").partitionBy(*by).parquet(f"{path}/{RUN}={run}", compression=CODEC)
+    with _setting(df.sparkSession, _OPEN, str(OPEN_FOLDERS) if by and not spread else None):
+        df.write.mode("overwrite").partitionBy(*by).parquet(f"{path}/{RUN}={run}", compression=CODEC)
+
+
+@contextmanager
+def _setting(spark: SparkSession, name: str, value: str | None) -> Iterator[None]:
+    """A session setting for the time of a write; None leaves it as it is."""
+    before = spark.conf.get(name, None)
+    if value is not None:
+        spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        if value is not None:
+            spark.conf.unset(name) if before is None else spark.conf.set(name, before)
 
 
 def read_runs(

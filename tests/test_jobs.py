@@ -446,3 +446,24 @@ def test_a_batch_that_was_loaded_leaves_an_empty_frame(spark, tmp_path):
     again = not_in_fact(spark, path, first, ["1"])
     plan = again._jdf.queryExecution().executedPlan().toString()
     assert again.count() == 0 and again.schema == first.schema and "Join" not in plan
+
+
+def test_few_folders_are_written_without_a_sort(spark, rows, tmp_path):
+    spark.sql("SELECT id, IF(id % 3 = 0, NULL, CAST(id % 20 AS string)) AS day FROM range(200)").write.parquet(f"{tmp_path}/in")
+    df = spark.read.parquet(f"{tmp_path}/in")
+    name = "spark.sql.maxConcurrentOutputFileWriters"
+    before, store = spark.conf.get(name), spark._jsparkSession.sharedState().statusStore()
+
+    def written(by, spread):
+        """The plan that Spark ran for the write of these folders."""
+        write_run(df, f"{tmp_path}/out", f"{spread}", by, spread)
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+        told = [store.executionsList().apply(i).physicalPlanDescription() for i in range(store.executionsCount())]
+        return [plan for plan in told if f"{tmp_path}/out/run_id={spread}" in plan][-1]
+
+    assert "Sort" in written(["day"], True) and "Sort" not in written(["day"], False)
+    assert spark.conf.get(name) == before
+    for run in (True, False):  # more folders than are open at once
+        assert rows(spark.read.parquet(f"{tmp_path}/out/run_id={run}"), "id", "day") == [
+            (r["id"], None if r["day"] is None else int(r["day"])) for r in sorted(df.collect(), key=lambda r: repr((r["id"], r["day"] and int(r["day"]))))
+        ]

@@ -483,3 +483,18 @@ def test_rows_without_copies_stay_where_they_are(spark, rows, singles):
     got = collapse_few_copies(df.filter("v <> 'a'"), ["k", "n"], ["at"])
     assert "Exchange" not in got._jdf.queryExecution().executedPlan().toString()
     assert got.filter("copies = 1").count() == singles + 2
+
+
+@pytest.mark.parametrize("sorted_rows", [500, 4])
+def test_many_copies_are_dealt_before_they_are_sorted(spark, rows, tmp_path, sorted_rows):
+    from dimflow.operators.latest import collapse_few_copies
+
+    one = [(None, 1, i, "x") for i in range(9)] + [(f"k{i % 20}", None, i % 3, f"v{i}") for i in range(50)]
+    spark.createDataFrame(one, "k string, n int, at int, v string").write.parquet(f"{tmp_path}/in")
+    df = spark.read.parquet(f"{tmp_path}/in")
+    got = collapse_few_copies(df, ["k", "n"], ["at"], sorted_rows)
+    assert rows(got) == rows(collapse_copies(df, ["k", "n"], ["at"]))
+    # No split is sorted before its rows are dealt, but for keys that are too much for a task.
+    below = got._jdf.queryExecution().executedPlan().toString().split("REPARTITION_BY_NUM")
+    assert len(below) == 2 and "Sort" not in below[1].split("+- SortAggregate")[0]
+    assert ("ENSURE_REQUIREMENTS" in below[1]) == (sorted_rows == 4)
