@@ -14,6 +14,7 @@ from dimflow.plans.standardize import standardize
 from dimflow.plans.warehouse import run_warehouse
 from dimflow.schemas import layout
 from dimflow.session import scratch_folder
+from dimflow.sources.writers import open_folders
 
 # Two deliveries: everything before the first day, then everything before the second, which is
 # after the last row of the tables.
@@ -74,7 +75,8 @@ def _plans(spark: SparkSession, sf_dir: str) -> DataFrame:
 def archive_batches(spark: SparkSession, sf_dir: str, root: str) -> None:
     """Compressed files of all deliveries; the activity is made once for all of them."""
     activity = _activity(spark, sf_dir).write.partitionBy("ingest_date")
-    activity.json(f"{root}/archive/activity_logs", compression="gzip")
+    with open_folders(spark):
+        activity.json(f"{root}/archive/activity_logs", compression="gzip")
     for day in DAYS:
         _customers(spark, sf_dir, day).write.json(f"{root}/archive/customers/{day}", compression="gzip")
         _plans(spark, sf_dir).write.option("header", True).csv(f"{root}/archive/plans/{day}")
