@@ -15,12 +15,14 @@ class Files:
     """The file system of a folder; names are plain (not URL-encoded) paths below it."""
 
     def __init__(self, spark: SparkSession, root: str):
-        self._jvm = spark._jvm
+        # Looked up once: each part of a class's name is a call to the JVM, and there are two paths for each move.
+        self._class = spark._jvm.org.apache.hadoop.fs.Path
         self._root = root.rstrip("/")
+        self._made: set[str] = set()
         self._system = self._path("").getFileSystem(spark._jsc.hadoopConfiguration())
 
     def _path(self, name: str):
-        return self._jvm.org.apache.hadoop.fs.Path(f"{self._root}/{name}")
+        return self._class(f"{self._root}/{name}")
 
     def exists(self, name: str) -> bool:
         return self._system.exists(self._path(name))
@@ -45,7 +47,10 @@ class Files:
         here, there = self._path(source), self._path(target)
         if not self._system.exists(here):
             return
-        self._system.mkdirs(there.getParent())
+        folder = target.rpartition("/")[0]
+        if folder not in self._made:
+            self._system.mkdirs(there.getParent())
+            self._made.add(folder)
         if self._system.exists(there):
             self._system.delete(there, False)
         if not self._system.rename(here, there):

@@ -391,3 +391,23 @@ def test_deliveries_are_moved_many_at_once(spark, tmp_path, monkeypatch):
         (f"{n}.csv", "P0\nP1\n", deliveries.OLD) for n in range(3)
     ]
     assert alone == [False] * 3
+
+
+def test_a_move_makes_few_calls(spark, tmp_path, monkeypatch):
+    """A folder is made once, and a class is looked up once, however many files are moved."""
+    from dimflow.sources.files import Files
+
+    (tmp_path / "a").mkdir()
+    for i in range(60):
+        (tmp_path / "a" / str(i)).write_text(str(i))
+    (tmp_path / "b").mkdir()
+    (tmp_path / "b" / "3").write_text("old")
+    client, sent = spark.sparkContext._gateway._gateway_client, []
+    send = client.send_command
+    monkeypatch.setattr(client, "send_command", lambda command, *a, **k: (sent.append(command), send(command, *a, **k))[1])
+    files = Files(spark, str(tmp_path))
+    files.move_all((f"a/{i}", f"b/{i}") for i in range(60))
+    files.move("a/3", "b/3")  # moved before
+    assert sorted((tmp_path / "b" / str(i)).read_text() for i in range(60)) == sorted(map(str, range(60)))
+    # Two paths, two looks, the move, and now and then what is let go; each class name takes five more.
+    assert len(sent) < 60 * 9 + 40
