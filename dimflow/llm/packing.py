@@ -24,8 +24,8 @@ from dimflow.session import cut_lineage
 CAPACITY = 2048
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 0
-#: Words kept with their ids in each worker; the store is emptied when full.
-KEPT_WORDS = 400_000
+#: Words kept with their ids in each worker, from task to task; the store is emptied when full.
+KEPT_WORDS = 600_000
 #: Bytes of text that are tokenized at once.
 SLICE = 1 << 20
 #: Pieces of one length are ranked in parts of about so many, at least so many parts.
@@ -80,7 +80,7 @@ class Words:
             if word in known:
                 continue
             text = word.decode("utf-8", "replace")
-            if text.isalpha() and text.lower().isalpha() and "Σ" not in text:
+            if text.isalpha() and (text.isascii() or text.lower().isalpha() and "Σ" not in text):
                 letters.append((word, text))
             else:
                 others.append((word, text))
@@ -140,8 +140,9 @@ def tokenized(docs: DataFrame, capacity: int, tokenizer_path: str | None, keep_i
             if keep_ids:
                 rows["ids"] = [np.frombuffer(x, "<i4") for x in rows["ids"]]
             yield pa.RecordBatch.from_arrays([pa.array(rows[n], t) for n, t in zip(names, types)], names=names)
-        # A worker waits for other tasks with what it holds.
-        words.known.clear()
+        # Words come again in the worker's next task. Where ids are asked for, other stages follow and need the memory.
+        if keep_ids:
+            words.known.clear()
         pa.default_memory_pool().release_unused()
 
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long" + ", ids array<int>" * keep_ids

@@ -590,3 +590,27 @@ def test_words_that_are_not_letters_are_encoded_together():
     words.learn([*some, b"12,5"])
     fresh = packing.Words(public_tokenizers.path(packing.TOKENIZER))
     assert {w: words.known[w] for w in some} == {w: fresh.one(w) for w in some}
+
+
+@pytest.mark.parametrize("keep_ids", [False, True])
+def test_words_are_known_to_the_next_task(monkeypatch, keep_ids):
+    import public_tokenizers
+    import pyarrow as pa
+
+    from dimflow.llm import packing
+
+    class Docs:
+        def mapInArrow(self, task, schema):
+            return task
+
+    monkeypatch.setattr(packing, "_words", {})
+    task = packing.tokenized(Docs(), 2048, None, keep_ids)
+    docs = pa.RecordBatch.from_pydict({"doc_id": [1, 2], "text": ["some words, again", "some other words"]})
+    first = [row for batch in task(iter([docs])) for row in batch.to_pylist()]
+    words = packing._words[public_tokenizers.path(packing.TOKENIZER)]
+    assert (len(words.known) == 0) == keep_ids
+    learned = []
+    monkeypatch.setattr(words, "one", learned.append)
+    if not keep_ids:
+        monkeypatch.setattr(words, "model", None)  # nothing is encoded again
+    assert [row for batch in task(iter([docs])) for row in batch.to_pylist()] == first and not learned
