@@ -5,6 +5,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 
 from dimflow.llm.language import keep_identified
@@ -12,14 +15,26 @@ from dimflow.llm.ngram_join import one_of_each_group
 from dimflow.llm.packing import packed
 from dimflow.llm.secrets import without_secrets
 from dimflow.llm.suffix_dedup import without_repeats
-from dimflow.session import cut_lineage
+from dimflow.session import bound_batches, cut_lineage
+
+
+def in_small_batches(stage: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """Stages follow each other on the same executors, whose memory has to hold all that each of them leaves."""
+
+    @wraps(stage)
+    def bounded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        bound_batches(spark)
+        return stage(spark, docs, sf_dir)
+
+    return bounded
+
 
 STAGES = [
-    ("language ID", keep_identified),
-    ("n-gram Jaccard join", one_of_each_group),
-    ("suffix-array dedup", without_repeats),
-    ("secret scans", without_secrets),
-    ("best-fit packing", packed),
+    ("language ID", in_small_batches(keep_identified)),
+    ("n-gram Jaccard join", in_small_batches(one_of_each_group)),
+    ("suffix-array dedup", in_small_batches(without_repeats)),
+    ("secret scans", in_small_batches(without_secrets)),
+    ("best-fit packing", in_small_batches(packed)),
 ]
 ORACLE_SQL = None
 

@@ -24,6 +24,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parents[2]))
 
 import __spark_entry__ as contract  # noqa: E402
 import corpus_pipeline  # noqa: E402
+from dimflow import session  # noqa: E402
 from dimflow.llm import (  # noqa: E402
     language, neighbours, ngram_join, packing, quality, secrets, sentencepieces, suffix_dedup, token_counts, unigram, url_filter,
 )
@@ -552,6 +553,26 @@ def test_stages(spark, odd, empty):
         assert stage(spark, empty, SMALL).count() == 0
 
 
+def test_each_stage_bounds_the_batches_of_texts(spark, empty):
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"rows": [batch.num_rows], "bytes": [batch.nbytes]})
+
+    texts = spark.range(0, 6000, 1, 1).select(F.repeat(F.lit("x"), 5000).alias("text"))
+    for _, stage in corpus_pipeline.STAGES:
+        spark.conf.unset(session.BATCH_LIMIT)
+        stage(spark, empty, SMALL)
+        found = texts.mapInArrow(sizes, "rows long, bytes long").collect()
+        assert sum(r.rows for r in found) == 6000 and max(r.bytes for r in found) < session.BATCH_BYTES + 100_000
+    long = spark.range(0, 3, 1, 1).select(F.repeat(F.lit("x"), 9 << 20).alias("text"))
+    assert sum(r.rows for r in long.mapInArrow(sizes, "rows long, bytes long").collect()) == 3
+    # A limit that the session was given holds.
+    spark.conf.set(session.BATCH_LIMIT, "3m")
+    corpus_pipeline.STAGES[0][1](spark, empty, SMALL)
+    assert spark.conf.get(session.BATCH_LIMIT) == "3m"
+    spark.conf.unset(session.BATCH_LIMIT)
+
+
 def plain_pipeline(rows):
     """Rows of (doc_id, text, lang), ids unique, through plain versions of all stages but the packing."""
     told = {i: (lang, score) for i, lang, score in brute.languages(rows, language.BUCKETS, language.SMOOTHING)}
