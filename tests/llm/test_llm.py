@@ -264,6 +264,32 @@ def test_hot_leaders_are_dealt_by_window(spark, monkeypatch):
     assert max(held.values()) < 3 * sum(held.values()) / 32
 
 
+def test_slices_are_made_and_dealt_once(spark):
+    made = suffix_dedup.remove_repeats(spark.read.parquet(f"{SMALL}/documents.parquet"))
+    made.collect()
+    ran = made._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    dealt = [line for line in ran.splitlines() if "REPARTITION_BY_COL" in line]
+    assert len(dealt) > 1 and sum("ReusedExchange" not in line for line in dealt) == 1
+
+
+@pytest.mark.parametrize("gathered", [1, 5_000, 16 << 20])
+def test_a_tasks_slices_go_together(spark, monkeypatch, gathered):
+    monkeypatch.setattr(suffix_dedup, "slices", lambda batches: sliced(batches, 3_000))
+    monkeypatch.setattr(suffix_dedup, "GATHERED", gathered)
+    monkeypatch.setattr(suffix_dedup, "HOT", 20)
+    monkeypatch.setattr(suffix_dedup, "HOT_STEP", 50)
+    r = random.Random(8)
+    own = lambda n: "".join(r.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(n))
+    often, seldom = own(70), [own(90) for _ in range(10)]
+    rows = [(i % 90 if i % 7 else None, own(60) + (often if i % 2 else often[:40]) + own(9) + seldom[i % 10] * (1 + i % 3)) for i in range(100)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    same(got(suffix_dedup.remove_repeats(docs).drop("kept")), brute.repeats(rows))
+    if gathered > 5_000:
+        made = suffix_dedup.shared_stretches(suffix_dedup.to_slices(docs, "doc_id", "text", []), 32).where("direct is null")
+        tasks = made.select(F.spark_partition_id()).distinct().count()
+        assert 0 < made.count() <= 32 * tasks < 32 * suffix_dedup.to_slices(docs, "doc_id", "text", []).count() / 3
+
+
 def test_parts_follow_the_input(spark, monkeypatch):
     docs = spark.createDataFrame([(1, "x" * 1000), (2, None)], "doc_id long, text string")
     assert suffix_dedup.parts_of(docs, "text") == 32
