@@ -100,12 +100,11 @@ class Model:
         """For each text its maximal segments: score, first and last word."""
         at = self.entries(keys)
         score = np.where(at >= 0, self.scores[at] if len(self.scores) else 0.0, -DRIFT)
-        total = np.concatenate([[0.0], np.cumsum(score)])
-        good = np.flatnonzero(score > 0)
-        cut = np.searchsorted(good, first)
-        left, right, good = total[good].tolist(), total[good + 1].tolist(), good.tolist()
-        for a, b in zip(cut[:-1].tolist(), cut[1:].tolist()):
-            yield maximal_segments(left[a:b], right[a:b], good[a:b]) if b > a else []
+        for a, b in zip(first[:-1].tolist(), first[1:].tolist()):
+            # Each text is summed by itself: the texts before it would change the last bits.
+            total = np.concatenate([[0.0], np.cumsum(score[a:b])])
+            good = np.flatnonzero(score[a:b] > 0)
+            yield maximal_segments(total[good].tolist(), total[good + 1].tolist(), (good + a).tolist()) if len(good) else []
 
     def surprise(self, score: float, words: int) -> float:
         """Minus the logarithm of how often so high a segment is expected in so many words."""
@@ -243,7 +242,8 @@ def learn(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS_PER
 
     seen = cut_lineage(sample.mapInArrow(measured, "toxic int, n long, best double, entry long"))
     times = seen.where("entry is not null").groupBy("entry").agg(F.sum("n").alias("n")).toPandas()
-    texts = seen.where("entry is null").select("toxic", "n", "best").toPandas()
+    # In order, so that sums of fractions do not depend on which task ended first.
+    texts = seen.where("entry is null").select("toxic", "n", "best").toPandas().sort_values(["toxic", "n", "best"])
     share = np.zeros(len(keys) + 1)
     share[times["entry"].to_numpy(np.int64)] = times["n"].to_numpy(np.float64)  # -1, the last: words without entry
     total = max(share.sum(), 1.0)
@@ -261,7 +261,7 @@ def learn(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS_PER
             _, _, first, found, _, _ = tokens(batch.column("text"))
             yield pa.RecordBatch.from_pydict({"toxic": batch.column("toxic"), "evidence": [float(sum(e for e, _ in x)) for x in significant(model, found, first)]})
 
-    told = sample.mapInArrow(weighed, "toxic int, evidence double").toPandas()
+    told = sample.mapInArrow(weighed, "toxic int, evidence double").toPandas().sort_values(["toxic", "evidence"])
     toxic = told["toxic"].to_numpy(np.float64)
     if len(told) and 0 < toxic.sum() < len(toxic):
         share_bad = sizes[1] / (sizes[0] + sizes[1])  # the sample's labels are weighted back to their shares
